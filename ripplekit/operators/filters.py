@@ -152,7 +152,9 @@ def flag_spam(links: DataFrame, sites: DataFrame, location: str = "location") ->
     host_end = F.length(F.regexp_extract(url, r"^http://[^/]*", 0)) + 1
     probes = (
         distinct.select("_loc", F.explode(F.sequence(F.lit(8), host_end)).alias("_at"))
-        .select("_loc", F.explode(F.transform(lengths, lambda n: F.substr(url, F.col("_at"), n))).alias("_part"))
+        .withColumn("_lengths", lengths)
+        .select("_loc", "_at", F.explode("_lengths").alias("_n"))
+        .select("_loc", F.substr(url, F.col("_at"), F.col("_n")).alias("_part"))
     )
     hits = probes.join(site, F.col("_part") == F.col("_site"), "left_semi").select("_loc").distinct()
     hits = hits.withColumn("_hit", F.lit(True))

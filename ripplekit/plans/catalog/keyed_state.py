@@ -90,7 +90,8 @@ SELECT p.id, CASE WHEN p.deleted IS NULL AND d.id IS NOT NULL THEN TIMESTAMP '20
        CASE WHEN p.deleted IS NULL AND d.denied THEN TRUE ELSE p.permission_denied END AS permission_denied
 FROM ({MARKED}) p LEFT JOIN d ON p.id = d.id""")
 def _(t):
-    return K.tombstone(t.sql(MARKED), t.sql(GONE), ntz(AS_OF)).select("id", "deleted", "permission_denied")
+    stored = t.sql(MARKED).withColumn("deleted", F.col("deleted").cast("timestamp_ntz"))
+    return K.tombstone(stored, t.sql(GONE), ntz(AS_OF)).select("id", "deleted", "permission_denied")
 
 
 @query("K6_suspended_flag", """

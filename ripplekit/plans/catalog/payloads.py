@@ -228,18 +228,15 @@ def _(t):
 
 
 def activities(t):
-    first = obj(
+    photo = obj(
         objectType=L("photo"), url=F.concat(L("http://photo/"), C("user_id")),
         image=obj(url=F.concat(L("http://thumb/"), C("user_id")), type=L("image/jpeg"), height=L(90), width=L(120)),
     )
-    second = obj(
-        objectType=L("article"), id=F.concat(L("a"), C("user_id")), url=L(None).cast("string"),
-        image=L(None).cast("struct<url:string,type:string,height:int,width:int>"),
-    )
-    neither = obj(objectType=L("video"))
+    article = obj(objectType=L("article"), id=F.concat(L("a"), C("user_id")))
+    unkeyed = obj(objectType=L("video"))
     k = C("id") % 3
-    attached = F.to_json(F.array(first)), F.to_json(F.array(second, obj(objectType=L("video"), id=L(None).cast("string"), url=L(None).cast("string"), image=L(None).cast("struct<url:string,type:string,height:int,width:int>"))))
-    attachments = F.when(k == 1, attached[0]).when(k == 2, attached[1])
+    listed = lambda *kinds: F.concat(L("["), F.concat_ws(",", *[F.to_json(x) for x in kinds]), L("]"))
+    attachments = F.when(k == 1, listed(photo)).when(k == 2, listed(article, unkeyed))
     inner = F.to_json(
         obj(
             objectType=L("note"), content=F.when(C("id") % 2 == 0, "").otherwise(C("text")),
@@ -247,7 +244,7 @@ def activities(t):
             resharers=obj(totalItems=C("id") % 3),
         )
     )
-    # The attachment kinds differ in shape, so the text is spliced in.
+    # Attachment kinds differ in shape, so their text is spliced in.
     inner = F.when(
         attachments.isNotNull(),
         F.concat(F.substr(inner, L(1), F.length(inner) - 1), L(',"attachments":'), attachments, L("}")),
@@ -259,7 +256,7 @@ def activities(t):
         geocode=if_set(C("lat").isNotNull(), F.concat(C("lat").cast("string"), L(" "), C("lon").cast("string"))),
         access=obj(
             kind=L("acl"),
-            items=F.array(obj(id=F.concat(L("acl"), C("user_id") % 10), type=L("public")), obj(type=L("circle"), id=L(None).cast("string"))),
+            items=F.array(obj(id=F.concat(L("acl"), C("user_id") % 10), type=L("public")), obj(id=L(None).cast("string"), type=L("circle"))),
         ),
     )
     j = F.concat(F.substr(outer, L(1), F.length(outer) - 1), L(',"object":'), inner, L("}"))

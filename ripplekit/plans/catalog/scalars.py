@@ -74,7 +74,7 @@ def _(t):
 
 
 @query("X7_epoch_conversions", """
-SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS utc_s, epoch_ms(ts - INTERVAL 8 HOUR) AS hkt_ms FROM events""")
+SELECT event_id, CAST(floor(epoch(ts)) AS BIGINT) AS utc_s, epoch_us(ts - INTERVAL 8 HOUR) // 1000 AS hkt_ms FROM events""")
 def _(t):
     return t.table("events").select(
         "event_id", TM.epoch(C("ts")).alias("utc_s"), TM.epoch(C("ts"), "Asia/Hong_Kong", "ms").alias("hkt_ms")

@@ -10,9 +10,9 @@ from ripplekit.plans.catalog.base import joined, query
 # The checking SQL's tokens: words, with runs of Han characters as bigrams.
 TOKENS = r"""
 flatten(list_transform(
-  list_filter(string_split_regex(regexp_replace(lower({text}), '(\p{{Han}}+)', ' \1 ', 'g'), '[^\p{{L}}\p{{N}}\p{{M}}]+'), w -> w <> ''),
-  w -> CASE WHEN regexp_matches(w, '^\p{{Han}}') AND length(w) > 1
-       THEN list_transform(range(1, length(w)), i -> substr(w, i, 2)) ELSE [w] END))"""
+  list_filter(string_split_regex(regexp_replace(lower({text}), '(\p{{Han}}+)', ' \1 ', 'g'), '[^\p{{L}}\p{{N}}\p{{M}}]+'), lambda w: w <> ''),
+  lambda w: CASE WHEN regexp_matches(w, '^\p{{Han}}') AND length(w) > 1
+       THEN list_transform(range(1, length(w)), lambda i: substr(w, i, 2)) ELSE [w] END))"""
 
 
 def tokens_sql(text):
@@ -30,7 +30,7 @@ WITH hit AS (SELECT pid, uid, tid, time_secs FROM r_forum WHERE ({where}))
 SELECT pid, uid, tid, time_secs, (SELECT COUNT(*) FROM hit) AS total_hits FROM hit ORDER BY time_secs DESC, pid LIMIT {k}"""
 
 
-HAS_TERM = f"len(list_filter({tokens_sql('content')}, x -> x IN {TERMS})) > 0"
+HAS_TERM = f"len(list_filter({tokens_sql('content')}, lambda x: x IN {TERMS})) > 0"
 
 
 def forum_postings(t):

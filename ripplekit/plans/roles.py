@@ -10,6 +10,7 @@ import re
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 BASE_TABLES = [
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
@@ -144,7 +145,7 @@ class Roles:
     def sql(self, statement: str) -> DataFrame:
         """Run a statement over role views and base tables."""
         ctes = with_roles(statement)
-        text = statement + "".join(body for _, body in ctes)
+        text = "\n".join([statement] + [body for _, body in ctes])
         base = [
             (t, f"SELECT * FROM parquet.`{self.dir}/{t}.parquet`")
             for t in BASE_TABLES
@@ -181,7 +182,9 @@ class Roles:
 
     @cached_property
     def objects(self) -> DataFrame:
-        return self.view("r_objects")
+        # TIMESTAMP literals are zoned in Spark SQL; the tables' times are not.
+        times = {c: F.col(c).cast("timestamp_ntz") for c in ["retrieved", "end_time"]}
+        return self.view("r_objects").withColumns(times)
 
     @cached_property
     def rsvp(self) -> DataFrame:
