@@ -67,6 +67,10 @@ def hour_floor(ts: Column) -> Column:
     )
 
 
+def minute_floor(ts: Column) -> Column:
+    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), F.extract(F.lit("SECOND"), ts))
+
+
 def bucket(ts: Column, interval: str = "h") -> Column:
     """Trend bucket: ``h`` hour, ``10m`` ten-minute floor, ``Nm`` N minutes
     rounded half-even from the hour, ``d`` day."""

@@ -33,7 +33,7 @@ def repost_pairs(posts: DataFrame, counts: dict[str, Column] | None = None) -> D
     )
 
 
-def most_reposted(
+def rank_reposted(
     posts: DataFrame,
     users: DataFrame,
     start: dt.datetime,
@@ -48,12 +48,12 @@ def most_reposted(
     """Most reposted originals of a period, by distinct reposters.
 
     List mode and province / audience mode are alternatives.  Reposts shrink to
-    (original, user) pairs before users are joined, and originals are joined to
-    the groups, not to the reposts: a viral id is never a hot join key.
+    (original, user) pairs before users are joined, and originals meet the
+    groups, not the reposts, so a viral id is never a hot join key.
     """
     pairs = repost_pairs(in_period(posts, "created_at", start, end))
     author = users.select(
-        F.col("id").alias("author_id"), "province", F.col("created_at").alias("user_created_at")
+        F.col("id").alias("author_id"), "province", "gender", F.col("created_at").alias("user_created_at")
     )
     if lists is not None:
         author = filter_lists(author, userlist, lists, user="author_id")
@@ -67,16 +67,23 @@ def most_reposted(
             F.sum("n").alias("retweeted_count"),
             F.count("author_id").alias("distinct_users"),
             F.min("user_created_at").alias("min_user_created_at"),
+            *gender_counts(),
         )
     )
     if min_account_cutoff is not None:
         grouped = min_account_age(grouped, min_account_cutoff)
-    original = posts.select("id", "created_at", F.col("user_id").alias("original_user_id"))
     if lists is None and max_followers is not None:
         small = users.filter(F.col("followers_count") < max_followers).select(F.col("id").alias("_u"))
-        kept = original.join(small, original["original_user_id"] == small["_u"], "left_semi")
-        return topk(hydrate(grouped, kept).filter("id IS NOT NULL"), limit)
-    return hydrate(topk(grouped, limit), original)
+        by_small = posts.join(small, posts["user_id"] == small["_u"], "left_semi")
+        by_small = by_small.select(F.col("id").alias("_o"))
+        grouped = grouped.join(by_small, grouped["retweeted_status"] == by_small["_o"], "left_semi")
+    return topk(grouped, limit)
+
+
+def most_reposted(posts: DataFrame, users: DataFrame, *args: object, **filters: object) -> DataFrame:
+    """``rank_reposted`` with id, date and author of each original we hold."""
+    original = posts.select("id", "created_at", F.col("user_id").alias("original_user_id"))
+    return hydrate(rank_reposted(posts, users, *args, **filters), original)
 
 
 def most_retweeted(
@@ -147,28 +154,33 @@ def collect_reposts(
     )
 
 
-def _gender(posts: DataFrame, users: DataFrame) -> DataFrame:
+def gender_counts() -> list[Column]:
+    """Gender aggregates over (original, reposter) pairs with ``n`` reposts each."""
+    n, g = F.col("n"), F.col("gender")
+    return [
+        F.sum(F.when(g == "m", n).otherwise(0)).alias("male_count"),
+        F.sum(F.when(g == "f", n).otherwise(0)).alias("female_count"),
+        F.count("user_id").alias("distinct_users_count"),
+        F.count_if(g == "m").alias("distinct_male_count"),
+        F.count_if(g == "f").alias("distinct_female_count"),
+    ]
+
+
+def _gender_profile(posts: DataFrame, users: DataFrame) -> DataFrame:
     pairs = repost_pairs(posts)
     who = users.select(F.col("id").alias("_u"), "gender")
-    return pairs.join(who, pairs["user_id"] == who["_u"], "left")
+    known = pairs.join(who, pairs["user_id"] == who["_u"], "left")
+    return known.groupBy("retweeted_status").agg(*gender_counts())
 
 
 def gender_split(posts: DataFrame, users: DataFrame) -> DataFrame:
     """Reposts by men and by women, per original."""
-    n = F.col("n")
-    return _gender(posts, users).groupBy("retweeted_status").agg(
-        F.sum(F.when(F.col("gender") == "m", n).otherwise(0)).alias("male_count"),
-        F.sum(F.when(F.col("gender") == "f", n).otherwise(0)).alias("female_count"),
-    )
+    return _gender_profile(posts, users).select("retweeted_status", "male_count", "female_count")
 
 
 def distinct_gender_split(posts: DataFrame, users: DataFrame) -> DataFrame:
-    """Distinct reposters by gender, per original (a pair row is one reposter)."""
-    return _gender(posts, users).groupBy("retweeted_status").agg(
-        F.count("user_id").alias("distinct_users_count"),
-        F.count_if(F.col("gender") == "m").alias("distinct_male_count"),
-        F.count_if(F.col("gender") == "f").alias("distinct_female_count"),
-    )
+    """Distinct reposters by gender, per original."""
+    return _gender_profile(posts, users).drop("male_count", "female_count")
 
 
 def trend(posts: DataFrame, interval: str = "h", tid: int | None = None) -> DataFrame:

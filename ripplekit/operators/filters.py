@@ -140,29 +140,45 @@ def geo_or_location(df: DataFrame, prefix: str) -> DataFrame:
 def flag_spam(links: DataFrame, sites: DataFrame, location: str = "location") -> DataFrame:
     """Mark links whose text, from some point of the host on, starts with a site.
 
-    Instead of testing every link against every site, each link offers the
-    substrings that start inside its host and have a length some site has, and
-    those meet the sites in an equi join: work per link is bounded by host
-    length times distinct site lengths, whatever the number of sites.
+    Instead of testing every link against every site, each distinct host offers
+    its substrings of the lengths sites have, and those meet the sites in an
+    equi join: work per host is bounded by its length times the distinct site
+    lengths, whatever the number of sites.  Only sites that contain a slash can
+    reach past the host and are probed with whole links.
     """
-    url = F.col("_loc")
     site = sites.toDF("_site").filter("_site IS NOT NULL AND _site <> ''").distinct()
+    url = F.col("_loc")
+    locs = links.select(F.col(location).alias("_loc")).filter(url.startswith("http://")).distinct()
+    hosts = locs.select(_host(url).alias("_host"))
+    in_path = F.col("_site").contains("/")
+    bad_hosts = _starting_inside(
+        hosts.select("_host", F.col("_host").alias("_text")).distinct(), site.filter(~in_path)
+    ).select("_host").distinct()
+    bad_locs = _starting_inside(
+        locs.select("_loc", url.alias("_text"), _host(url).alias("_host")), site.filter(in_path)
+    ).select("_loc").distinct()
+    marked = links.withColumn("_host", F.when(F.col(location).startswith("http://"), _host(F.col(location))))
+    marked = marked.join(bad_hosts.withColumn("_by_host", F.lit(True)), "_host", "left")
+    marked = marked.join(bad_locs.withColumn("_by_loc", F.lit(True)), marked[location] == bad_locs["_loc"], "left")
+    return marked.withColumn(
+        "is_spam", F.coalesce("_by_host", "_by_loc", F.lit(False))
+    ).drop("_host", "_loc", "_by_host", "_by_loc")
+
+
+def _host(url: Column) -> Column:
+    return F.regexp_extract(url, r"^http://[^/]*", 0)
+
+
+def _starting_inside(texts: DataFrame, site: DataFrame) -> DataFrame:
+    """Rows whose ``_text`` continues with a site from some point of its ``_host`` part."""
     lengths = site.agg(F.collect_set(F.length("_site"))).scalar()
-    distinct = links.select(F.col(location).alias("_loc")).filter(url.startswith("http://")).distinct()
-    host_end = F.length(F.regexp_extract(url, r"^http://[^/]*", 0)) + 1
     probes = (
-        distinct.select("_loc", F.explode(F.sequence(F.lit(8), host_end)).alias("_at"))
-        .withColumn("_lengths", lengths)
-        .select("_loc", "_at", F.explode("_lengths").alias("_n"))
-        .select("_loc", F.substr(url, F.col("_at"), F.col("_n")).alias("_part"))
-    )
-    hits = probes.join(site, F.col("_part") == F.col("_site"), "left_semi").select("_loc").distinct()
-    hits = hits.withColumn("_hit", F.lit(True))
-    return (
-        links.join(hits, links[location] == hits["_loc"], "left")
-        .withColumn("is_spam", F.coalesce("_hit", F.lit(False)))
-        .drop("_loc", "_hit")
+        texts.withColumn("_lengths", lengths)
+        .withColumn("_at", F.explode(F.sequence(F.lit(8), F.length("_host") + 1)))
+        .withColumn("_n", F.explode("_lengths"))
+        .withColumn("_part", F.substr("_text", F.col("_at"), F.col("_n")))
     )
+    return probes.join(site, F.col("_part") == F.col("_site"), "left_semi")
 
 
 def type_guard(df: DataFrame, declared: str = "declared_type", reflected: str = "type") -> DataFrame:

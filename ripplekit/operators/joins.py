@@ -7,7 +7,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplekit.functions.text import mentions, short_url
-from ripplekit.functions.times import hour_floor
+from ripplekit.functions.times import minute_floor
+from ripplekit.session import settle
 
 
 def repost_star(posts: DataFrame, users: DataFrame) -> DataFrame:
@@ -42,12 +43,24 @@ def list_posts(userlist: DataFrame, posts: DataFrame, lists: list[int] | None =
     return m.join(posts, m["member_id"] == posts["user_id"], "inner").drop("member_id")
 
 
+def lookup(few: DataFrame, key: str, table: DataFrame, table_key: str) -> DataFrame:
+    """Left join of a short list with a large table.
+
+    An outer join cannot broadcast its preserved side, so joining directly would
+    shuffle the whole table.  The table is cut to the listed keys first (a semi
+    join, which may broadcast the list) and only those rows meet the list.
+    """
+    few = settle(few, "few")
+    wanted = few.select(F.col(key).alias("_wanted"))
+    rows = table.join(wanted, table[table_key] == wanted["_wanted"], "left_semi")
+    return few.join(rows, few[key] == rows[table_key], "left")
+
+
 def hydrate(top: DataFrame, posts: DataFrame, key: str = "retweeted_status") -> DataFrame:
     """Full post rows for a short list of ids; ids not stored keep nulls."""
-    cols = [c for c in posts.columns if c not in top.columns]
-    full = posts.select(F.col("id").alias("_id"), *[c for c in cols if c != "id"])
-    joined = top.join(full, top[key] == full["_id"], "left")
-    return joined.withColumnRenamed("_id", "id") if "id" in cols else joined.drop("_id")
+    cols = [c for c in posts.columns if c not in top.columns and c != "id"]
+    out = lookup(top, key, posts.select(F.col("id").alias("_id"), *cols), "_id")
+    return out.withColumnRenamed("_id", "id")
 
 
 def add_geo(df: DataFrame, provinces: DataFrame, main_city: int = 1) -> DataFrame:
@@ -112,13 +125,9 @@ def resolve_mentions(probes: DataFrame, posts: DataFrame) -> DataFrame:
         "retweeted_status", "name", "created_at", F.lit(0).alias("kind"), "id", "pos",
         F.lit(None).cast("bigint").alias("uid"),
     )
-    # A candidate whose name nobody mentions under that original only adds
-    # sort work, and most reposters are never mentioned.
-    named = asked.select("retweeted_status", "name").distinct()
-    candidates = candidates.join(named, ["retweeted_status", "name"], "left_semi")
-    rows = asked.unionByName(candidates).withColumn("_hour", hour_floor(F.col("created_at")))
+    rows = asked.unionByName(candidates).withColumn("_minute", minute_floor(F.col("created_at")))
     found = carry_last(
-        rows, ["retweeted_status", "name"], ["created_at", "kind", "id", "pos"], "uid", "_hour", "ref_user_id"
+        rows, ["retweeted_status", "name"], ["created_at", "kind", "id", "pos"], "uid", "_minute", "ref_user_id"
     )
     return found.filter("kind = 0").select(
         "id", "pos", "retweeted_status", "name", "created_at", "ref_user_id"

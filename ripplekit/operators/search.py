@@ -58,9 +58,9 @@ def query_terms(q: str) -> Column:
 
 
 def match_any(postings: DataFrame, q: str) -> DataFrame:
-    """Documents holding at least one query term."""
+    """Ids of documents holding a query term, once per term they hold."""
     hit = F.array_contains(query_terms(q), F.col("term"))
-    return postings.filter(hit).select("doc_id").distinct()
+    return postings.filter(hit).select("doc_id")
 
 
 def _time_range(docs: DataFrame, ts: str, start: object, end: object) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplekit.functions.times import hour_floor
+from ripplekit.functions.times import minute_floor
 from ripplekit.operators.joins import carry_last
 
 
@@ -67,10 +67,10 @@ def incremental_cutoff(
     known = rows.filter("known")
     if reset:
         marked = rows.withColumns(
-            {"_hour": -F.unix_micros(hour_floor(F.col(ts)).cast("timestamp")),
+            {"_minute": -F.unix_micros(minute_floor(F.col(ts)).cast("timestamp")),
              "_new": F.when(~F.col("known"), F.struct("_age", "_tie"))}
         )
-        runs = carry_last(marked, [page], ["_age", "_tie"], "_new", "_hour", "_run")
+        runs = carry_last(marked, [page], ["_age", "_tie"], "_new", "_minute", "_run")
         top = F.struct(F.lit(None).cast("bigint").alias("_age"), F.lit(None).cast("bigint").alias("_tie"))
         known = runs.filter("known").withColumn("_run", F.coalesce("_run", top))
         # A null-keyed run (no new row before it) sorts first, as it must.

@@ -50,7 +50,7 @@ def _(t):
 @query("T2_search_by_users", forum_hits(
     f"{HAS_TERM} AND time_secs BETWEEN {START} AND {END} AND uid IN (SELECT user_id FROM r_userlist WHERE list_id IN (1, 2))"))
 def _(t):
-    people = t.userlist.filter("list_id IN (1, 2)").select("user_id").distinct()
+    people = t.userlist.filter("list_id IN (1, 2)").select("user_id")
     return S.search(
         forum_postings(t), t.forum, QUERY, START, END, people, 200, "pid", "uid", "time_secs"
     ).select(COLS)

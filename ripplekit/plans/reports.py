@@ -9,15 +9,9 @@ from pyspark.sql import functions as F
 
 from ripplekit.functions.text import last_component
 from ripplekit.functions.times import bucket, bucket_step, epoch
-from ripplekit.operators.aggregates import (
-    distinct_gender_split,
-    gender_split,
-    most_reposted,
-    repost_pairs,
-    trend,
-)
+from ripplekit.operators.aggregates import rank_reposted, repost_pairs, trend
 from ripplekit.operators.filters import filter_lists, in_period, reposts
-from ripplekit.operators.joins import add_geo, hydrate, mention_rows, resolve_mentions
+from ripplekit.operators.joins import add_geo, hydrate, lookup, mention_rows, resolve_mentions
 
 REPORT_ZONE = "Asia/Hong_Kong"
 
@@ -102,30 +96,22 @@ def trend_series(
     )
 
 
-def report_for(
-    top: DataFrame, posts: DataFrame, users: DataFrame, provinces: DataFrame, period_posts: DataFrame
-) -> DataFrame:
+def report_for(top: DataFrame, posts: DataFrame, users: DataFrame, provinces: DataFrame) -> DataFrame:
     """Full report rows of an already limited list of originals.
 
-    ``top`` has ``retweeted_status`` and ``retweeted_count``.  Reposts are cut
-    to the listed originals (a semi join) before anything is counted.
+    ``top`` is the result of ``rank_reposted``, whose groups already carry the
+    counts; only the listed originals and their authors are looked up.
     """
-    wanted = top.select(F.col("retweeted_status").alias("_o"))
-    mine = period_posts.join(wanted, period_posts["retweeted_status"] == wanted["_o"], "left_semi")
-    male = gender_split(mine, users).withColumnRenamed("retweeted_status", "_g")
-    distinct = distinct_gender_split(mine, users).withColumnRenamed("retweeted_status", "_d")
-    found = hydrate(
-        top.select("retweeted_status", F.col("retweeted_count").alias("count")),
-        posts.select("id", "created_at", "user_id", "text"),
-    ).filter("id IS NOT NULL")
+    counted = top.select(
+        "retweeted_status", F.col("retweeted_count").alias("count"), "male_count", "female_count",
+        "distinct_users_count", "distinct_male_count", "distinct_female_count",
+    )
+    found = hydrate(counted, posts.select("id", "created_at", "user_id", "text")).filter("id IS NOT NULL")
     author = users.select(
         F.col("id").alias("_a"), F.col("screen_name").alias("user_name"), "followers_count",
         "province", "city", F.col("created_at").alias("user_created_at"),
     )
-    full = found.join(author, found["user_id"] == author["_a"], "left")
-    full = add_geo(full, provinces)
-    full = full.join(male, full["retweeted_status"] == male["_g"], "left")
-    full = full.join(distinct, full["retweeted_status"] == distinct["_d"], "left")
+    full = add_geo(lookup(found, "user_id", author, "_a"), provinces)
     return full.select(
         "id", "user_id", "user_name", "followers_count", "province", "city", "text", "count",
         epoch(F.col("created_at"), REPORT_ZONE, "ms").alias("created_at_ms"),
@@ -143,16 +129,15 @@ def most_reposted_report(
     provinces: DataFrame,
     start: dt.datetime,
     end: dt.datetime | None = None,
-    province: int | None = None,
     limit: int = 200,
+    **filters: object,
 ) -> DataFrame:
-    """Top originals of a period with profile, place, gender counts and dates."""
-    top = most_reposted(posts, users, start, end, province=province, limit=limit)
-    period = reposts(in_period(posts, "created_at", start, end))
-    if province is not None:
-        there = users.filter(F.col("province") == province).select(F.col("id").alias("_u"))
-        period = period.join(there, period["user_id"] == there["_u"], "left_semi")
-    return report_for(top, posts, users, provinces, period)
+    """Top originals of a period with profile, place, gender counts and dates.
+
+    ``filters`` are those of ``rank_reposted`` (province, lists, audience, age).
+    """
+    top = rank_reposted(posts, users, start, end, limit=limit, **filters)
+    return report_for(top, posts, users, provinces)
 
 
 def order_report(report: DataFrame, mode: str = "json") -> DataFrame:

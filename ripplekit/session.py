@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the operators rely on.  UTC keeps ``timestamp_ntz``
 # conversions free of daylight-saving gaps; the skew settings let AQE split a
@@ -56,3 +56,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         root = tempfile.mkdtemp(prefix="ripplekit-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def settle(df: DataFrame, purpose: str) -> DataFrame:
+    """Write a small intermediate result (a top-k list) once and read it back.
+
+    It is then computed once however often the plan uses it, does not depend on
+    executors staying alive, and has an exact size for join planning.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
