@@ -188,16 +188,13 @@ def snapshot_pair(snaps: DataFrame, before: Column, since: Column) -> DataFrame:
     One pass with partial aggregation; no self join and no window.
     """
     t = F.col("retrieved")
-    row = F.struct("retrieved", "cnt")
+    old, new = F.when(t <= before, t), F.when(t >= since, t)
+    # Fixed-width aggregation buffers keep this a hash aggregate.
     return snaps.groupBy("eid").agg(
-        F.max_by(row, F.when(t <= before, t)).alias("old"),
-        F.max_by(row, F.when(t >= since, t)).alias("new"),
-    ).select(
-        "eid",
-        F.col("old.retrieved").alias("old_retrieved"),
-        F.col("old.cnt").alias("old_cnt"),
-        F.col("new.retrieved").alias("new_retrieved"),
-        F.col("new.cnt").alias("new_cnt"),
+        F.max(old).alias("old_retrieved"),
+        F.max_by("cnt", old).alias("old_cnt"),
+        F.max(new).alias("new_retrieved"),
+        F.max_by("cnt", new).alias("new_cnt"),
     )
 
 

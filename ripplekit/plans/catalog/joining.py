@@ -104,9 +104,12 @@ def snapshot_pairs(t):
     return J.snapshot_pair(t.snapshots, F.lit("2024-01-20").cast("date"), F.lit("2024-01-28").cast("date"))
 
 
-@query("J8_snapshot_asof", PAIR_SQL + "SELECT * FROM pairs")
+@query("J8_snapshot_asof", PAIR_SQL + """
+SELECT eid, CAST(old_retrieved AS TIMESTAMP) AS old_retrieved, old_cnt, CAST(new_retrieved AS TIMESTAMP) AS new_retrieved, new_cnt
+FROM pairs""")
 def _(t):
-    return snapshot_pairs(t)
+    times = {c: F.col(c).cast("timestamp_ntz") for c in ["old_retrieved", "new_retrieved"]}
+    return snapshot_pairs(t).withColumns(times)
 
 
 @query("J9_semi_watched_unset", """
@@ -154,10 +157,10 @@ def _(t):
 
 
 @query("W1_latest_per_key", """
-SELECT eid, retrieved, cnt FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY eid ORDER BY retrieved DESC) AS rn
-FROM r_snapshots) x WHERE rn = 1""")
+SELECT eid, CAST(retrieved AS TIMESTAMP) AS retrieved, cnt FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY eid ORDER BY retrieved DESC) AS rn FROM r_snapshots) x WHERE rn = 1""")
 def _(t):
-    return W.latest(t.snapshots, "eid", "retrieved")
+    return W.latest(t.snapshots, "eid", "retrieved").withColumn("retrieved", F.col("retrieved").cast("timestamp_ntz"))
 
 
 CUT_SQL = """
