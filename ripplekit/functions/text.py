@@ -25,12 +25,25 @@ def _group(text: Column, pattern: str, idx: int) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, idx), F.lit(""))
 
 
+def first_short_url(text: Column) -> Column:
+    """First short link in full (empty when there is none)."""
+    return F.regexp_extract(text, SHORT_URL_PATTERN, 1)
+
+
+def short_url_parts(full: Column) -> dict[str, Column]:
+    """Base and hash of a short link; the link is split, not matched again."""
+    return {
+        "base": F.nullif(F.split_part(full, F.lit("/"), F.lit(3)), F.lit("")),
+        "hash": F.nullif(F.split_part(full, F.lit("/"), F.lit(4)), F.lit("")),
+    }
+
+
 def short_url(text: Column) -> Column:
     """First short link as ``struct<full, base, hash>`` (null fields when absent)."""
+    full = first_short_url(text)
     return F.struct(
-        _group(text, SHORT_URL_PATTERN, 1).alias("full"),
-        _group(text, SHORT_URL_PATTERN, 2).alias("base"),
-        _group(text, SHORT_URL_PATTERN, 3).alias("hash"),
+        F.nullif(full, F.lit("")).alias("full"),
+        *[part.alias(name) for name, part in short_url_parts(full).items()],
     )
 
 
@@ -83,15 +96,22 @@ def _han_grams(run: Column) -> Column:
 
 
 def tokens(text: Column) -> Column:
-    """Lower-cased words; runs of Han characters become overlapping bigrams."""
-    spaced = F.regexp_replace(F.lower(text), r"(\p{IsHan}+)", " $1 ")
-    words = F.filter(F.split(spaced, r"[^\p{L}\p{N}\p{M}]+"), lambda w: w != "")
-    return F.flatten(
+    """Lower-cased words; runs of Han characters become overlapping bigrams.
+
+    Only rows that hold Han characters pay for setting the runs apart.
+    """
+    lowered = F.lower(text)
+    separators = r"[^\p{L}\p{N}\p{M}]+"
+    spaced = F.regexp_replace(lowered, r"(\p{IsHan}+)", " $1 ")
+    with_grams = F.flatten(
         F.transform(
-            words,
+            F.split(spaced, separators),
             lambda w: F.when(w.rlike(r"^\p{IsHan}"), _han_grams(w)).otherwise(F.array(w)),
         )
     )
+    has_han = (F.octet_length(text) != F.length(text)) & text.rlike(r"\p{IsHan}")
+    words = F.when(has_han, with_grams).otherwise(F.split(lowered, separators))
+    return F.array_remove(words, "")
 
 
 def term_counts(token_array: Column) -> Column:
@@ -119,5 +139,5 @@ def term_counts(token_array: Column) -> Column:
         )
         return F.get(F.transform(F.array(starts), lambda s: runs(sorted_tokens, s)), 0)
 
-    counted = F.transform(F.filter(F.array(F.array_sort(token_array)), lambda a: F.size(a) > 0), count_sorted)
+    counted = F.transform(F.filter(F.array(F.sort_array(token_array)), lambda a: F.size(a) > 0), count_sorted)
     return F.get(counted, 0)

@@ -8,10 +8,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ripplekit.functions.text import hashtags, short_url
+from ripplekit.functions.text import hashtags
 from ripplekit.functions.times import bucket, with_iso_week
 from ripplekit.operators.filters import filter_lists, in_period, min_account_age, reposts
-from ripplekit.operators.joins import hydrate
+from ripplekit.operators.joins import hydrate, post_links
 
 RSVP_STATUSES = {
     "attending": "attending_count",
@@ -202,11 +202,7 @@ def top_links(
     """Short links of originals by distinct reposters on a list."""
     rts = filter_lists(in_period(reposts(posts), "created_at", since), userlist, [list_id])
     pairs = rts.groupBy("retweeted_status", "user_id").agg(F.count_distinct("id").alias("n"))
-    link = (
-        posts.select(F.col("id").alias("_o"), short_url(F.col("text")).alias("u"))
-        .filter("u.hash IS NOT NULL")
-        .select("_o", "u.*")
-    )
+    link = post_links(posts).withColumnRenamed("id", "_o")
     per_user = (
         pairs.join(link, pairs["retweeted_status"] == link["_o"])
         .groupBy("full", "base", "hash", "user_id")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplekit.functions.text import mentions, short_url
+from ripplekit.functions.text import first_short_url, mentions, short_url_parts
 from ripplekit.functions.times import minute_floor
 from ripplekit.session import settle
 
@@ -140,9 +140,10 @@ def locate_partitions(ids: DataFrame, minmax: DataFrame, per_id: int = 2, slices
     The id space of the map is cut into ``slices`` equal slices and each week is
     listed under the slices it overlaps, so ids meet weeks in an equi join on
     the slice with the range test as residual.  The map has one row per week,
-    hence its exploded form is bounded by weeks times slices.
+    hence its exploded form is bounded by weeks times slices; it is written
+    once because its bounds are asked for as well.
     """
-    known = minmax.filter("min_id IS NOT NULL AND max_id IS NOT NULL")
+    known = settle(minmax.filter("min_id IS NOT NULL AND max_id IS NOT NULL"), "weeks")
     low = known.agg(F.min("min_id")).scalar()
     high = known.agg(F.max("max_id")).scalar()
     width = F.greatest(F.ceil((high - low + 1) / F.lit(float(slices))), F.lit(1)).cast("bigint")
@@ -167,11 +168,10 @@ def locate_partitions(ids: DataFrame, minmax: DataFrame, per_id: int = 2, slices
 
 def post_links(posts: DataFrame) -> DataFrame:
     """First short link of each post that has one."""
-    return (
-        posts.select("id", short_url(F.col("text")).alias("link"))
-        .filter("link.hash IS NOT NULL")
-        .select("id", "link.*")
+    linked = posts.filter(F.col("text").contains("http://")).select(
+        "id", first_short_url(F.col("text")).alias("full")
     )
+    return linked.filter("full <> ''").withColumns(short_url_parts(F.col("full")))
 
 
 def resolve_urls(links: DataFrame, urlmap: DataFrame) -> DataFrame:

@@ -136,7 +136,7 @@ def author_name(user: str = "user") -> Column:
     return F.coalesce(F.col(f"{user}.screen_name"), F.col(f"{user}.name"), F.col(f"{user}.domain"))
 
 
-def post_rows(payload: DataFrame) -> DataFrame:
+def post_rows(payload: DataFrame, keep: list[str] = []) -> DataFrame:
     lon, lat = _point("geo")
     plain = [
         "id", "text", "source", "location", "thumbnail_pic", "bmiddle_pic", "original_pic",
@@ -153,17 +153,26 @@ def post_rows(payload: DataFrame) -> DataFrame:
         lon.alias("lon"),
         lat.alias("lat"),
         wkt_point(lat, lon).alias("geo"),
+        *keep,
     )
 
 
 def with_originals(payload: DataFrame) -> DataFrame:
-    """Rows of the posts and of the originals embedded in them (when dated)."""
-    embedded = payload.filter("retweeted_status.created_at IS NOT NULL").select("retweeted_status.*")
-    nothing = F.lit(None).cast(payload.schema["retweeted_status"].dataType)
-    originals = post_rows(embedded.withColumn("retweeted_status", nothing))
-    return post_rows(payload).withColumn("embedded", F.lit(False)).unionByName(
-        originals.withColumn("embedded", F.lit(True))
+    """Rows of the posts and of the originals embedded in them (when dated).
+
+    Both come out of one pass over the payloads: each record becomes an array
+    of itself and its original.
+    """
+    original = payload.schema["retweeted_status"].dataType
+    fields = [f.name for f in original.fields]
+    itself = F.struct(*fields, "retweeted_status", F.lit(False).alias("embedded"))
+    inner = F.struct(
+        *[F.col(f"retweeted_status.{f}").alias(f) for f in fields],
+        F.lit(None).cast(original).alias("retweeted_status"),
+        F.lit(True).alias("embedded"),
     )
+    records = F.filter(F.array(itself, inner), lambda r: ~r["embedded"] | r["created_at"].isNotNull())
+    return post_rows(payload.select(F.explode(records).alias("r")).select("r.*"), ["embedded"])
 
 
 def user_rows(payload: DataFrame, as_of: Column) -> DataFrame:

@@ -45,12 +45,17 @@ def term_bucket(term: Column, buckets: int) -> Column:
     return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
 
 
+def index_rows(docs: DataFrame, doc_id: str, text: str, ts: str) -> DataFrame:
+    """Postings of any selection of rows (a day, a week, listed ids, a CSV);
+    rows without a usable date are skipped."""
+    return build_postings(docs.filter(F.col(ts).isNotNull()), doc_id, text, [ts])
+
+
 def index_increment(
     docs: DataFrame, doc_id: str, text: str, ts: str, day: dt.date | None, inserted: str = "dbinserted"
 ) -> DataFrame:
-    """Postings of one insert date; rows without a usable date are skipped."""
-    chosen = by_insert_date(docs, day, inserted).filter(F.col(ts).isNotNull())
-    return build_postings(chosen, doc_id, text, [ts])
+    """Postings of one insert date (None: rows never stamped)."""
+    return index_rows(by_insert_date(docs, day, inserted), doc_id, text, ts)
 
 
 def query_terms(q: str) -> Column:

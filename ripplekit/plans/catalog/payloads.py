@@ -228,38 +228,31 @@ def _(t):
 
 
 def activities(t):
-    photo = obj(
-        objectType=L("photo"), url=F.concat(L("http://photo/"), C("user_id")),
-        image=obj(url=F.concat(L("http://thumb/"), C("user_id")), type=L("image/jpeg"), height=L(90), width=L(120)),
-    )
-    article = obj(objectType=L("article"), id=F.concat(L("a"), C("user_id")))
-    unkeyed = obj(objectType=L("video"))
+    image = obj(url=F.concat(L("http://thumb/"), C("user_id")), type=L("image/jpeg"), height=L(90), width=L(120))
+    no_text, no_image = L(None).cast("string"), if_set(L(False), image)
+    item = lambda kind, id, url, image: obj(objectType=L(kind), id=id, url=url, image=image)
+    photo = item("photo", no_text, F.concat(L("http://photo/"), C("user_id")), image)
+    article = item("article", F.concat(L("a"), C("user_id")), no_text, no_image)
+    unkeyed = item("video", no_text, no_text, no_image)
     k = C("id") % 3
-    listed = lambda *kinds: F.concat(L("["), F.concat_ws(",", *[F.to_json(x) for x in kinds]), L("]"))
-    attachments = F.when(k == 1, listed(photo)).when(k == 2, listed(article, unkeyed))
-    inner = F.to_json(
-        obj(
-            objectType=L("note"), content=F.when(C("id") % 2 == 0, "").otherwise(C("text")),
-            replies=obj(totalItems=C("id") % 7), plusoners=if_set(k > 0, obj(totalItems=C("id") % 5)),
-            resharers=obj(totalItems=C("id") % 3),
-        )
-    )
-    # Attachment kinds differ in shape, so their text is spliced in.
-    inner = F.when(
-        attachments.isNotNull(),
-        F.concat(F.substr(inner, L(1), F.length(inner) - 1), L(',"attachments":'), attachments, L("}")),
-    ).otherwise(inner)
-    outer = text_of(
+    j = text_of(
         id=C("id").cast("string"), title=C("screen_name"), verb=L("post"),
         actor=obj(id=C("user_id").cast("string"), displayName=C("screen_name")),
         provider=if_set(C("id") % 2 == 0, obj(title=L("web"))),
         geocode=if_set(C("lat").isNotNull(), F.concat(C("lat").cast("string"), L(" "), C("lon").cast("string"))),
         access=obj(
             kind=L("acl"),
-            items=F.array(obj(id=F.concat(L("acl"), C("user_id") % 10), type=L("public")), obj(id=L(None).cast("string"), type=L("circle"))),
+            items=F.array(
+                obj(id=F.concat(L("acl"), C("user_id") % 10), type=L("public")), obj(id=no_text, type=L("circle"))
+            ),
+        ),
+        object=obj(
+            objectType=L("note"), content=F.when(C("id") % 2 == 0, "").otherwise(C("text")),
+            replies=obj(totalItems=C("id") % 7), plusoners=if_set(k > 0, obj(totalItems=C("id") % 5)),
+            resharers=obj(totalItems=C("id") % 3),
+            attachments=F.when(k == 1, F.array(photo)).when(k == 2, F.array(article, unkeyed)),
         ),
     )
-    j = F.concat(F.substr(outer, L(1), F.length(outer) - 1), L(',"object":'), inner, L("}"))
     return P.parse(t.status.select(j.alias("j")), "j", P.GPLUS_ACTIVITY_SCHEMA)
 
 

@@ -4,8 +4,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ripplekit.functions.times import with_iso_week
 from ripplekit.operators import search as S
 from ripplekit.plans.catalog.base import joined, query
+from ripplekit.sources.readers import scan_period
 
 # The checking SQL's tokens: words, with runs of Han characters as bigrams.
 TOKENS = r"""
@@ -96,3 +98,13 @@ def _(t):
         for d in (2, 3)
     ]
     return days[0].union(days[1])
+
+
+@query("T7_incremental_index_week", f"""
+SELECT term, doc_id, CAST(COUNT(*) AS INT) AS tf FROM (SELECT id AS doc_id, unnest({tokens_sql('text')}) AS term
+  FROM r_posts WHERE isoyear(created_at) = 2024 AND week(created_at) = 2) x GROUP BY 1, 2""")
+def _(t):
+    week = scan_period(
+        with_iso_week(t.posts), dt.datetime(2024, 1, 8), dt.datetime(2024, 1, 14), ["id", "text", "created_at"]
+    )
+    return S.index_rows(week, "id", "text", "created_at").drop("created_at")
