@@ -54,9 +54,10 @@ def url_parts(url: Column) -> Column:
     )
 
 
-def last_component(name: Column) -> Column:
-    """Last ``', '``-separated part of a place name."""
-    return F.element_at(F.split(name, ", "), -1)
+def last_components(name: Column, n: int = 1) -> Column:
+    """Last ``n`` of the ``', '``-separated parts of a place name, joined by commas."""
+    parts = F.split(name, ", ")
+    return F.concat_ws(",", F.slice(parts, F.greatest(F.size(parts) - (n - 1), F.lit(1)), F.lit(n)))
 
 
 def parse_pg_array(text: Column, element: str = "string") -> Column:

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ripplekit.operators.windows import dedupe_first
+
 EVENT_MEMBER_LISTS = ["invited", "attending", "declined", "noreply", "maybe"]
 
 
@@ -35,12 +37,14 @@ def attachments(payload: DataFrame) -> tuple[DataFrame, DataFrame]:
         for part in ["url", "type", "height", "width"]
     ]
     rows = each.select(
+        "activities_id",
         "attachment_url",
         F.col("a.objectType").alias("objecttype"),
         F.col("a.displayName").alias("displayname"),
         F.col("a.content").alias("content"),
         *images,
-    ).dropDuplicates(["attachment_url"])
+    )
+    rows = dedupe_first(rows, ["attachment_url"], ["activities_id"]).drop("activities_id")
     return rows, each.select("activities_id", "attachment_url").distinct()
 
 
@@ -48,13 +52,13 @@ def accesses(payload: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Access rows and the activity bridge."""
     each = payload.select(F.col("id").alias("activities_id"), F.explode("access.items").alias("x"))
     each = each.filter("x.id IS NOT NULL")
-    rows = each.select("x.*").dropDuplicates(["id"])
+    rows = dedupe_first(each.select("activities_id", "x.*"), ["id"], ["activities_id"]).drop("activities_id")
     return rows, each.select("activities_id", F.col("x.id").alias("accesses_id")).distinct()
 
 
 def _user_dimension(payload: DataFrame, array: str, key: str) -> tuple[DataFrame, DataFrame]:
     each = payload.select(F.col("name").alias("user_name"), F.explode(array).alias("x"))
-    dimension = each.select("x.*").dropDuplicates(["id"])
+    dimension = dedupe_first(each.select("user_name", "x.*"), ["id"], ["user_name"]).drop("user_name")
     bridge = each.filter("user_name IS NOT NULL").select("user_name", F.col("x.id").alias(key))
     return dimension, bridge.distinct()
 
@@ -117,5 +121,6 @@ def members(payload: DataFrame, kind: str, as_of: Column) -> tuple[DataFrame, Da
         bridge = each.select(
             F.col("uid"), F.col("id").alias("eid"), "rsvp_status", as_of.alias("retrieved")
         ).distinct()
-    users = each.select(F.col("uid").alias("id"), "name").dropDuplicates(["id"])
+    named = each.select(F.col("id").alias("_owner"), F.col("uid").alias("id"), "name")
+    users = dedupe_first(named, ["id"], ["_owner"]).drop("_owner")
     return users, bridge

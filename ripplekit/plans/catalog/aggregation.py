@@ -323,7 +323,7 @@ g AS (SELECT s.retweeted_status, COUNT(*) FILTER (u.gender = 'm') AS male_count,
   WHERE s.created_at >= TIMESTAMP '2024-01-05' AND s.created_at <= TIMESTAMP '2024-01-25' GROUP BY 1),
 rep AS (SELECT p.id, p.user_id, a.screen_name AS user_name, a.followers_count, a.province, a.city, p.text, top.n AS count,
   epoch_us(p.created_at - INTERVAL 8 HOUR) // 1000 AS created_at_ms, epoch_us(a.created_at - INTERVAL 8 HOUR) // 1000 AS user_created_at_ms,
-  pv.provname, c.cityname, c.name_en AS cityname_en, split_part(pv.name_en, ', ', 3) AS provname_en,
+  pv.provname, c.cityname, c.name_en AS cityname_en, split_part(pv.name_en, ', ', 2) || ',' || split_part(pv.name_en, ', ', 3) AS provname_en,
   g.male_count, g.female_count, g.distinct_users_count, g.distinct_male_count, g.distinct_female_count
 FROM top JOIN r_posts p ON top.retweeted_status = p.id LEFT JOIN r_users a ON p.user_id = a.id
 LEFT JOIN r_provinces pv ON a.province = pv.provid AND pv.cityid = 1

@@ -113,7 +113,7 @@ def _(t):
 @query("X12_last_component", """
 SELECT provid, cityid, split_part(name_en, ', ', 3) AS province_en FROM r_provinces""")
 def _(t):
-    return t.provinces.select("provid", "cityid", X.last_component(C("name_en")).alias("province_en"))
+    return t.provinces.select("provid", "cityid", X.last_components(C("name_en")).alias("province_en"))
 
 
 @query("X13_pg_array_literal", """

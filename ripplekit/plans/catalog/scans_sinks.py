@@ -76,19 +76,24 @@ def _(t):
 
 @query("S5_rss_items_scan", """
 SELECT id // 50 AS blogid, 'post ' || CAST(id AS STRING) AS title, 'http://blog/' || CAST(id AS STRING) AS link,
-  text AS description, CASE WHEN id % 2 = 0 THEN screen_name END AS author FROM r_posts""")
+  text AS description, CASE WHEN id % 2 = 0 THEN screen_name END AS author,
+  date_trunc('second', created_at) - INTERVAL 8 HOUR AS pubdate FROM r_posts WHERE user_id % 7 <> 0""")
 def _(t):
     i = C("id").cast("string")
     item = F.concat(
         L("<item><title>post "), i, L("</title><link>http://blog/"), i, L("</link><description><![CDATA["),
         C("text"), L("]]></description>"),
         F.when(C("id") % 2 == 0, F.concat(L("<author>"), C("screen_name"), L("</author>"))).otherwise(""),
+        F.when(
+            C("user_id") % 7 != 0,
+            F.concat(L("<pubDate>"), F.date_format("created_at", "EEE, dd MMM yyyy HH:mm:ss"), L(" +0800</pubDate>")),
+        ).otherwise(""),
         L("</item>"),
     )
     feeds = t.posts.groupBy(F.floor(C("id") / 50).alias("blogid")).agg(
         F.concat(L("<rss><channel>"), F.array_join(F.collect_list(item), "\n"), L("</channel></rss>")).alias("feed")
     )
-    return RD.read_rss(feeds, "feed").select("blogid", "title", "link", "description", "author")
+    return RD.read_rss(feeds, "feed").select("blogid", "title", "link", "description", "author", "pubdate")
 
 
 @query("S6_week_partition_scan", """

@@ -6,10 +6,10 @@ from ripplekit.operators import keyed as K
 from ripplekit.plans.catalog.base import query
 from ripplekit.plans.catalog.joining import GROWTH_SQL
 from ripplekit.plans.catalog.keyed_state import DECISION_SQL
+from ripplekit.plans.roles import TABLE_SCHEMAS
 from ripplekit.session import shared_dir
 from ripplekit.streaming import streams as ST
 
-EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 
 
 def number_of():
@@ -18,7 +18,7 @@ def number_of():
 
 def event_stream(t):
     return (
-        t.spark.readStream.schema(EVENT_SCHEMA).option("pathGlobFilter", "events.parquet").parquet(t.dir)
+        t.spark.readStream.schema(TABLE_SCHEMAS["events"]).option("pathGlobFilter", "events.parquet").parquet(t.dir)
     )
 
 

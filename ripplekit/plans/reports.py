@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplekit.functions.text import last_component
+from ripplekit.functions.text import last_components
 from ripplekit.functions.times import bucket, bucket_step, epoch
 from ripplekit.operators.aggregates import rank_reposted, repost_pairs, trend
 from ripplekit.operators.filters import filter_lists, in_period, reposts
@@ -117,7 +117,7 @@ def report_for(top: DataFrame, posts: DataFrame, users: DataFrame, provinces: Da
         epoch(F.col("created_at"), REPORT_ZONE, "ms").alias("created_at_ms"),
         epoch(F.col("user_created_at"), REPORT_ZONE, "ms").alias("user_created_at_ms"),
         "provname", "cityname", "cityname_en",
-        last_component(F.col("provname_full_en")).alias("provname_en"),
+        F.when(F.col("provname").isNotNull(), last_components(F.col("provname_full_en"), 2)).alias("provname_en"),
         "male_count", "female_count", "distinct_users_count", "distinct_male_count",
         "distinct_female_count",
     )

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 
@@ -53,11 +54,15 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        root = tempfile.mkdtemp(prefix="ripplekit-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_root()
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 
+@functools.cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="ripplekit-")
+
+
 def settle(df: DataFrame, purpose: str) -> DataFrame:
     """Write a small intermediate result (a top-k list) once and read it back.
 

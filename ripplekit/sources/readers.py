@@ -7,6 +7,8 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ripplekit.functions.times import parse_pubdate
+
 # API error-code prefixes after which a record is given up.
 FATAL_ERROR_CODES = ["40302", "40023", "40031"]
 
@@ -61,13 +63,18 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_rss(df: DataFrame, xml: str) -> DataFrame:
-    """One row per ``<item>`` of a feed column; other columns are kept."""
+    """One row per dated ``<item>`` of a feed column; other columns are kept.
+
+    ``pubdate`` is in UTC; an item without a readable date is not stored.
+    """
     items = F.regexp_extract_all(F.col(xml), F.lit(r"(?s)(<item\b.*?</item>)"), F.lit(1))
     keep = [c for c in df.columns if c != xml]
     return (
         df.select(*keep, F.explode(items).alias("item"))
         .select(*keep, F.from_xml("item", RSS_ITEM_SCHEMA).alias("item"))
         .select(*keep, "item.*")
+        .withColumn("pubdate", parse_pubdate(F.col("pubDate")))
+        .filter("pubdate IS NOT NULL")
     )
 
 

@@ -133,4 +133,7 @@ def test_points(spark):
 
 def test_csv_quote_and_last_component(spark):
     assert value(spark, text.csv_quote(F.lit('a "b"'))) == '"a ""b"""'
-    assert value(spark, text.last_component(F.lit("Wan Chai, Hong Kong"))) == "Hong Kong"
+    place = F.lit("Wan Chai, Hong Kong, China")
+    assert value(spark, text.last_components(place)) == "China"
+    assert value(spark, text.last_components(place, 2)) == "Hong Kong,China"
+    assert value(spark, text.last_components(F.lit("China"), 2)) == "China"
