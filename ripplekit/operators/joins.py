@@ -11,6 +11,10 @@ from ripplekit.functions.times import minute_floor
 from ripplekit.session import settle
 
 
+# Rows of one key that a single task still sorts comfortably.
+HOT_ROWS = 5_000_000
+
+
 def repost_star(posts: DataFrame, users: DataFrame) -> DataFrame:
     """Each repost with its author, its original and the original's author."""
     author = users.select(
@@ -78,28 +82,41 @@ def add_geo(df: DataFrame, provinces: DataFrame, main_city: int = 1) -> DataFram
 
 
 def carry_last(
-    df: DataFrame, keys: list[str], order: list[str], value: str, bucket: str, name: str
+    df: DataFrame,
+    keys: list[str],
+    order: list[str],
+    value: str,
+    bucket: str,
+    name: str,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Last non-null ``value`` up to each row, per key, in ``order``.
 
-    A single window per key would put all rows of a hot key in one task.  Here
-    ``bucket`` (any non-decreasing function of the first order column) splits
-    each key: a partial aggregation keeps one value per (key, bucket), a window
-    over those few rows finds what each bucket inherits, and the row-level
-    window runs inside (key, bucket) only.
+    A window sorts all rows of a key in one task, so keys are counted first (a
+    map-side aggregate; only the names of keys beyond ``hot_rows`` are kept) and
+    hot keys take another way: ``bucket``, any non-decreasing function of the
+    first order column, splits them.  One value per (key, bucket) is aggregated,
+    a window over those few rows finds what each bucket inherits, and the
+    row-level window runs inside (key, bucket) only.
     """
+    def fill(part: list[str]) -> Column:
+        frame = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return F.last(value, ignorenulls=True).over(frame)
+
+    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
+    hot = settle(counted.select(*keys), "hot-keys")
+    if hot.isEmpty():
+        return df.withColumn(name, fill(keys))
+    cold = df.join(hot, keys, "left_anti")
+    split = df.join(hot, keys, "left_semi")
     part = keys + [bucket]
-    ends = df.groupBy(*part).agg(
+    ends = split.groupBy(*part).agg(
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_end")
     )
     before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     inherited = ends.select(*part, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-    within = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (
-        df.join(inherited, part)
-        .withColumn(name, F.coalesce(F.last(value, ignorenulls=True).over(within), F.col("_carry")))
-        .drop("_carry")
-    )
+    parted = split.join(inherited, part).withColumn(name, F.coalesce(fill(part), F.col("_carry")))
+    return cold.withColumn(name, fill(keys)).unionByName(parted.drop("_carry"))
 
 
 def mention_rows(posts: DataFrame) -> DataFrame:
@@ -109,7 +126,7 @@ def mention_rows(posts: DataFrame) -> DataFrame:
     )
 
 
-def resolve_mentions(probes: DataFrame, posts: DataFrame) -> DataFrame:
+def resolve_mentions(probes: DataFrame, posts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """User id behind each mention: the latest strictly earlier repost of the
     same original by that screen name.
 
@@ -127,7 +144,8 @@ def resolve_mentions(probes: DataFrame, posts: DataFrame) -> DataFrame:
     )
     rows = asked.unionByName(candidates).withColumn("_minute", minute_floor(F.col("created_at")))
     found = carry_last(
-        rows, ["retweeted_status", "name"], ["created_at", "kind", "id", "pos"], "uid", "_minute", "ref_user_id"
+        rows, ["retweeted_status", "name"], ["created_at", "kind", "id", "pos"], "uid", "_minute",
+        "ref_user_id", hot_rows,
     )
     return found.filter("kind = 0").select(
         "id", "pos", "retweeted_status", "name", "created_at", "ref_user_id"

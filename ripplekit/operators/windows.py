@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplekit.functions.times import minute_floor
-from ripplekit.operators.joins import carry_last
+from ripplekit.operators.joins import HOT_ROWS, carry_last
 
 
 def latest(df: DataFrame, key: str, ts: str) -> DataFrame:
@@ -49,6 +49,7 @@ def incremental_cutoff(
     page: str = "user_id",
     key: str = "id",
     ts: str = "created_at",
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows of each newest-first page that a crawler would still process.
 
@@ -70,7 +71,7 @@ def incremental_cutoff(
             {"_minute": -F.unix_micros(minute_floor(F.col(ts)).cast("timestamp")),
              "_new": F.when(~F.col("known"), F.struct("_age", "_tie"))}
         )
-        runs = carry_last(marked, [page], ["_age", "_tie"], "_new", "_minute", "_run")
+        runs = carry_last(marked, [page], ["_age", "_tie"], "_new", "_minute", "_run", hot_rows)
         top = F.struct(F.lit(None).cast("bigint").alias("_age"), F.lit(None).cast("bigint").alias("_tie"))
         known = runs.filter("known").withColumn("_run", F.coalesce("_run", top))
         # A null-keyed run (no new row before it) sorts first, as it must.

@@ -111,9 +111,10 @@ def crawl(known, n, reset):
     return len(known)
 
 
+@pytest.mark.parametrize("hot_rows", [50, 10**6])
 @pytest.mark.parametrize("reset", [True, False])
 @pytest.mark.parametrize("n", [1, 3, 5])
-def test_cutoff_equals_a_sequential_crawler(spark, n, reset):
+def test_cutoff_equals_a_sequential_crawler(spark, n, reset, hot_rows):
     rng = random.Random(n)
     pages, expected = [], []
     for user in range(12):
@@ -127,11 +128,12 @@ def test_cutoff_equals_a_sequential_crawler(spark, n, reset):
     batch = frame(spark, pages, "id bigint, user_id bigint, ts string, k boolean").withColumn(
         "created_at", F.col("ts").cast("timestamp_ntz")
     )
-    got = WN.incremental_cutoff(batch, batch.filter("k").select("id"), n, reset)
+    got = WN.incremental_cutoff(batch, batch.filter("k").select("id"), n, reset, hot_rows=hot_rows)
     assert [r[0] for r in rows(got, "id")] == [r for r in sorted(expected, key=lambda i: repr((i,)))]
 
 
-def test_asof_is_strict_and_survives_a_hot_name(spark):
+@pytest.mark.parametrize("hot_rows", [1, 60, 10**6])
+def test_asof_is_strict_and_survives_a_hot_name(spark, hot_rows):
     """A third of all mentions name one user; brute force gives the same answers."""
     rng = random.Random(3)
     posts = []
@@ -143,7 +145,7 @@ def test_asof_is_strict_and_survives_a_hot_name(spark):
     df = frame(
         spark, posts, "id bigint, ts string, user_id bigint, screen_name string, retweeted_status bigint, text string"
     ).withColumn("created_at", F.col("ts").cast("timestamp_ntz"))
-    got = {(r["id"], r["pos"]): r["ref_user_id"] for r in J.resolve_mentions(J.mention_rows(df), df).collect()}
+    got = {(r["id"], r["pos"]): r["ref_user_id"] for r in J.resolve_mentions(J.mention_rows(df), df, hot_rows).collect()}
     assert len(got) == 1200
     for i, ts, _, _, rt, body in posts:
         for pos, name in enumerate([body.split("//@")[1].split(":")[0], "u1"]):
