@@ -57,7 +57,8 @@ UNION ALL SELECT c_custkey, 6 FROM customer WHERE c_custkey % 4 = 0""",
     "r_provinces": """
 SELECT n_nationkey AS provid, c.cityid, n_name AS provname, n_name || '-' || CAST(c.cityid AS STRING) AS cityname,
        'city' || CAST(c.cityid AS STRING) || ', ' || n_name || ', ' || r_name AS name_en
-FROM nation JOIN region ON n_regionkey = r_regionkey CROSS JOIN (VALUES (0), (1), (2)) AS c(cityid)""",
+FROM (SELECT *, 0 AS cityid FROM nation UNION ALL SELECT *, 1 FROM nation UNION ALL SELECT *, 2 FROM nation) c
+JOIN region ON n_regionkey = r_regionkey""",
     "r_snapshots": """
 SELECT eid, retrieved,
        CAST(CASE eid % 6 WHEN 0 THEN cum WHEN 1 THEN 90 + cum WHEN 2 THEN 1500 + 3 * cum WHEN 3 THEN 1500 - 3 * cum

@@ -42,6 +42,8 @@ def run_to_log(
     each: Callable[[DataFrame, int], None] | None = None,
 ) -> None:
     """Drain what is available into a change log (or a custom batch writer)."""
+    # An empty first entry, so that a stream without data leaves a readable log.
+    write_batch(stream.sparkSession.createDataFrame([], stream.schema), log, -1)
     writer = each or (lambda df, batch_id: write_batch(df, log, batch_id))
     (
         stream.writeStream.foreachBatch(writer)
@@ -131,6 +133,8 @@ def stream_watch(
         decided = watch_decision(snapshot_pair(mine, before, since), states)
         write_batch(decided.select("id", "decision"), decisions, batch_id)
 
+    nothing = src.sparkSession.createDataFrame([], "id BIGINT, decision BOOLEAN")
+    write_batch(nothing, decisions, -1)
     run_to_log(src, snapshots, checkpoint, each=decide)
 
 

@@ -37,7 +37,7 @@ def test_ingest_ignores_repeats(spark, posts):
 def test_trend_over_batches_equals_batch_counts(spark, posts):
     log, state = shared_dir(spark, "log"), shared_dir(spark, "state")
     ST.run_to_log(ST.stream_trend(stream(spark, posts), "1 day", "40 days"), log, state, "update")
-    assert ST.read_log(spark, log).select("batch").distinct().count() > 1
+    assert ST.read_log(spark, log).select("batch").distinct().count() > 2
     got = ST.latest_of(ST.read_log(spark, log), ["window_start", "retweeted_status"])
     want = posts[0].filter("retweeted_status IS NOT NULL").groupBy(
         F.date_trunc("day", "created_at").alias("window_start"), "retweeted_status"
@@ -89,3 +89,12 @@ def test_first_deletion_stays(spark):
     assert [(r[0], str(r[1])[:10], r[2]) for r in rows(got)] == [
         (1, "2024-01-02", True), (2, "2020-01-01", None), (3, "2024-01-05", True), (4, "None", None),
     ]
+
+
+def test_stream_without_data_leaves_an_empty_log(spark):
+    src, log, state = (shared_dir(spark, p) for p in ("in", "log", "state"))
+    schema = "id bigint, name string, seq int"
+    spark.createDataFrame([], schema).write.parquet(src)
+    ST.stream_upsert(spark.readStream.schema(schema).parquet(src), log, state)
+    store = spark.createDataFrame([(3, "keep")], "id bigint, name string")
+    assert rows(ST.current_rows(store, ST.read_log(spark, log), ["id"], ["seq"])) == [(3, "keep")]
