@@ -157,9 +157,9 @@ def _(t):
 
 
 @query("S12_log_append_sink", """
-SELECT id, 'spam' AS kind FROM r_posts WHERE user_id < 10 UNION ALL SELECT id, 'query' FROM r_comments""")
+SELECT id, 'spam' AS kind FROM r_posts WHERE retweeted_status IS NULL UNION ALL SELECT id, 'query' FROM r_comments""")
 def _(t):
     path = shared_dir(t.spark, "log")
-    WR.append_log(t.posts.filter("user_id < 10").select("id", L("spam").alias("kind")), path)
+    WR.append_log(t.posts.filter("retweeted_status IS NULL").select("id", L("spam").alias("kind")), path)
     WR.append_log(t.comments.select("id", L("query").alias("kind")), path)
     return t.spark.read.parquet(path)
