@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ripplekit.functions.geo import distance_km
+
 # Place words of the region rules (``%`` is the SQL wildcard) and post types.
 TAIWAN_WORDS_ANY_CASE = ["%taiwan%", "%taipei%"]
 TAIWAN_WORDS = ["%臺%", "%台灣%", "%台北%", "%高雄%", "%台中%", "%台南%", "%新竹%", "%花蓮%"]
@@ -92,7 +94,7 @@ def link_rule(column: str = "link") -> Column:
     return _any([c.ilike(w) for w in TAIWAN_LINKS]) & ~_any([c.ilike(w) for w in HONG_KONG_LINKS])
 
 
-def keyword_rule(df: DataFrame, columns: list[str], links: list[str] = []) -> DataFrame:
+def keyword_rule(df: DataFrame, columns: list[str], links: tuple[str, ...] = ()) -> DataFrame:
     """Still-watched rows that any of the text or link columns places elsewhere."""
     rules = [region_rule(c) for c in columns] + [link_rule(c) for c in links]
     return by_watch_state(df, "is not false").filter(_any([F.coalesce(r, F.lit(False)) for r in rules]))
@@ -213,8 +215,6 @@ def in_bbox(points: DataFrame, boxes: DataFrame, cell: float = 1.0) -> DataFrame
 
 
 def within_radius(points: DataFrame, lon: float, lat: float, km: float) -> DataFrame:
-    from ripplekit.functions.geo import distance_km
-
     d = distance_km(F.col("lon"), F.col("lat"), F.lit(lon), F.lit(lat))
     degrees = km / 111.0 + 0.01
     return points.filter(F.col("lat").between(lat - degrees, lat + degrees)).withColumn(

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from ripplekit.functions.geo import wkt_from_text, wkt_point
 from ripplekit.functions.times import parse_api_date
+from ripplekit.operators.filters import geo_or_location
 
 # Field names and types of the networks' payloads (Spark DDL).
 STATUS_FIELDS = (
@@ -136,7 +137,7 @@ def author_name(user: str = "user") -> Column:
     return F.coalesce(F.col(f"{user}.screen_name"), F.col(f"{user}.name"), F.col(f"{user}.domain"))
 
 
-def post_rows(payload: DataFrame, keep: list[str] = []) -> DataFrame:
+def post_rows(payload: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     lon, lat = _point("geo")
     plain = [
         "id", "text", "source", "location", "thumbnail_pic", "bmiddle_pic", "original_pic",
@@ -172,7 +173,7 @@ def with_originals(payload: DataFrame) -> DataFrame:
         F.lit(True).alias("embedded"),
     )
     records = F.filter(F.array(itself, inner), lambda r: ~r["embedded"] | r["created_at"].isNotNull())
-    return post_rows(payload.select(F.explode(records).alias("r")).select("r.*"), ["embedded"])
+    return post_rows(payload.select(F.explode(records).alias("r")).select("r.*"), ("embedded",))
 
 
 def user_rows(payload: DataFrame, as_of: Column) -> DataFrame:
@@ -337,8 +338,6 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 def geo_rows(payload: DataFrame, lat_prefix: str) -> DataFrame:
     """Geo-search hits: coordinates from ``geo``, else from a "lat,lng" location."""
-    from ripplekit.operators.filters import geo_or_location
-
     parts = F.split("location", ",")
     from_text = F.col("geo").isNull() & F.col("location").startswith(lat_prefix) & (F.size(parts) > 1)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ripplekit.functions.text import page_range, term_counts, tokens
-from ripplekit.operators.filters import by_insert_date
+from ripplekit.operators.filters import by_ids, by_insert_date
 
 MAX_HITS = 500_000
 MAX_FORUM_HITS = 1_000
@@ -19,7 +19,7 @@ def with_tokens(df: DataFrame, column: str, name: str = "token_set") -> DataFram
     return df.withColumn(name, F.array_sort(F.array_distinct(tokens(F.col(column)))))
 
 
-def build_postings(docs: DataFrame, doc_id: str, text: str, keep: list[str] = []) -> DataFrame:
+def build_postings(docs: DataFrame, doc_id: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per (term, document) with its count; counted inside each row, so
     the build is a single narrow stage over the documents."""
     counted = term_counts(tokens(F.col(text)))
@@ -48,7 +48,7 @@ def term_bucket(term: Column, buckets: int) -> Column:
 def index_rows(docs: DataFrame, doc_id: str, text: str, ts: str) -> DataFrame:
     """Postings of any selection of rows (a day, a week, listed ids, a CSV);
     rows without a usable date are skipped."""
-    return build_postings(docs.filter(F.col(ts).isNotNull()), doc_id, text, [ts])
+    return build_postings(docs.filter(F.col(ts).isNotNull()), doc_id, text, (ts,))
 
 
 def index_increment(
@@ -96,8 +96,6 @@ def search(
     """Documents matching any term of ``q`` in a date range and user set, newest
     first.  An empty ``q`` lists by range only.  The postings side is already
     restricted to the query's terms, so the semi join reads few terms."""
-    from ripplekit.operators.filters import by_ids
-
     rows = _time_range(docs, ts, start, end)
     if user_ids is not None:
         rows = by_ids(rows, user_ids, user)

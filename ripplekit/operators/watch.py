@@ -84,7 +84,6 @@ def apply_watch(entities: DataFrame, decisions: DataFrame) -> DataFrame:
     return out.withColumn("watching", F.coalesce("_new", "watching")).drop("_id", "_new")
 
 
-def apply_region_rules(entities: DataFrame, stopped: DataFrame) -> DataFrame:
-    """Stop watching the entities a clean-up filter selected."""
-    ids = stopped.select(F.col("id").alias("id"), F.lit(False).alias("decision")).distinct()
-    return apply_watch(entities, ids)
+def stop_watching(entities: DataFrame, stopped: DataFrame) -> DataFrame:
+    """Stop watching the entities the clean-up filters selected."""
+    return apply_watch(entities, stopped.select("id", F.lit(False).alias("decision")).distinct())

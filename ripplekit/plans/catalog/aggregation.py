@@ -4,9 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ripplekit.functions.times import bucket
 from ripplekit.operators import aggregates as A
-from ripplekit.operators import joins as J
 from ripplekit.operators import watch as WT
 from ripplekit.plans import reports as R
 from ripplekit.plans.catalog.base import AS_OF, END, START, joined, ntz, query
@@ -300,14 +298,14 @@ def _(t):
 WITH c AS (SELECT retweeted_status, date_trunc('hour', created_at) + INTERVAL 1 MINUTE * CAST(20 * round_even(minute(created_at) / 20.0, 0) AS INT) AS time,
     COUNT(*) AS n, COUNT(DISTINCT user_id) AS u
   FROM r_posts WHERE retweeted_status IS NOT NULL AND created_at >= TIMESTAMP '2024-01-25'
-    AND user_id IN (SELECT id FROM r_users WHERE province = 7) AND user_id IN (SELECT user_id FROM r_userlist WHERE list_id = 6)
+    AND user_id IN (SELECT id FROM r_users WHERE province = 17) AND user_id IN (SELECT user_id FROM r_userlist WHERE list_id = 5)
   GROUP BY 1, 2),
 s AS (SELECT retweeted_status, TIMESTAMP '2024-01-25' AS t0, MAX(time) AS t1 FROM c GROUP BY 1),
 d AS (SELECT retweeted_status, unnest(generate_series(t0, t1, INTERVAL 20 MINUTE)) AS time FROM s)
 SELECT d.retweeted_status, CAST(d.time AS TIMESTAMP) AS time, coalesce(c.n, 0) AS count, coalesce(c.u, 0) AS users
 FROM d LEFT JOIN c ON d.retweeted_status = c.retweeted_status AND d.time = c.time""")
 def _(t):
-    return R.trend_series(t.posts, t.users, "20m", None, END, 7, t.userlist, 6)
+    return R.trend_series(t.posts, t.users, "20m", None, END, 17, t.userlist, 5)
 
 
 REPORT_SQL = """

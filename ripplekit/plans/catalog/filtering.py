@@ -4,8 +4,6 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ripplekit.functions.geo import distance_km
-from ripplekit.operators import aggregates as A
 from ripplekit.operators import filters as fl
 from ripplekit.operators import joins as J
 from ripplekit.plans.catalog.base import AS_OF, END, START, query
@@ -80,7 +78,7 @@ SELECT id, name, link FROM r_objects WHERE watching IS NOT FALSE AND (
  ((name ILIKE '%taiwan%' OR name ILIKE '%taipei%') AND name NOT ILIKE '%hong%kong%')
  OR ((link ILIKE '%.tw%' OR link ILIKE '%tw.%') AND link NOT ILIKE '%.hk%' AND link NOT ILIKE '%hongkong%'))""")
 def _(t):
-    return fl.keyword_rule(t.objects, ["name"], ["link"]).select("id", "name", "link")
+    return fl.keyword_rule(t.objects, ["name"], ("link",)).select("id", "name", "link")
 
 
 @query("F9_tristate_flag", """

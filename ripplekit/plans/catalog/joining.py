@@ -6,7 +6,7 @@ from ripplekit.operators import aggregates as A
 from ripplekit.operators import joins as J
 from ripplekit.operators import sets as S
 from ripplekit.operators import windows as W
-from ripplekit.operators.filters import by_watch_state, type_guard
+from ripplekit.operators.filters import by_watch_state
 from ripplekit.operators.watch import worklist
 from ripplekit.plans.catalog.base import AS_OF, BEFORE, END, START, ntz, query
 

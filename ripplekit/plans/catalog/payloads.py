@@ -364,6 +364,12 @@ def _(t):
     return P.select_profile(t.posts.select("id", "user_id"), t.users, extra=True).drop("user_id")
 
 
+@query("P14_optional_columns_minimal", """
+SELECT p.id, p.user_id, u.id AS user_id_ref FROM r_posts p LEFT JOIN r_users u ON p.user_id = u.id""")
+def _(t):
+    return P.select_profile(t.posts.select("id", "user_id"), t.users, minimal=True)
+
+
 ENTITY_SQL = {
     "urls": """
 SELECT CAST(id AS STRING) AS parent_id, 'people' AS parent_type, 'http://a/' || CAST(id AS STRING) AS value, 'home' AS type,

@@ -17,9 +17,6 @@ def _(t):
     return t.table("orders").select("o_orderkey", TM.iso_year(d).alias("iso_year"), TM.iso_week(d).alias("iso_week"))
 
 
-STAMPED = "SELECT event_id, CASE event_id % 3 WHEN 0 THEN {day} WHEN 1 THEN {minute} ELSE 'soon' END AS s FROM events"
-
-
 @query("X2_multi_format_timestamp", """
 SELECT event_id, CASE event_id % 3 WHEN 0 THEN date_trunc('day', ts) WHEN 1 THEN date_trunc('minute', ts) END AS ts FROM events""")
 def _(t):

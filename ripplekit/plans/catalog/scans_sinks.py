@@ -44,12 +44,14 @@ def _(t):
     k = C("user_id") % 10
     error = (
         F.when(k == 0, "40302:Error: auth failed").when(k == 1, "40023:Error: spam")
-        .when(k == 2, "40031:Error: gone").when(k == 3, "50000:Error: busy")
+        .when(k == 2, "40031:Error: gone")
     )
+    message = F.when(k == 3, "50000:Error: busy")
     payload = P.parse(
-        t.posts.select(text_of(id=C("id"), error=error).alias("j")), "j", "id BIGINT, error STRING"
+        t.posts.select(text_of(id=C("id"), error=error, error_msg=message).alias("j")), "j",
+        "id BIGINT, error STRING, error_msg STRING",
     )
-    ok, errors = RD.split_errors(payload)
+    ok, errors = RD.split_errors(payload, ("error", "error_msg"))
     none = L(None)
     return ok.select(
         "id", L("ok").alias("kind"), none.cast("string").alias("error_code"), none.cast("boolean").alias("fatal")

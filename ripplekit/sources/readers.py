@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplekit.functions.times import parse_pubdate
+from ripplekit.operators.filters import by_insert_date
 
 # API error-code prefixes after which a record is given up.
 FATAL_ERROR_CODES = ["40302", "40023", "40031"]
@@ -35,11 +36,15 @@ def read_payloads(spark: SparkSession, path: str, schema: str, whole_file: bool
     )
 
 
-def split_errors(df: DataFrame, error: str = "error") -> tuple[DataFrame, DataFrame]:
-    """Rows without an error, and error records marked ``fatal`` or not."""
-    ok = df.filter(F.col(error).isNull()).drop(error)
+def split_errors(df: DataFrame, columns: tuple[str, ...] = ("error",)) -> tuple[DataFrame, DataFrame]:
+    """Rows without an error, and error records marked ``fatal`` or not.
+
+    ``columns`` are the fields a network reports errors in, first one set wins.
+    """
+    error = F.coalesce(*columns)
+    ok = df.filter(error.isNull()).drop(*columns)
     code = F.substring(error, 1, 5)
-    errors = df.filter(F.col(error).isNotNull()).select(
+    errors = df.filter(error.isNotNull()).select(
         "*", code.alias("error_code"), code.isin(FATAL_ERROR_CODES).alias("fatal")
     )
     return ok, errors
@@ -101,6 +106,4 @@ def scan_network(
     tables: dict[str, DataFrame], network: str, day: dt.date | None, inserted: str = "dbinserted"
 ) -> DataFrame:
     """Posts of one network inserted on ``day`` (or never stamped when None)."""
-    from ripplekit.operators.filters import by_insert_date
-
     return by_insert_date(tables[network], day, inserted).withColumn("network", F.lit(network))

@@ -29,7 +29,7 @@ def test_not_in_drops_nulls_only_when_the_list_has_ids(spark):
 )
 def test_region_words(spark, name, hit):
     df = spark.createDataFrame([(1, name, None, None)], "id int, name string, link string, watching boolean")
-    assert fl.keyword_rule(df, ["name"], ["link"]).count() == int(hit)
+    assert fl.keyword_rule(df, ["name"], ("link",)).count() == int(hit)
 
 
 def test_decided_rows_are_left_alone(spark):
