@@ -38,24 +38,33 @@ def parse_api_date(text: Column) -> Column:
 
 
 def parse_pubdate(text: Column) -> Column:
-    """Feed date to UTC; a non-RFC-822 date is read as ``yyyy/MM/dd`` at +08:00."""
-    pattern = r"^(?:\w{3},\s*)?(\d{1,2} \w{3} \d{4} [\d:]{5,8})\s+(\S+)$"
-    wall = parse_first(
-        F.regexp_extract(text, pattern, 1), ["d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm"]
-    )
-    zone = F.regexp_extract(text, pattern, 2)
+    """Feed date to UTC; a non-RFC-822 date is read as ``yyyy/MM/dd`` at +08:00.
+
+    Years may have two digits (70-99: the last century).  A zone is an offset, a
+    name of RFC 822, or a name the JVM knows; with any other the date is null.
+    """
+    pattern = r"^(?:\w{3},\s*)?(\d{1,2} \w{3}) (\d{4}|\d{2}) ([\d:]{5,8})\s+(\S+)$"
+    day, year, time, zone = (F.regexp_extract(text, pattern, i) for i in range(1, 5))
+    century = F.when(F.length(year) == 4, "").when(year >= "70", "19").otherwise("20")
+    stated = F.concat(day, F.lit(" "), century, year, F.lit(" "), time)
+    wall = parse_first(stated, ["d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm"])
     digits = F.regexp_extract(zone, r"^[+-](\d{2})(\d{2})$", 1).try_cast("int") * 60 + F.regexp_extract(
         zone, r"^[+-](\d{2})(\d{2})$", 2
     ).try_cast("int")
     names = F.create_map(*[F.lit(x) for pair in RFC822_ZONES.items() for x in pair])
     offset = F.coalesce(
-        F.when(zone.startswith("-"), -digits).otherwise(digits), F.try_element_at(names, zone), F.lit(0)
+        F.when(zone.startswith("-"), -digits).otherwise(digits), F.try_element_at(names, F.upper(zone))
     )
+    zoned = F.concat(stated, F.lit(" "), zone)
+    formats = [f"d MMM yyyy {clock} {name}" for clock in ("HH:mm:ss", "HH:mm") for name in ("z", "VV")]
+    named = F.coalesce(*[F.try_to_timestamp(zoned, F.lit(f)) for f in formats])
+    instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), named.cast("timestamp_ntz"))
     fallback = parse_first(
         F.replace(text, F.lit("/"), F.lit("-")), ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd"]
     )
     return F.coalesce(
         wall - F.make_dt_interval(F.lit(0), F.lit(0), offset),
+        F.when(zone.rlike("^[A-Za-z]"), instant),
         fallback - F.make_dt_interval(F.lit(0), F.lit(8)),
     )
 
@@ -88,14 +97,29 @@ def bucket(ts: Column, interval: str = "h") -> Column:
     return hour_floor(ts)
 
 
-def bucket_step(interval: str) -> Column:
-    """Width of one bucket as an interval, for gap filling."""
+def bucket_grid(first: Column, last: Column, interval: str) -> Column:
+    """Every bucket from ``first`` to ``last``, as an array.
+
+    Buckets of ``N`` minutes start anew each hour, as ``bucket`` makes them.
+    """
     spec = interval.lower()
     if spec == "d":
-        return F.make_dt_interval(F.lit(1))
-    if spec.endswith("m"):
-        return F.make_dt_interval(F.lit(0), F.lit(0), F.lit(int(spec[:-1])))
-    return F.make_dt_interval(F.lit(0), F.lit(1))
+        return F.sequence(first, last, F.make_dt_interval(F.lit(1)))
+    hours = F.sequence(hour_floor(first), hour_floor(last), F.make_dt_interval(F.lit(0), F.lit(1)))
+    if not spec.endswith("m"):
+        return hours
+    n = int(spec[:-1])
+    most = 5 if spec == "10m" else round(59 / n)  # round() is half-even, as rint
+    inside = F.flatten(
+        F.transform(
+            hours,
+            lambda h: F.transform(
+                F.sequence(F.lit(0), F.lit(most)),
+                lambda i: h + F.make_dt_interval(F.lit(0), F.lit(0), (i * n).cast("int")),
+            ),
+        )
+    )
+    return F.filter(inside, lambda t: t.between(first, last))
 
 
 def period_start(spec: Column, today: Column) -> Column:

@@ -12,7 +12,9 @@ from ripplekit.functions.text import hashtags
 from ripplekit.functions.times import bucket, with_iso_week
 from ripplekit.operators.filters import filter_lists, in_period, min_account_age, reposts
 from ripplekit.operators.joins import hydrate, post_links
+from ripplekit.session import settle
 
+# Answer statuses and the columns that count them.
 RSVP_STATUSES = {
     "attending": "attending_count",
     "declined": "declined_count",
@@ -21,8 +23,12 @@ RSVP_STATUSES = {
 }
 
 
-def topk(df: DataFrame, k: int, by: str = "distinct_users", tie: str = "retweeted_status") -> DataFrame:
-    return df.orderBy(F.col(by).desc(), F.col(tie)).limit(k)
+def topk(
+    df: DataFrame, k: int | None = None, by: str = "distinct_users", tie: str = "retweeted_status"
+) -> DataFrame:
+    """All rows in falling order, or the first ``k``."""
+    ranked = df.orderBy(F.col(by).desc(), F.col(tie))
+    return ranked if k is None else ranked.limit(k)
 
 
 def repost_pairs(posts: DataFrame, counts: dict[str, Column] | None = None) -> DataFrame:
@@ -43,9 +49,9 @@ def rank_reposted(
     lists: list[int] | None = None,
     max_followers: int | None = None,
     min_account_cutoff: dt.datetime | None = None,
-    limit: int = 2000,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Most reposted originals of a period, by distinct reposters.
+    """Most reposted originals of a period, by distinct reposters; all, or the first ``limit``.
 
     List mode and province / audience mode are alternatives.  Reposts shrink to
     (original, user) pairs before users are joined, and originals meet the
@@ -73,10 +79,11 @@ def rank_reposted(
     if min_account_cutoff is not None:
         grouped = min_account_age(grouped, min_account_cutoff)
     if lists is None and max_followers is not None:
+        # Only the ranked originals meet the users, not all posts.
+        original = posts.select(F.col("id").alias("_o"), F.col("user_id").alias("_w"))
         small = users.filter(F.col("followers_count") < max_followers).select(F.col("id").alias("_u"))
-        by_small = posts.join(small, posts["user_id"] == small["_u"], "left_semi")
-        by_small = by_small.select(F.col("id").alias("_o"))
-        grouped = grouped.join(by_small, grouped["retweeted_status"] == by_small["_o"], "left_semi")
+        written = grouped.join(original, grouped["retweeted_status"] == original["_o"])
+        grouped = written.join(small, written["_w"] == small["_u"], "left_semi").select(grouped.columns)
     return topk(grouped, limit)
 
 
@@ -92,7 +99,7 @@ def most_retweeted(
     start: dt.datetime,
     end: dt.datetime,
     lists: list[int] | None = None,
-    k: int = 200,
+    k: int | None = None,
 ) -> DataFrame:
     """Originals most retweeted by list members, with the full original row."""
     members = userlist if lists is None else userlist.filter(F.col("list_id").isin(lists))
@@ -122,8 +129,9 @@ def collect_reposts(
 
     Structs are collected, so positions stay aligned and nulls survive.  A viral
     original could hold a third of all reposts; its rows are split by day, and a
-    day with more than ``chunk`` reposts is split again by id into an odd number
-    of parts, so no array grows with the data.  Chunks sort by (day, part).
+    day again by a hash of the id, into so many parts that one is expected to be
+    half full.  So no array grows with the data, whatever the ids.  Chunks sort
+    by (day, part).
     """
     rts = reposts(posts).select("retweeted_status", "id", "created_at", "user_id")
     if originals is not None:
@@ -132,12 +140,12 @@ def collect_reposts(
     rts = rts.withColumn("day", F.to_date("created_at"))
     sizes = rts.groupBy("retweeted_status", "day").agg(F.count("*").alias("_n"))
     parts = sizes.select(
-        "retweeted_status", "day", (F.floor(F.col("_n") / (2 * chunk)) * 2 + 1).alias("_parts")
+        "retweeted_status", "day", (F.floor(F.col("_n") * 2 / chunk) + 1).alias("_parts")
     )
     who = users.select(F.col("id").alias("_u"), "gender", "followers_count")
     rows = (
         rts.join(parts, ["retweeted_status", "day"])
-        .withColumn("part", F.pmod("id", "_parts"))
+        .withColumn("part", F.pmod(id_hash(F.col("id")), "_parts"))
         .join(who, rts["user_id"] == who["_u"], "left")
     )
     item = F.struct("created_at", "id", "user_id", "gender", "followers_count")
@@ -154,6 +162,18 @@ def collect_reposts(
     )
 
 
+def id_hash(c: Column) -> Column:
+    """An even number from an id, the same in any engine: the first seven hex digits of its MD5."""
+    return F.conv(F.substring(F.md5(c.cast("string").cast("binary")), 1, 7), 16, 10).cast("bigint")
+
+
+def with_reposters(ranked: DataFrame, posts: DataFrame, users: DataFrame, chunk: int = 10_000) -> DataFrame:
+    """Ranked originals with their reposter lists, a row for each bounded chunk."""
+    ranked = settle(ranked, "ranked")
+    chunks = collect_reposts(posts, users, ranked.select("retweeted_status"), chunk)
+    return ranked.join(chunks, "retweeted_status")
+
+
 def gender_counts() -> list[Column]:
     """Gender aggregates over (original, reposter) pairs with ``n`` reposts each."""
     n, g = F.col("n"), F.col("gender")
@@ -197,12 +217,14 @@ def trend(posts: DataFrame, interval: str = "h", tid: int | None = None) -> Data
 
 
 def top_links(
-    posts: DataFrame, userlist: DataFrame, since: dt.datetime, list_id: int = 1, k: int = 200
+    posts: DataFrame, userlist: DataFrame, since: dt.datetime, list_id: int = 1, k: int | None = None
 ) -> DataFrame:
     """Short links of originals by distinct reposters on a list."""
     rts = filter_lists(in_period(reposts(posts), "created_at", since), userlist, [list_id])
     pairs = rts.groupBy("retweeted_status", "user_id").agg(F.count_distinct("id").alias("n"))
-    link = post_links(posts).withColumnRenamed("id", "_o")
+    shared = pairs.select(F.col("retweeted_status").alias("_s")).distinct()
+    originals = posts.select("id", "text").join(shared, posts["id"] == shared["_s"], "left_semi")
+    link = post_links(originals).withColumnRenamed("id", "_o")
     per_user = (
         pairs.join(link, pairs["retweeted_status"] == link["_o"])
         .groupBy("full", "base", "hash", "user_id")
@@ -222,7 +244,7 @@ def top_hashtags(
     end: dt.datetime,
     userlist: DataFrame | None = None,
     lists: list[int] | None = None,
-    k: int = 200,
+    k: int | None = None,
 ) -> DataFrame:
     chosen = in_period(posts, "created_at", start, end, closed=False)
     if lists is not None:

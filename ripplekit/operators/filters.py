@@ -100,6 +100,24 @@ def keyword_rule(df: DataFrame, columns: list[str], links: tuple[str, ...] = ())
     return by_watch_state(df, "is not false").filter(_any([F.coalesce(r, F.lit(False)) for r in rules]))
 
 
+# The text and link columns by which objects of a type are placed.
+PLACING_COLUMNS = {
+    "group": (("name",), ("link",)),
+    "event": (("description", "location", "name"), ()),
+    "page": (("name",), ("link",)),
+}
+
+
+def elsewhere_by_type(df: DataFrame) -> DataFrame:
+    """Still-watched objects that a column of their type's rule places elsewhere."""
+    rules = [
+        F.coalesce((F.col("type") == kind) & rule, F.lit(False))
+        for kind, (texts, links) in PLACING_COLUMNS.items()
+        for rule in [*map(region_rule, texts), *map(link_rule, links)]
+    ]
+    return by_watch_state(df, "is not false").filter(_any(rules))
+
+
 def by_watch_state(df: DataFrame, state: str, flag: str = "watching") -> DataFrame:
     """``state`` is ``is null``, ``is true``, ``is false`` or ``is not false``."""
     c = F.col(flag)
@@ -190,28 +208,30 @@ def type_guard(df: DataFrame, declared: str = "declared_type", reflected: str =
     return df.filter(r.isNull() | (r == d) | r.isin(POST_TYPES))
 
 
-def in_bbox(points: DataFrame, boxes: DataFrame, cell: float = 1.0) -> DataFrame:
+def in_bbox(points: DataFrame, boxes: DataFrame) -> DataFrame:
     """Points joined to every box that contains them.
 
-    A box is listed under each grid cell it touches (at most the cells of the
-    globe), and a point under its own cell, so the range test runs only inside
-    an equi join on the cell.
+    A box is listed under the grid cells it touches (four at most) of a grid as
+    wide as the box, the next power of two of its longer side; a point is listed
+    under its own cell of each grid that has boxes.  So a point meets only boxes
+    about as near as they are large, whatever the mix of sizes.
     """
-    def span(lo: str, hi: str) -> Column:
-        return F.sequence(
-            F.floor(F.col(lo) / cell).cast("int"), F.floor(F.col(hi) / cell).cast("int")
-        )
+    known = boxes.filter("lon0 <= lon1 AND lat0 <= lat1")
+    extent = F.greatest(F.col("lon1") - F.col("lon0"), F.col("lat1") - F.col("lat0"), F.lit(2.0**-20))
+    sized = known.withColumn("_scale", F.ceil(F.log2(extent)).cast("int"))
+    scales = sized.agg(F.collect_set("_scale")).scalar()
 
-    celled = boxes.withColumn("_cx", F.explode(span("lon0", "lon1"))).withColumn(
-        "_cy", F.explode(span("lat0", "lat1"))
-    )
-    placed = points.withColumns(
-        {"_cx": F.floor(F.col("lon") / cell).cast("int"), "_cy": F.floor(F.col("lat") / cell).cast("int")}
+    def cell(c: str) -> Column:
+        return F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("_scale"))).cast("bigint")
+
+    celled = sized.withColumn("_cx", F.explode(F.sequence(cell("lon0"), cell("lon1")))).withColumn(
+        "_cy", F.explode(F.sequence(cell("lat0"), cell("lat1")))
     )
+    placed = points.withColumn("_scale", F.explode(scales)).withColumns({"_cx": cell("lon"), "_cy": cell("lat")})
     inside = F.col("lon").between(F.col("lon0"), F.col("lon1")) & F.col("lat").between(
         F.col("lat0"), F.col("lat1")
     )
-    return placed.join(celled, ["_cx", "_cy"]).filter(inside).drop("_cx", "_cy")
+    return placed.join(celled, ["_scale", "_cx", "_cy"]).filter(inside).drop("_scale", "_cx", "_cy")
 
 
 def within_radius(points: DataFrame, lon: float, lat: float, km: float) -> DataFrame:

@@ -3,6 +3,9 @@ splits hot keys, so nothing here carries a broadcast hint."""
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,10 +14,6 @@ from ripplekit.functions.times import minute_floor
 from ripplekit.session import settle
 
 
-# Rows of one key that a single task still sorts comfortably.
-HOT_ROWS = 5_000_000
-
-
 def repost_star(posts: DataFrame, users: DataFrame) -> DataFrame:
     """Each repost with its author, its original and the original's author."""
     author = users.select(
@@ -81,102 +80,91 @@ def add_geo(df: DataFrame, provinces: DataFrame, main_city: int = 1) -> DataFram
     return out.drop("_p", "_cp", "_cc")
 
 
-def carry_last(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    value: str,
-    bucket: str,
-    name: str,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
+def same(left: DataFrame, right: DataFrame, columns: dict[str, str]) -> Column:
+    """Columns equal pair by pair, null to null."""
+    return reduce(and_, [left[a].eqNullSafe(right[b]) for a, b in columns.items()])
+
+
+def carry_last(df: DataFrame, keys: list[str], order: list[str], value: str, bucket: str, name: str) -> DataFrame:
     """Last non-null ``value`` up to each row, per key, in ``order``.
 
-    A window sorts all rows of a key in one task, so keys are counted first (a
-    map-side aggregate; only the names of keys beyond ``hot_rows`` are kept) and
-    hot keys take another way: ``bucket``, any non-decreasing function of the
-    first order column, splits them.  One value per (key, bucket) is aggregated,
-    a window over those few rows finds what each bucket inherits, and the
-    row-level window runs inside (key, bucket) only.
+    A window over a key would sort all its rows in one task, so ``bucket``, any
+    non-decreasing function of the first order column, splits every key.  One
+    value per (key, bucket) is aggregated on the map side, a window over those
+    few rows finds what each bucket inherits, and the row-level window runs
+    inside (key, bucket) only.  Null keys are keys like any other.
     """
-    def fill(part: list[str]) -> Column:
-        frame = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return F.last(value, ignorenulls=True).over(frame)
-
-    counted = df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > hot_rows)
-    hot = settle(counted.select(*keys), "hot-keys")
-    if hot.isEmpty():
-        return df.withColumn(name, fill(keys))
-    cold = df.join(hot, keys, "left_anti")
-    split = df.join(hot, keys, "left_semi")
     part = keys + [bucket]
-    ends = split.groupBy(*part).agg(
+    ends = df.groupBy(*part).agg(
         F.max_by(F.col(value), F.when(F.col(value).isNotNull(), F.struct(*order))).alias("_end")
     )
     before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    inherited = ends.select(*part, F.last("_end", ignorenulls=True).over(before).alias("_carry"))
-    parted = split.join(inherited, part).withColumn(name, F.coalesce(fill(part), F.col("_carry")))
-    return cold.withColumn(name, fill(keys)).unionByName(parted.drop("_carry"))
+    renamed = {c: f"_part{i}" for i, c in enumerate(part)}
+    inherited = ends.select(
+        *[F.col(c).alias(n) for c, n in renamed.items()],
+        F.last("_end", ignorenulls=True).over(before).alias("_carry"),
+    ).filter("_carry IS NOT NULL")
+    joined = df.join(inherited, same(df, inherited, renamed), "left").drop(*renamed.values())
+    inside = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    filled = F.coalesce(F.last(value, ignorenulls=True).over(inside), F.col("_carry"))
+    return joined.withColumn(name, filled).drop("_carry")
+
 
+def mention_rows(posts: DataFrame, keep: tuple[str, ...] = (), outer: bool = False) -> DataFrame:
+    """One row per ``//@name`` of each repost, with its position in the chain.
 
-def mention_rows(posts: DataFrame) -> DataFrame:
-    """One row per ``//@name`` of each repost, with its position in the chain."""
+    ``keep`` names more columns to carry along; ``outer`` keeps reposts without a name.
+    """
+    explode = F.posexplode_outer if outer else F.posexplode
     return posts.filter("retweeted_status IS NOT NULL").select(
-        "id", "created_at", "retweeted_status", F.posexplode(mentions(F.col("text"))).alias("pos", "name")
+        "id", "created_at", "retweeted_status", *keep, explode(mentions(F.col("text"))).alias("pos", "name")
     )
 
 
-def resolve_mentions(probes: DataFrame, posts: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def resolve_mentions(probes: DataFrame, posts: DataFrame) -> DataFrame:
     """User id behind each mention: the latest strictly earlier repost of the
     same original by that screen name.
 
     Probes and reposts are unioned; a probe sorts before a repost of the same
     instant, which makes the comparison strict.
     """
-    candidates = posts.filter("retweeted_status IS NOT NULL").select(
+    candidates = posts.filter("retweeted_status IS NOT NULL AND screen_name IS NOT NULL").select(
         "retweeted_status", F.col("screen_name").alias("name"), "created_at",
-        F.lit(1).alias("kind"), "id", F.lit(None).cast("int").alias("pos"),
-        F.col("user_id").alias("uid"),
+        F.lit(1).alias("kind"), "id", F.col("user_id").alias("_uid"),
     )
-    asked = probes.select(
-        "retweeted_status", "name", "created_at", F.lit(0).alias("kind"), "id", "pos",
-        F.lit(None).cast("bigint").alias("uid"),
+    asked = probes.withColumns({"kind": F.lit(0), "_uid": F.lit(None).cast("bigint")})
+    rows = asked.unionByName(candidates, allowMissingColumns=True).withColumn(
+        "_minute", minute_floor(F.col("created_at"))
     )
-    rows = asked.unionByName(candidates).withColumn("_minute", minute_floor(F.col("created_at")))
     found = carry_last(
-        rows, ["retweeted_status", "name"], ["created_at", "kind", "id", "pos"], "uid", "_minute",
-        "ref_user_id", hot_rows,
-    )
-    return found.filter("kind = 0").select(
-        "id", "pos", "retweeted_status", "name", "created_at", "ref_user_id"
+        rows, ["retweeted_status", "name"], ["created_at", "kind", "id", "pos"], "_uid", "_minute", "ref_user_id"
     )
+    return found.filter("kind = 0").select(*probes.columns, "ref_user_id")
 
 
-def locate_partitions(ids: DataFrame, minmax: DataFrame, per_id: int = 2, slices: int = 1024) -> DataFrame:
+def locate_partitions(ids: DataFrame, minmax: DataFrame, per_id: int = 2) -> DataFrame:
     """Weeks whose id range holds each id, in (year, week) order, at most ``per_id``.
 
-    The id space of the map is cut into ``slices`` equal slices and each week is
-    listed under the slices it overlaps, so ids meet weeks in an equi join on
-    the slice with the range test as residual.  The map has one row per week,
-    hence its exploded form is bounded by weeks times slices; it is written
-    once because its bounds are asked for as well.
+    Ids are cut into cells as wide as a power of two.  A week is listed under the
+    one or two cells it touches of the cells about as wide as itself, an id under
+    its own cell of each width that has weeks, so ids meet weeks in an equi join
+    and most pairs are hits, however unevenly ids are spread.  The map has one
+    row per week; it is written once because its widths are asked for as well.
     """
-    known = settle(minmax.filter("min_id IS NOT NULL AND max_id IS NOT NULL"), "weeks")
-    low = known.agg(F.min("min_id")).scalar()
-    high = known.agg(F.max("max_id")).scalar()
-    width = F.greatest(F.ceil((high - low + 1) / F.lit(float(slices))), F.lit(1)).cast("bigint")
-
-    def slice_of(c: Column) -> Column:
-        return F.floor((c - low) / width).cast("bigint")
-
+    bits = F.length(F.bin(F.col("max_id") - F.col("min_id")))
+    known = settle(
+        minmax.filter("min_id IS NOT NULL AND max_id >= min_id").withColumn("_bits", bits), "weeks"
+    )
+    widths = known.agg(F.collect_set("_bits")).scalar()
     weeks = known.withColumn(
-        "_slice", F.explode(F.sequence(slice_of(F.col("min_id")), slice_of(F.col("max_id"))))
+        "_cell", F.explode(F.expr("sequence(shiftright(min_id, _bits), shiftright(max_id, _bits))"))
     )
-    asked = ids.select("id").distinct().withColumn("_slice", slice_of(F.col("id")))
+    asked = ids.select("id").distinct().withColumn("_bits", F.explode(widths))
+    asked = asked.withColumn("_cell", F.expr("shiftright(id, _bits)"))
     inside = F.col("id").between(F.col("min_id"), F.col("max_id"))
     first = Window.partitionBy("id").orderBy("iso_year", "iso_week")
     return (
-        asked.join(weeks, "_slice")
+        asked.join(weeks, ["_bits", "_cell"])
         .filter(inside)
         .withColumn("nth", F.row_number().over(first))
         .filter(F.col("nth") <= per_id)

@@ -43,18 +43,26 @@ def upsert(
         when = F.when(F.array_contains(present, c), at) if present else at
         return F.max_by(F.struct(c), when).alias(f"_b_{c}")
 
+    # A small batch is broadcast to the store, whose rows then stay where they are;
+    # only the store's keys are moved, to find the batch's new ones.
     changes = batch.groupBy(*keys).agg(*[last_value(c) for c in carried], F.lit(True).alias("_in"))
-    joined = store.withColumn("_stored", F.lit(True)).join(changes, keys, "full_outer")
+    named = changes.withColumnsRenamed({k: f"_c_{k}" for k in keys})
 
-    def pick(c: str) -> Column:
-        if c in keys:
-            return F.col(c)
+    def updated(c: str) -> Column:
         if c not in carried:
-            return F.col(c)
+            return store[c]
         change = F.col(f"_b_{c}")
-        return F.when(change.isNotNull(), change[c]).otherwise(F.col(c)).alias(c)
+        return F.when(change.isNotNull(), change[c]).otherwise(store[c]).alias(c)
+
+    def inserted(c: str) -> Column:
+        if c in keys:
+            return F.col(c)
+        kind = store.schema[c].dataType
+        return (F.col(f"_b_{c}")[c] if c in carried else F.lit(None)).cast(kind).alias(c)
 
-    return joined.select([pick(c) for c in store.columns])
+    kept = store.join(named, _on(keys, store, named, "_c_"), "left").select([updated(c) for c in store.columns])
+    new = changes.join(store.select(*keys), keys, "left_anti").select([inserted(c) for c in store.columns])
+    return kept.unionByName(new)
 
 
 def update_or_insert(

@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ripplekit.functions.text import page_range, term_counts, tokens
 from ripplekit.operators.filters import by_ids, by_insert_date
+from ripplekit.session import settle
 
-MAX_HITS = 500_000
-MAX_FORUM_HITS = 1_000
+# Folders of a stored index; a reader must use the writer's number.
+BUCKETS = 256
 
 
 def with_tokens(df: DataFrame, column: str, name: str = "token_set") -> DataFrame:
@@ -28,7 +29,7 @@ def build_postings(docs: DataFrame, doc_id: str, text: str, keep: tuple[str, ...
     )
 
 
-def write_postings(postings: DataFrame, path: str, buckets: int = 256, mode: str = "append") -> None:
+def write_postings(postings: DataFrame, path: str, buckets: int = BUCKETS, mode: str = "append") -> None:
     """Append postings laid out by term hash; a frequent term's folder gets as
     many files as AQE needs to keep tasks even."""
     (
@@ -58,27 +59,54 @@ def index_increment(
     return index_rows(by_insert_date(docs, day, inserted), doc_id, text, ts)
 
 
+def index_ids(docs: DataFrame, ids: list[int] | DataFrame, doc_id: str, text: str, ts: str) -> DataFrame:
+    """Postings of the listed rows."""
+    return index_rows(by_ids(docs, ids, doc_id), doc_id, text, ts)
+
+
 def query_terms(q: str) -> Column:
     return F.array_distinct(tokens(F.lit(q)))
 
 
-def match_any(postings: DataFrame, q: str) -> DataFrame:
-    """Ids of documents holding a query term, once per term they hold."""
-    hit = F.array_contains(query_terms(q), F.col("term"))
-    return postings.filter(hit).select("doc_id")
+def literal_terms(spark: SparkSession, q: str, buckets: int) -> tuple[list[str], list[int]]:
+    """The query's terms and their folders, as values: the text is tokenised once, by the index's own rule."""
+    row = spark.range(1).select(query_terms(q).alias("t")).select(
+        "t", F.transform("t", lambda x: term_bucket(x, buckets)).alias("b")
+    ).first()
+    return row["t"], sorted(set(row["b"]))
+
+
+def match_any(postings: DataFrame, q: str, buckets: int = BUCKETS) -> DataFrame:
+    """Ids of documents holding a query term, once per term they hold.
+
+    On a stored index only the terms' folders are listed, and in them only row
+    groups that may hold a term are read.
+    """
+    terms, folders = literal_terms(postings.sparkSession, q, buckets)
+    if "term_bucket" in postings.columns:
+        postings = postings.filter(F.col("term_bucket").isin(folders))
+    return postings.filter(F.col("term").isin(terms)).select("doc_id")
 
 
 def _time_range(docs: DataFrame, ts: str, start: object, end: object) -> DataFrame:
-    """Both bounds or none, inclusive."""
-    if start is None or end is None:
-        return docs
-    return docs.filter(F.col(ts).between(F.lit(start), F.lit(end)))
+    """Each bound that is given, inclusive."""
+    if start is not None:
+        docs = docs.filter(F.col(ts) >= F.lit(start))
+    if end is not None:
+        docs = docs.filter(F.col(ts) <= F.lit(end))
+    return docs
+
 
+def top_hits(hits: DataFrame, ts: str, tie: str, k: int | None, offset: int = 0) -> DataFrame:
+    """Newest hits, all or ``k`` from ``offset`` on, each with the number of all hits.
 
-def top_hits(hits: DataFrame, ts: str, tie: str, k: int) -> DataFrame:
-    """Newest ``k`` hits, each with the number of all hits."""
+    The hits are written once and then counted and ranked from there, so the
+    search itself runs once.
+    """
+    hits = settle(hits, "hits")
     total = hits.agg(F.count("*").alias("n")).scalar()
-    return hits.orderBy(F.desc(ts), tie).limit(k).withColumn("total_hits", total)
+    page = hits.orderBy(F.desc(ts), tie).offset(offset) if offset else hits.orderBy(F.desc(ts), tie)
+    return (page if k is None else page.limit(k)).withColumn("total_hits", total)
 
 
 def search(
@@ -88,37 +116,41 @@ def search(
     start: object = None,
     end: object = None,
     user_ids: list[int] | DataFrame | None = None,
-    k: int = MAX_HITS,
+    k: int | None = None,
     doc_id: str = "id",
     user: str = "user_id",
     ts: str = "created_at",
+    offset: int = 0,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Documents matching any term of ``q`` in a date range and user set, newest
-    first.  An empty ``q`` lists by range only.  The postings side is already
-    restricted to the query's terms, so the semi join reads few terms."""
+    first.  An empty ``q`` lists by range only, and an empty user list filters
+    no user.  The postings are cut to the query's terms before the semi join."""
     rows = _time_range(docs, ts, start, end)
-    if user_ids is not None:
+    if isinstance(user_ids, DataFrame) or user_ids:
         rows = by_ids(rows, user_ids, user)
     if q:
-        matched = match_any(postings, q)
+        matched = match_any(postings, q, buckets)
         rows = rows.join(matched, rows[doc_id] == matched["doc_id"], "left_semi")
-    return top_hits(rows, ts, doc_id, k)
+    return top_hits(rows, ts, doc_id, k, offset)
 
 
 def search_forum(
     postings: DataFrame | None,
     posts: DataFrame,
     q: str,
-    start: int,
-    end: int,
+    start: int | None = None,
+    end: int | None = None,
     floor: str | None = None,
     uids: list[int] | None = None,
-    k: int = MAX_FORUM_HITS,
+    k: int | None = None,
+    offset: int = 0,
+    buckets: int = BUCKETS,
 ) -> DataFrame:
     """Forum posts by words, time, floor range (``"3-7"`` or ``"3"``) and users."""
     rows = posts
     if floor:
         span = page_range(F.lit(floor))
         rows = rows.filter(F.col("floor").between(span["first"], span["last"]))
-    hits = search(postings, rows, q, start, end, uids, k, "pid", "uid", "time_secs")
-    return hits.select("pid", "uid", "tid", "time_secs", "total_hits")
+    shown = rows.select("pid", "uid", "tid", "time_secs")
+    return search(postings, shown, q, start, end, uids, k, "pid", "uid", "time_secs", offset, buckets)

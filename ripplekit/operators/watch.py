@@ -4,26 +4,25 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ripplekit.operators.filters import by_watch_state, past_grace
+from ripplekit.operators.filters import by_watch_state, elsewhere_by_type, past_grace, stale
 from ripplekit.operators.windows import growth
 
 # Thresholds of the watch rules (ratios in hundredths).
 THRESHOLD = 100
-WORKLIST_LIMIT = 600
-RECHECK_LIMIT = 800
 
 
-def worklist(entities: DataFrame, as_of: dt.datetime, k: int = WORKLIST_LIMIT) -> DataFrame:
-    """Undecided entities past the grace period, newest first."""
+def worklist(entities: DataFrame, as_of: dt.datetime, k: int | None = None) -> DataFrame:
+    """Undecided entities past the grace period, newest first; with ``k``, so many of each type."""
     unset = past_grace(by_watch_state(entities, "is null"), as_of)
-    return unset.orderBy(F.desc("retrieved"), "id").limit(k)
-
-
-def watched(entities: DataFrame, k: int = WORKLIST_LIMIT) -> DataFrame:
-    return by_watch_state(entities, "is true").orderBy(F.desc("retrieved"), "id").limit(k)
+    newest = [F.desc("retrieved"), F.col("id")]
+    if k is not None:
+        # The rank limit is applied inside each task before rows of one type meet.
+        rank = F.row_number().over(Window.partitionBy("type").orderBy(*newest))
+        unset = unset.withColumn("_rank", rank).filter(F.col("_rank") <= k).drop("_rank")
+    return unset.orderBy(*newest)
 
 
 def decision() -> Column:
@@ -87,3 +86,9 @@ def apply_watch(entities: DataFrame, decisions: DataFrame) -> DataFrame:
 def stop_watching(entities: DataFrame, stopped: DataFrame) -> DataFrame:
     """Stop watching the entities the clean-up filters selected."""
     return apply_watch(entities, stopped.select("id", F.lit(False).alias("decision")).distinct())
+
+
+def clean_up(entities: DataFrame, as_of: dt.datetime) -> DataFrame:
+    """Stop watching what belongs elsewhere by its type's rule, what has ended and what was never decided."""
+    stopped = elsewhere_by_type(entities).select("id").union(stale(entities, as_of).select("id"))
+    return stop_watching(entities, stopped)

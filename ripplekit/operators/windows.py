@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplekit.functions.times import minute_floor
-from ripplekit.operators.joins import HOT_ROWS, carry_last
+from ripplekit.operators.joins import carry_last
 
 
 def latest(df: DataFrame, key: str, ts: str) -> DataFrame:
@@ -49,7 +49,6 @@ def incremental_cutoff(
     page: str = "user_id",
     key: str = "id",
     ts: str = "created_at",
-    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Rows of each newest-first page that a crawler would still process.
 
@@ -71,7 +70,7 @@ def incremental_cutoff(
             {"_minute": -F.unix_micros(minute_floor(F.col(ts)).cast("timestamp")),
              "_new": F.when(~F.col("known"), F.struct("_age", "_tie"))}
         )
-        runs = carry_last(marked, [page], ["_age", "_tie"], "_new", "_minute", "_run", hot_rows)
+        runs = carry_last(marked, [page], ["_age", "_tie"], "_new", "_minute", "_run")
         top = F.struct(F.lit(None).cast("bigint").alias("_age"), F.lit(None).cast("bigint").alias("_tie"))
         known = runs.filter("known").withColumn("_run", F.coalesce("_run", top))
         # A null-keyed run (no new row before it) sorts first, as it must.
@@ -81,7 +80,7 @@ def incremental_cutoff(
         newest = long_enough.groupBy(page).agg(F.min("_run").alias("_cut_run"))
         newest = newest.withColumnRenamed(page, "_page")
         known = known.join(
-            newest, (known[page] == newest["_page"]) & known["_run"].eqNullSafe(newest["_cut_run"]), "left_semi"
+            newest, known[page].eqNullSafe(newest["_page"]) & known["_run"].eqNullSafe(newest["_cut_run"]), "left_semi"
         )
     nth = Window.partitionBy(page).orderBy("_age", "_tie")
     cut = (
@@ -91,7 +90,7 @@ def incremental_cutoff(
         .agg(F.max(F.when(F.col("_rn") == n, F.struct("_age", "_tie"))).alias("_cut"))
         .withColumnRenamed(page, "_page")
     )
-    out = rows.join(cut, rows[page] == cut["_page"], "left")
+    out = rows.join(cut, rows[page].eqNullSafe(cut["_page"]), "left")
     keep = F.col("_cut").isNull() | (F.struct("_age", "_tie") <= F.col("_cut"))
     return out.filter(keep).drop("_page", "_cut", "_age", "_tie")
 

@@ -9,6 +9,7 @@ from ripplekit.operators import watch as WT
 from ripplekit.plans import reports as R
 from ripplekit.plans.catalog.base import AS_OF, END, START, joined, ntz, query
 from ripplekit.plans.catalog.joining import MENTIONS_SQL
+from ripplekit.session import settle
 
 MOST_REPOSTED = """
 SELECT f.retweeted_status, f.retweeted_count, f.distinct_users, f.min_user_created_at, p.id, p.created_at FROM (
@@ -18,7 +19,7 @@ SELECT f.retweeted_status, f.retweeted_count, f.distinct_users, f.min_user_creat
   WHERE s.retweeted_status IS NOT NULL AND s.created_at >= TIMESTAMP '2024-01-01' AND s.created_at <= TIMESTAMP '2024-01-31'
   {extra}
   GROUP BY s.retweeted_status HAVING MIN(u.created_at) <= TIMESTAMP '1995-01-20'
-  ORDER BY distinct_users DESC, s.retweeted_status LIMIT {k}) f
+  ORDER BY distinct_users DESC, s.retweeted_status {k}) f
 LEFT JOIN r_posts p ON f.retweeted_status = p.id"""
 JAN = (dt.datetime(2024, 1, 1), AS_OF)
 AGE = dt.datetime(1995, 1, 20)
@@ -27,12 +28,47 @@ TOP_COLUMNS = [
 ]
 
 
-@query("A1_most_reposted", MOST_REPOSTED.format(extra="", k=2000))
+@query("A1_most_reposted", MOST_REPOSTED.format(extra="", k="LIMIT 2000"))
+def _(t):
+    return A.most_reposted(t.posts, t.users, *JAN, min_account_cutoff=AGE, limit=2000).select(TOP_COLUMNS)
+
+
+@query("A1_most_reposted_all", MOST_REPOSTED.format(extra="", k=""))
 def _(t):
     return A.most_reposted(t.posts, t.users, *JAN, min_account_cutoff=AGE).select(TOP_COLUMNS)
 
 
-@query("A1_most_reposted_province", MOST_REPOSTED.format(extra="AND u.province = 7", k=200))
+LISTS = """
+  string_agg(CAST(id AS STRING), ',' ORDER BY created_at, id) AS ids,
+  string_agg(CAST(user_id AS STRING), ',' ORDER BY created_at, id) AS user_ids,
+  string_agg(coalesce(gender, '~'), ',' ORDER BY created_at, id) AS genders,
+  string_agg(coalesce(CAST(followers_count AS STRING), '~'), ',' ORDER BY created_at, id) AS followers_counts"""
+# Reposts with their day and the part of it they fall in, for chunks of {chunk}.
+PARTED = """
+WITH s AS (SELECT p.retweeted_status, p.id, p.created_at, p.user_id, u.gender, u.followers_count, CAST(p.created_at AS DATE) AS day
+           FROM r_posts p LEFT JOIN r_users u ON p.user_id = u.id WHERE p.retweeted_status IS NOT NULL),
+n AS (SELECT retweeted_status, day, COUNT(*) * 2 // {chunk} + 1 AS parts FROM s GROUP BY 1, 2),
+c AS (SELECT s.*, CAST('0x' || substr(md5(CAST(s.id AS STRING)), 1, 7) AS BIGINT) % n.parts AS part
+      FROM s JOIN n ON s.retweeted_status = n.retweeted_status AND s.day = n.day)"""
+
+
+@query("A1_ranked_with_reposters", PARTED.format(chunk=4) + """,
+top AS (SELECT s.retweeted_status, COUNT(*) AS retweeted_count, COUNT(DISTINCT u.id) AS distinct_users
+  FROM r_posts s LEFT JOIN r_users u ON s.user_id = u.id WHERE s.retweeted_status IS NOT NULL
+  GROUP BY 1 ORDER BY distinct_users DESC, 1 LIMIT 30),
+l AS (SELECT retweeted_status, CAST(day AS STRING) AS day, part,""" + LISTS + """
+  FROM c GROUP BY retweeted_status, day, part)
+SELECT top.retweeted_count, top.distinct_users, l.* FROM top JOIN l ON top.retweeted_status = l.retweeted_status""")
+def _(t):
+    top = A.rank_reposted(t.posts, t.users, dt.datetime(1970, 1, 1), limit=30)
+    chunks = A.with_reposters(top.select("retweeted_status", "retweeted_count", "distinct_users"), t.posts, t.users, 4)
+    return chunks.select(
+        "retweeted_count", "distinct_users", "retweeted_status", F.col("day").cast("string").alias("day"), "part",
+        *[joined(F.col(c)).alias(c) for c in ["ids", "user_ids", "genders", "followers_counts"]],
+    )
+
+
+@query("A1_most_reposted_province", MOST_REPOSTED.format(extra="AND u.province = 7", k="LIMIT 200"))
 def _(t):
     return A.most_reposted(
         t.posts, t.users, *JAN, province=7, min_account_cutoff=AGE, limit=200
@@ -40,7 +76,7 @@ def _(t):
 
 
 @query("A1_most_reposted_lists", MOST_REPOSTED.format(
-    extra="AND s.user_id IN (SELECT user_id FROM r_userlist WHERE list_id IN (2, 6))", k=200))
+    extra="AND s.user_id IN (SELECT user_id FROM r_userlist WHERE list_id IN (2, 6))", k="LIMIT 200"))
 def _(t):
     return A.most_reposted(
         t.posts, t.users, *JAN, userlist=t.userlist, lists=[2, 6], min_account_cutoff=AGE, limit=200
@@ -49,10 +85,10 @@ def _(t):
 
 @query("A1_most_reposted_small_authors", MOST_REPOSTED.format(
     extra="AND s.retweeted_status IN (SELECT o.id FROM r_posts o JOIN r_users ru ON o.user_id = ru.id"
-    " WHERE ru.followers_count < 5000)", k=2000))
+    " WHERE ru.followers_count < 5000)", k="LIMIT 2000"))
 def _(t):
     return A.most_reposted(
-        t.posts, t.users, *JAN, max_followers=5000, min_account_cutoff=AGE
+        t.posts, t.users, *JAN, max_followers=5000, min_account_cutoff=AGE, limit=2000
     ).select(TOP_COLUMNS)
 
 
@@ -63,20 +99,12 @@ SELECT f.rts, f.retweeted_statuses_count, p.id, p.created_at, p.user_id, p.text
     AND user_id IN (SELECT user_id FROM r_userlist WHERE list_id IN (1, 6))
   GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 200) f LEFT JOIN r_posts p ON f.rts = p.id""")
 def _(t):
-    top = A.most_retweeted(t.userlist, t.posts, START, END, [1, 6])
+    top = A.most_retweeted(t.userlist, t.posts, START, END, [1, 6], 200)
     return top.select("rts", "retweeted_statuses_count", "id", "created_at", "user_id", "text")
 
 
-@query("A3_aligned_arrays", """
-WITH s AS (SELECT p.retweeted_status, p.id, p.created_at, p.user_id, u.gender, u.followers_count, CAST(p.created_at AS DATE) AS day
-           FROM r_posts p LEFT JOIN r_users u ON p.user_id = u.id WHERE p.retweeted_status IS NOT NULL),
-n AS (SELECT retweeted_status, day, COUNT(*) // 4 * 2 + 1 AS parts FROM s GROUP BY 1, 2),
-c AS (SELECT s.*, s.id % n.parts AS part FROM s JOIN n ON s.retweeted_status = n.retweeted_status AND s.day = n.day)
-SELECT retweeted_status, CAST(day AS STRING) AS day, part,
-  string_agg(CAST(id AS STRING), ',' ORDER BY created_at, id) AS ids,
-  string_agg(CAST(user_id AS STRING), ',' ORDER BY created_at, id) AS user_ids,
-  string_agg(coalesce(gender, '~'), ',' ORDER BY created_at, id) AS genders,
-  string_agg(coalesce(CAST(followers_count AS STRING), '~'), ',' ORDER BY created_at, id) AS followers_counts
+@query("A3_aligned_arrays", PARTED.format(chunk=2) + """
+SELECT retweeted_status, CAST(day AS STRING) AS day, part,""" + LISTS + """
 FROM c GROUP BY retweeted_status, day, part""")
 def _(t):
     chunks = A.collect_reposts(t.posts, t.users, chunk=2)
@@ -129,7 +157,7 @@ SELECT hashtag, COUNT(*) AS n FROM (SELECT unnest(regexp_extract_all(text, '#([^
   AND user_id IN (SELECT user_id FROM r_userlist WHERE list_id IN (1, 2))) x
 GROUP BY 1 ORDER BY n DESC, hashtag LIMIT 200""")
 def _(t):
-    return A.top_hashtags(t.posts, START, END, t.userlist, [1, 2])
+    return A.top_hashtags(t.posts, START, END, t.userlist, [1, 2], 200)
 
 
 @query("A9_rsvp_pivot", """
@@ -241,13 +269,21 @@ def _(t):
     return A.rank_by_declared(report).limit(50)
 
 
-@query("L3_recent_unchecked", """
-SELECT id, type, retrieved FROM r_objects WHERE watching IS NULL AND retrieved < TIMESTAMP '2024-01-29 12:00:00'
-ORDER BY retrieved DESC, id LIMIT 600""")
+UNCHECKED = "SELECT id, type, retrieved FROM r_objects WHERE watching IS NULL AND retrieved < TIMESTAMP '2024-01-29 12:00:00'"
+
+
+@query("L3_recent_unchecked", UNCHECKED)
 def _(t):
     return WT.worklist(t.objects, AS_OF).select("id", "type", "retrieved")
 
 
+@query("L3_recent_unchecked_per_type", f"""
+SELECT id, type, retrieved FROM (
+  SELECT *, ROW_NUMBER() OVER (PARTITION BY type ORDER BY retrieved DESC, id) AS rn FROM ({UNCHECKED}) u) x WHERE rn <= 6""")
+def _(t):
+    return WT.worklist(t.objects, AS_OF, 6).select("id", "type", "retrieved")
+
+
 @query("L5_cascade_order", """
 SELECT id, created_at, user_id FROM r_posts WHERE retweeted_status = 7 ORDER BY id""")
 def _(t):
@@ -308,6 +344,32 @@ def _(t):
     return R.trend_series(t.posts, t.users, "20m", None, END, 17, t.userlist, 5)
 
 
+def _trend_sql(minutes: int) -> str:
+    """The series of one province and list since END; every counted bucket stays."""
+    bucketed = f"INTERVAL 1 MINUTE * CAST({minutes} * round_even(minute(created_at) / {minutes}.0, 0) AS INT)"
+    return f"""
+WITH c AS (SELECT retweeted_status, date_trunc('hour', created_at) + {bucketed} AS time,
+    COUNT(*) AS n, COUNT(DISTINCT user_id) AS u
+  FROM r_posts WHERE retweeted_status IS NOT NULL AND created_at >= TIMESTAMP '2024-01-25'
+    AND user_id IN (SELECT id FROM r_users WHERE province = 17) AND user_id IN (SELECT user_id FROM r_userlist WHERE list_id = 5)
+  GROUP BY 1, 2),
+s AS (SELECT retweeted_status, TIMESTAMP '2024-01-25' AS t0, MAX(time) AS t1 FROM c GROUP BY 1),
+h AS (SELECT *, unnest(generate_series(t0, date_trunc('hour', t1), INTERVAL 1 HOUR)) AS hour FROM s),
+k AS (SELECT *, unnest(range(CAST(round_even(59 / {minutes}.0, 0) AS INT) + 1)) AS i FROM h),
+d AS (SELECT DISTINCT retweeted_status, hour + INTERVAL 1 MINUTE * CAST({minutes} * i AS INT) AS time, t1 FROM k)
+SELECT coalesce(d.retweeted_status, c.retweeted_status) AS retweeted_status, CAST(coalesce(d.time, c.time) AS TIMESTAMP) AS time,
+  coalesce(c.n, 0) AS count, coalesce(c.u, 0) AS users
+FROM (SELECT * FROM d WHERE time <= t1) d FULL OUTER JOIN c ON d.retweeted_status = c.retweeted_status AND d.time = c.time"""
+
+
+def _trend_minutes(t, minutes):
+    return R.trend_series(t.posts, t.users, f"{minutes}m", None, END, 17, t.userlist, 5)
+
+
+for _minutes in (7, 25, 45):
+    query(f"T9_trend_series_{_minutes}m", _trend_sql(_minutes))(lambda t, m=_minutes: _trend_minutes(t, m))
+
+
 REPORT_SQL = """
 WITH top AS (
   SELECT s.retweeted_status, COUNT(*) AS n, COUNT(DISTINCT u.id) AS du FROM r_posts s LEFT JOIN r_users u ON s.user_id = u.id
@@ -319,11 +381,13 @@ g AS (SELECT s.retweeted_status, COUNT(*) FILTER (u.gender = 'm') AS male_count,
     COUNT(DISTINCT CASE WHEN u.gender = 'f' THEN s.user_id END) AS distinct_female_count
   FROM r_posts s LEFT JOIN r_users u ON s.user_id = u.id
   WHERE s.created_at >= TIMESTAMP '2024-01-05' AND s.created_at <= TIMESTAMP '2024-01-25' GROUP BY 1),
-rep AS (SELECT p.id, p.user_id, a.screen_name AS user_name, a.followers_count, a.province, a.city, p.text, top.n AS count,
+rep AS (SELECT p.id, p.user_id, a.screen_name AS user_name, a.followers_count, a.friends_count, a.statuses_count,
+  a.profile_image_url, a.province, a.city, a.verified, p.thumbnail_pic, p.bmiddle_pic, p.original_pic, p.text,
+  p.reposts_count, p.comments_count, p.mlevel, top.n AS count,
   epoch_us(p.created_at - INTERVAL 8 HOUR) // 1000 AS created_at_ms, epoch_us(a.created_at - INTERVAL 8 HOUR) // 1000 AS user_created_at_ms,
   pv.provname, c.cityname, c.name_en AS cityname_en, split_part(pv.name_en, ', ', 2) || ',' || split_part(pv.name_en, ', ', 3) AS provname_en,
   g.male_count, g.female_count, g.distinct_users_count, g.distinct_male_count, g.distinct_female_count
-FROM top JOIN r_posts p ON top.retweeted_status = p.id LEFT JOIN r_users a ON p.user_id = a.id
+FROM top JOIN r_media p ON top.retweeted_status = p.id LEFT JOIN r_profiles a ON p.user_id = a.id
 LEFT JOIN r_provinces pv ON a.province = pv.provid AND pv.cityid = 1
 LEFT JOIN r_provinces c ON a.province = c.provid AND a.city = c.cityid
 LEFT JOIN g ON top.retweeted_status = g.retweeted_status)
@@ -331,7 +395,7 @@ LEFT JOIN g ON top.retweeted_status = g.retweeted_status)
 
 
 def report(t):
-    return R.most_reposted_report(t.posts, t.users, t.provinces, START, END)
+    return R.most_reposted_report(t.media, t.profiles, t.provinces, START, END, 200)
 
 
 @query("T10_report_enrich", REPORT_SQL + "SELECT * FROM rep")
@@ -343,15 +407,107 @@ def _(t):
 SELECT 'json' AS mode, id, user_id, count FROM rep UNION ALL SELECT 'csv', id, user_id, count FROM rep""")
 def _(t):
     cols = ["id", "user_id", "count"]
-    by_count = R.order_report(report(t).select(cols)).select(F.lit("json").alias("mode"), *cols)
-    return by_count.union(R.order_report(report(t).select(cols), "csv").select(F.lit("csv").alias("mode"), *cols))
-
+    built = settle(report(t).select(cols), "report")
+    by_count = R.order_report(built).select(F.lit("json").alias("mode"), *cols)
+    return by_count.union(R.order_report(built, "csv").select(F.lit("csv").alias("mode"), *cols))
+
+
+@query("T10_report_lists", PARTED.format(chunk=6) + """,
+top AS (SELECT retweeted_status AS id, COUNT(*) AS count FROM r_posts WHERE retweeted_status IS NOT NULL GROUP BY 1)
+SELECT top.id, top.count, CAST(c.day AS STRING) AS day, c.part,
+  string_agg(CAST(c.user_id AS STRING), ',' ORDER BY c.created_at, c.id) AS users,
+  string_agg(strftime(c.created_at, '%Y-%m-%d %H:%M:%S'), ',' ORDER BY c.created_at, c.id) AS times,
+  string_agg(coalesce(c.gender, '~'), ',' ORDER BY c.created_at, c.id) AS genders
+FROM top JOIN c ON top.id = c.retweeted_status GROUP BY 1, 2, 3, 4""")
+def _(t):
+    ranked = A.rank_reposted(t.posts, t.users, dt.datetime(1970, 1, 1))
+    rows = ranked.select(F.col("retweeted_status").alias("id"), F.col("retweeted_count").alias("count"))
+    times = F.transform("times", lambda x: F.date_format(x, "yyyy-MM-dd HH:mm:ss"))
+    return R.report_lists(rows, t.posts, t.users, 6).select(
+        "id", "count", F.col("day").cast("string").alias("day"), "part",
+        joined(F.col("users")).alias("users"), joined(times).alias("times"), joined(F.col("genders")).alias("genders"),
+    )
 
-@query("T11_interval_reports", "\nUNION ALL\n".join(f"""
-SELECT * FROM (SELECT {d} AS days, s.retweeted_status, COUNT(*) AS retweeted_count, COUNT(DISTINCT u.id) AS distinct_users,
+def _interval_sql(days: int, who: str) -> str:
+    return f"""
+SELECT * FROM (SELECT {days} AS days, s.retweeted_status, COUNT(*) AS retweeted_count, COUNT(DISTINCT u.id) AS distinct_users,
+  COUNT(*) FILTER (u.gender = 'm') AS male_count, COUNT(*) FILTER (u.gender = 'f') AS female_count,
+  COUNT(DISTINCT s.user_id) AS distinct_users_count,
+  COUNT(DISTINCT CASE WHEN u.gender = 'm' THEN s.user_id END) AS distinct_male_count,
+  COUNT(DISTINCT CASE WHEN u.gender = 'f' THEN s.user_id END) AS distinct_female_count,
   CAST(ROW_NUMBER() OVER (ORDER BY COUNT(DISTINCT u.id) DESC, s.retweeted_status) AS INT) AS rank
 FROM r_posts s LEFT JOIN r_users u ON s.user_id = u.id
-WHERE s.retweeted_status IS NOT NULL AND s.created_at >= TIMESTAMP '2024-01-31' - INTERVAL {d} DAY AND s.created_at <= TIMESTAMP '2024-01-31'
-GROUP BY 2) x WHERE rank <= 50""" for d in (1, 3, 7, 30)))
+WHERE s.retweeted_status IS NOT NULL AND s.created_at >= TIMESTAMP '2024-01-31' - INTERVAL {days} DAY
+  AND s.created_at <= TIMESTAMP '2024-01-31' {who}
+GROUP BY 2) x"""
+
+
+INTERVALS = (1, 3, 7, 30)
+RANK_COLUMNS = ["days", "retweeted_status", "retweeted_count", "distinct_users", "rank"]
+
+
+@query("T11_interval_reports", "\nUNION ALL\n".join(
+    f"SELECT {', '.join(RANK_COLUMNS)} FROM ({_interval_sql(d, '')}) r WHERE rank <= 50" for d in INTERVALS))
+def _(t):
+    return R.reports_for_intervals(t.posts, t.users, AS_OF, [*INTERVALS], 50).select(RANK_COLUMNS)
+
+
+@query("T11_interval_reports_full", "WITH top AS (" + "\nUNION ALL\n".join(
+    f"SELECT * FROM ({_interval_sql(d, 'AND u.province IN (7)')}) r WHERE rank <= 40" for d in INTERVALS) + """)
+SELECT p.id, p.user_id, a.screen_name AS user_name, a.followers_count, a.friends_count, a.statuses_count,
+  a.profile_image_url, a.province, a.city, a.verified, p.thumbnail_pic, p.bmiddle_pic, p.original_pic, p.text,
+  p.reposts_count, p.comments_count, p.mlevel, top.retweeted_count AS count,
+  epoch_us(p.created_at - INTERVAL 8 HOUR) // 1000 AS created_at_ms, epoch_us(a.created_at - INTERVAL 8 HOUR) // 1000 AS user_created_at_ms,
+  pv.provname, c.cityname, c.name_en AS cityname_en, split_part(pv.name_en, ', ', 2) || ',' || split_part(pv.name_en, ', ', 3) AS provname_en,
+  top.days, top.male_count, top.female_count, top.distinct_users_count, top.distinct_male_count, top.distinct_female_count, top.rank
+FROM top JOIN r_media p ON top.retweeted_status = p.id LEFT JOIN r_profiles a ON p.user_id = a.id
+LEFT JOIN r_provinces pv ON a.province = pv.provid AND pv.cityid = 1
+LEFT JOIN r_provinces c ON a.province = c.provid AND a.city = c.cityid""")
+def _(t):
+    ranked = R.reports_for_intervals(t.posts, t.users, AS_OF, [*INTERVALS], 40, province=7)
+    return R.report_for(ranked, t.media, t.profiles, t.provinces)
+
+
+@query("A7_link_report", r"""
+WITH rt AS (SELECT * FROM r_posts WHERE retweeted_status IS NOT NULL AND created_at >= TIMESTAMP '2024-01-05'
+            AND user_id IN (SELECT user_id FROM r_userlist WHERE list_id = 1)),
+l AS (SELECT id, regexp_extract(text, '(http://(sinaurl\.cn|t\.cn)/(\w+))', 1) AS "full",
+      regexp_extract(text, '(http://(sinaurl\.cn|t\.cn)/(\w+))', 2) AS base,
+      regexp_extract(text, '(http://(sinaurl\.cn|t\.cn)/(\w+))', 3) AS hash FROM r_posts),
+top AS (SELECT l.full, l.base, l.hash, COUNT(DISTINCT rt.id) AS distinct_posts, COUNT(DISTINCT rt.user_id) AS distinct_users,
+       MIN(rt.retweeted_status) AS rt_status_id
+  FROM rt JOIN l ON rt.retweeted_status = l.id WHERE l.hash <> '' GROUP BY 1, 2, 3)
+SELECT top.*, m.location, EXISTS (SELECT 1 FROM r_sites s WHERE s.site <> ''
+    AND regexp_matches(m.location, '^http://[^/]*' || regexp_escape(s.site))) AS is_spam
+FROM top LEFT JOIN r_urlmap m ON top.base = m.base AND top.hash = m.hash
+WHERE top.rt_status_id NOT IN (SELECT status_id FROM r_comments WHERE user_id % 9 = 1)""")
+def _(t):
+    spam = t.comments.filter("user_id % 9 = 1").select("status_id")
+    return R.link_report(t.posts, t.userlist, t.urlmap, spam, t.sites, START)
+
+
+@query("T8_trace_document", MENTIONS_SQL + """,
+names AS (SELECT screen_name, MIN(id) AS uid FROM r_users GROUP BY 1),
+done AS (SELECT r.id, r.pos, r.name, coalesce(r.ref_user_id, n.uid) AS ref_id FROM refs r LEFT JOIN names n ON r.name = n.screen_name),
+lists AS (SELECT id, string_agg(name || '=' || coalesce(CAST(ref_id AS STRING), '~'), ',' ORDER BY pos) AS refs FROM done GROUP BY id)
+SELECT p.retweeted_status, p.id, p.created_at, p.user_id, p.screen_name, p.text, coalesce(l.refs, '') AS refs, u.id AS user_id_ref,
+  u.screen_name AS user_screen_name, u.province AS user_province, u.city AS user_city, u.gender AS user_gender,
+  u.followers_count AS user_followers_count, u.friends_count AS user_friends_count
+FROM r_posts p LEFT JOIN lists l ON p.id = l.id LEFT JOIN r_profiles u ON p.user_id = u.id AND u.id % 6 <> 5
+WHERE p.retweeted_status IS NOT NULL""".replace("FROM r_users GROUP BY 1", "FROM r_users WHERE id % 6 <> 5 GROUP BY 1"))
+def _(t):
+    shown = F.transform(
+        "references",
+        lambda r: F.concat(r["name"], F.lit("="), F.coalesce(r["id"].cast("string"), F.lit("~"))),
+    )
+    # Some users are not stored yet.
+    traced = R.trace_document(t.posts, t.profiles.filter("id % 6 <> 5"))
+    return traced.withColumn("refs", F.concat_ws(",", shown)).drop("references", "missing_users")
+
+
+@query("T8_unknown_reposters", """
+SELECT DISTINCT p.user_id FROM r_posts p WHERE p.retweeted_status IS NOT NULL
+AND p.user_id NOT IN (SELECT id FROM r_users WHERE id % 6 <> 5)""")
 def _(t):
-    return R.reports_for_intervals(t.posts, t.users, AS_OF, [1, 3, 7, 30], 50)
+    traced = R.trace_document(t.posts, t.users.filter("id % 6 <> 5"), extra=False)
+    return R.unknown_reposters(traced)

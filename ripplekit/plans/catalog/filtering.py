@@ -4,6 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from ripplekit.operators import aggregates as A
 from ripplekit.operators import filters as fl
 from ripplekit.operators import joins as J
 from ripplekit.plans.catalog.base import AS_OF, END, START, query
@@ -48,7 +49,8 @@ def _(t):
 SELECT s.retweeted_status, MIN(u.created_at) AS min_user_created_at FROM r_posts s JOIN r_users u ON s.user_id = u.id
 WHERE s.retweeted_status IS NOT NULL GROUP BY s.retweeted_status HAVING MIN(u.created_at) <= TIMESTAMP '1995-02-01'""")
 def _(t):
-    grouped = J.repost_star(t.posts, t.users).groupBy("retweeted_status").agg(
+    who = t.users.select(F.col("id").alias("user_id"), F.col("created_at").alias("user_created_at"))
+    grouped = A.repost_pairs(t.posts).join(who, "user_id").groupBy("retweeted_status").agg(
         F.min("user_created_at").alias("min_user_created_at")
     )
     return fl.min_account_age(grouped, dt.datetime(1995, 2, 1))
@@ -73,7 +75,20 @@ def _(t):
     return fl.drop_spam(t.posts.select("id", "retweeted_status"), spam, "retweeted_status")
 
 
-@query("F8_region_keyword_rule", """
+def elsewhere_sql() -> str:
+    """Condition: a group or page is placed by name or link, an event by description, location or name."""
+    placed = lambda c: f"(({c} ILIKE '%taiwan%' OR {c} ILIKE '%taipei%') AND {c} NOT ILIKE '%hong%kong%')"
+    link = "(type <> 'event' AND (link ILIKE '%.tw%' OR link ILIKE '%tw.%') AND link NOT ILIKE '%.hk%' AND link NOT ILIKE '%hongkong%')"
+    event = f"(type = 'event' AND ({placed('description')} OR {placed('location')}))"
+    return f"watching IS NOT FALSE AND ({placed('name')} OR {link} OR {event})"
+
+
+@query("F8_region_keyword_rule", f"SELECT id, name, link FROM r_objects WHERE {elsewhere_sql()}")
+def _(t):
+    return fl.elsewhere_by_type(t.objects).select("id", "name", "link")
+
+
+@query("F8_region_rule_any_column", """
 SELECT id, name, link FROM r_objects WHERE watching IS NOT FALSE AND (
  ((name ILIKE '%taiwan%' OR name ILIKE '%taipei%') AND name NOT ILIKE '%hong%kong%')
  OR ((link ILIKE '%.tw%' OR link ILIKE '%tw.%') AND link NOT ILIKE '%.hk%' AND link NOT ILIKE '%hongkong%'))""")

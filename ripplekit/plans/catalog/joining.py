@@ -67,6 +67,15 @@ def _(t):
     return J.resolve_mentions(J.mention_rows(t.posts), t.posts).drop("created_at")
 
 
+@query("J5_asof_null_names", MENTIONS_SQL.replace("screen_name, created_at, user_id FROM r_posts",
+    "CASE WHEN id % 5 < 2 THEN screen_name END AS screen_name, created_at, user_id FROM r_posts")
+    + "SELECT id, pos, retweeted_status, name, ref_user_id FROM refs")
+def _(t):
+    # More than half of the reposts carry no name.
+    posts = t.posts.withColumn("screen_name", F.when(F.col("id") % 5 < 2, F.col("screen_name")))
+    return J.resolve_mentions(J.mention_rows(posts), posts).drop("created_at")
+
+
 @query("J6_id_partition_range", """
 WITH mm AS (SELECT isoyear(created_at) AS iso_year, week(created_at) AS iso_week, MIN(id) AS min_id, MAX(id) + 300 AS max_id
             FROM r_posts GROUP BY 1, 2),
@@ -227,8 +236,7 @@ def _(t):
 
 
 WORKLISTS_SQL = """
-WITH fresh AS (SELECT id, type FROM r_objects WHERE watching IS NULL AND retrieved < TIMESTAMP '2024-01-29 12:00:00'
-               ORDER BY retrieved DESC, id LIMIT 600),
+WITH fresh AS (SELECT id, type FROM r_objects WHERE watching IS NULL AND retrieved < TIMESTAMP '2024-01-29 12:00:00'),
 yet AS (SELECT id, type FROM r_objects WHERE watching IS NULL AND id IN (SELECT eid FROM r_snapshots))
 SELECT id, type, 'notwatching' AS state FROM fresh
 UNION ALL SELECT id, type, 'notwatchingyet' FROM yet

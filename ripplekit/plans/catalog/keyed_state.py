@@ -2,11 +2,11 @@
 
 from pyspark.sql import functions as F
 
-from ripplekit.operators import filters as fl
 from ripplekit.operators import keyed as K
 from ripplekit.operators import watch as WT
 from ripplekit.plans.catalog.aggregation import REPORT_SQL, report
 from ripplekit.plans.catalog.base import AS_OF, ntz, query
+from ripplekit.plans.catalog.filtering import elsewhere_sql
 from ripplekit.plans.catalog.joining import GROWTH_SQL, snapshot_pairs
 
 
@@ -149,14 +149,12 @@ def _(t):
     return WT.apply_watch(t.entities, decisions(t)).select("id", "type", "watching")
 
 
-@query("K10_watch_cleanup", """
-SELECT id, type, CASE WHEN (watching IS NOT FALSE AND (name ILIKE '%taiwan%' OR name ILIKE '%taipei%') AND name NOT ILIKE '%hong%kong%')
+@query("K10_watch_cleanup", f"""
+SELECT id, type, CASE WHEN ({elsewhere_sql()})
   OR (type = 'event' AND end_time < TIMESTAMP '2024-01-24' AND watching IS NOT FALSE)
   OR (type <> 'event' AND retrieved < TIMESTAMP '2023-12-31' AND watching IS NULL) THEN FALSE ELSE watching END AS watching FROM r_objects""")
 def _(t):
-    elsewhere = fl.keyword_rule(t.objects, ["name"]).select("id")
-    stopped = elsewhere.union(fl.stale(t.objects, AS_OF).select("id"))
-    return WT.stop_watching(t.objects, stopped).select("id", "type", "watching")
+    return WT.clean_up(t.objects, AS_OF).select("id", "type", "watching")
 
 
 @query("K11_profile_from_posts", """

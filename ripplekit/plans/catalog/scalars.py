@@ -35,14 +35,18 @@ def _(t):
 
 
 @query("X4_rss_pubdate", """
-SELECT event_id, date_trunc('second', ts) - INTERVAL 1 MINUTE * (CASE event_id % 4 WHEN 0 THEN 480 WHEN 1 THEN 0 WHEN 2 THEN -300 ELSE 480 END) AS pubdate FROM events""")
+SELECT event_id, date_trunc('second', ts) - INTERVAL 1 MINUTE * (CASE event_id % 7 WHEN 0 THEN 480 WHEN 1 THEN 0 WHEN 2 THEN -300 WHEN 4 THEN 540 WHEN 6 THEN 0 ELSE 480 END)
+  * (CASE WHEN event_id % 7 = 5 THEN NULL ELSE 1 END) AS pubdate FROM events""")
 def _(t):
     rfc = F.date_format("ts", "EEE, dd MMM yyyy HH:mm:ss")
-    k = C("event_id") % 4
+    k = C("event_id") % 7
     s = (
         F.when(k == 0, F.concat(rfc, L(" +0800")))
         .when(k == 1, F.concat(rfc, L(" GMT")))
         .when(k == 2, F.concat(F.date_format("ts", "d MMM yyyy HH:mm:ss"), L(" EST")))
+        .when(k == 4, F.concat(rfc, L(" JST")))
+        .when(k == 5, F.concat(rfc, L(" NOWHERE")))
+        .when(k == 6, F.concat(F.date_format("ts", "dd MMM yy HH:mm:ss"), L(" GMT")))
         .otherwise(F.date_format("ts", "yyyy/MM/dd HH:mm:ss"))
     )
     return t.table("events").select("event_id", TM.parse_pubdate(s).alias("pubdate"))

@@ -5,10 +5,8 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from ripplekit.functions.times import with_iso_week
 from ripplekit.operators import aggregates as A
 from ripplekit.operators import normalize as P
-from ripplekit.plans import reports as R
 from ripplekit.plans.catalog.aggregation import REPORT_SQL, report
 from ripplekit.plans.catalog.base import END, START, query
 from ripplekit.plans.catalog.payloads import C, L, status_json, text_of
@@ -58,13 +56,32 @@ def _(t):
     ).union(errors.select("id", L("error"), "error_code", "fatal"))
 
 
-@query("S3_csv_scan", """
-SELECT id, user_id, 'he said "' || text || '", twice' AS text FROM r_posts""")
+# Whole texts, some null, empty, or with quotes, backslashes and line breaks of both kinds.
+AWKWARD_SQL = r"""CASE doc_id % 10 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN ' "' || text || '\n\b", \' || chr(13) || chr(10) || '\N' ELSE text END"""
+
+
+def awkward_text():
+    k = C("doc_id") % 10
+    odd = F.concat(L(' "'), C("text"), L('\\n\\b", \\'), L("\r\n"), L("\\N"))
+    return F.when(k == 1, "").when(k == 2, odd).when(k != 0, C("text"))
+
+
+@query("S3_csv_scan", f"SELECT doc_id, {AWKWARD_SQL} AS text, lang FROM documents")
 def _(t):
     path = shared_dir(t.spark, "csv")
-    said = F.concat(L('he said "'), C("text"), L('", twice'))
-    WR.write_csv(t.posts.select("id", "user_id", said.alias("text")), path)
-    return RD.read_csv(t.spark, path, "id BIGINT, user_id BIGINT, text STRING")
+    WR.write_csv(t.table("documents").select("doc_id", awkward_text().alias("text"), "lang"), path)
+    return RD.read_csv(t.spark, path, "doc_id BIGINT, text STRING, lang STRING")
+
+
+@query("S3_csv_unreadable", """
+SELECT id, 'read' AS kind FROM r_posts WHERE id % 3 <> 0 UNION ALL SELECT id, 'unreadable' FROM r_posts WHERE id % 3 = 0""")
+def _(t):
+    path, schema = shared_dir(t.spark, "csv"), "id BIGINT, user_id BIGINT, name STRING"
+    line = F.concat(C("id").cast("string"), F.when(C("id") % 3 != 0, ",7,").otherwise(",seven,"), C("screen_name"))
+    t.posts.select(line).write.text(path)
+    good = RD.read_csv(t.spark, path, schema, header=False).select("id", L("read").alias("kind"))
+    bad = RD.unreadable_csv(t.spark, path, schema, header=False)
+    return good.union(bad.select(F.split_part("record", L(","), L(1)).cast("bigint"), L("unreadable")))
 
 
 @query("S4_idlist_scan", "SELECT id FROM r_posts WHERE user_id % 3 < 2")
@@ -76,26 +93,41 @@ def _(t):
     return RD.read_ids(t.spark, path)
 
 
-@query("S5_rss_items_scan", """
-SELECT id // 50 AS blogid, 'post ' || CAST(id AS STRING) AS title, 'http://blog/' || CAST(id AS STRING) AS link,
-  text AS description, CASE WHEN id % 2 = 0 THEN screen_name END AS author,
-  date_trunc('second', created_at) - INTERVAL 8 HOUR AS pubdate FROM r_posts WHERE user_id % 7 <> 0""")
-def _(t):
-    i = C("id").cast("string")
+def feeds(t):
+    """Feeds of 50 posts; dates with two-digit years, offsets, names, an unknown zone, or none."""
+    i, k = C("id").cast("string"), C("user_id") % 7
+    long, short = (F.date_format("created_at", f"EEE, dd MMM {y} HH:mm:ss") for y in ("yyyy", "yy"))
+    date = (
+        F.when(k == 1, F.concat(short, L(" +0800"))).when(k == 2, F.concat(long, L(" JST")))
+        .when(k == 3, F.concat(long, L(" XYZ"))).when(k != 0, F.concat(long, L(" +0800")))
+    )
     item = F.concat(
         L("<item><title>post "), i, L("</title><link>http://blog/"), i, L("</link><description><![CDATA["),
         C("text"), L("]]></description>"),
         F.when(C("id") % 2 == 0, F.concat(L("<author>"), C("screen_name"), L("</author>"))).otherwise(""),
-        F.when(
-            C("user_id") % 7 != 0,
-            F.concat(L("<pubDate>"), F.date_format("created_at", "EEE, dd MMM yyyy HH:mm:ss"), L(" +0800</pubDate>")),
-        ).otherwise(""),
+        F.coalesce(F.concat(L("<pubDate>"), date, L("</pubDate>")), L("")),
         L("</item>"),
     )
-    feeds = t.posts.groupBy(F.floor(C("id") / 50).alias("blogid")).agg(
+    return t.posts.groupBy(F.floor(C("id") / 50).alias("blogid")).agg(
         F.concat(L("<rss><channel>"), F.array_join(F.collect_list(item), "\n"), L("</channel></rss>")).alias("feed")
     )
-    return RD.read_rss(feeds, "feed").select("blogid", "title", "link", "description", "author", "pubdate")
+
+
+@query("S5_rss_items_scan", """
+SELECT id // 50 AS blogid, 'post ' || CAST(id AS STRING) AS title, 'http://blog/' || CAST(id AS STRING) AS link,
+  text AS description, CASE WHEN id % 2 = 0 THEN screen_name END AS author,
+  date_trunc('second', created_at) - INTERVAL 1 HOUR * (CASE user_id % 7 WHEN 2 THEN 9 ELSE 8 END) AS pubdate
+FROM r_posts WHERE user_id % 7 NOT IN (0, 3)""")
+def _(t):
+    return RD.read_rss(feeds(t), "feed").select("blogid", "title", "link", "description", "author", "pubdate")
+
+
+@query("S5_rss_undated_items", """
+SELECT id // 50 AS blogid, 'http://blog/' || CAST(id AS STRING) AS link,
+  CASE user_id % 7 WHEN 3 THEN strftime(created_at, '%a, %d %b %Y %H:%M:%S XYZ') END AS written
+FROM r_posts WHERE user_id % 7 IN (0, 3)""")
+def _(t):
+    return RD.undated_items(feeds(t), "feed").select("blogid", "link", "written")
 
 
 @query("S6_week_partition_scan", """
@@ -121,31 +153,51 @@ def _(t):
     return parts[0].union(parts[1])
 
 
-@query("S8_partitioned_write", """
-SELECT id, created_at, CAST(isoyear(created_at) AS INT) AS iso_year, CAST(week(created_at) AS INT) AS iso_week FROM r_posts""")
+WEEKLY_SQL = """
+SELECT id, created_at, CAST(isoyear(created_at) AS INT) AS iso_year, CAST(week(created_at) AS INT) AS iso_week FROM r_posts"""
+WEEKLY = ["id", "created_at", "iso_year", "iso_week"]
+
+
+@query("S8_partitioned_write", WEEKLY_SQL)
 def _(t):
     path = shared_dir(t.spark, "weekly")
-    posts = t.posts.select("id", "created_at")
-    WR.write_weekly(posts, path)
-    WR.write_weekly(posts.filter(C("created_at") >= L(dt.datetime(2024, 1, 22)).cast("timestamp_ntz")), path)
-    return t.spark.read.parquet(path).select("id", "created_at", "iso_year", "iso_week")
+    WR.write_weekly(t.posts.select("id", "created_at"), path)
+    return t.spark.read.parquet(path).select(WEEKLY)
+
+
+@query("S8_late_rows", WEEKLY_SQL)
+def _(t):
+    """Rows that come late join the weeks already stored; a batch that comes again changes nothing."""
+    path, posts = shared_dir(t.spark, "weekly"), t.posts.select("id", "created_at")
+    WR.write_weekly(posts.filter("id % 5 <> 0"), path)
+    for _ in range(2):
+        WR.write_weekly(posts.filter("id % 5 < 2"), path)
+    return t.spark.read.parquet(path).select(WEEKLY)
+
+
+@query("S8_replace_weeks", WEEKLY_SQL + """
+WHERE created_at < TIMESTAMP '2024-01-22' OR user_id % 2 = 0""")
+def _(t):
+    path, posts = shared_dir(t.spark, "weekly"), t.posts.select("id", "created_at", "user_id")
+    WR.replace_weeks(posts, path)
+    WR.replace_weeks(posts.filter(C("created_at") >= L(dt.datetime(2024, 1, 22)).cast("timestamp_ntz")).filter("user_id % 2 = 0"), path)
+    return t.spark.read.parquet(path).select(WEEKLY)
 
 
 @query("S9_csv_report_sink", REPORT_SQL + "SELECT id, user_name, text, count, provname_en FROM rep")
 def _(t):
     path = shared_dir(t.spark, "report")
     WR.write_csv(report(t).select("id", "user_name", "text", "count", "provname_en"), path, "\t")
-    return t.spark.read.schema("id BIGINT, user_name STRING, text STRING, count BIGINT, provname_en STRING").csv(
-        path, sep="\t", header=True, escape="\\"
-    )
+    schema = "id BIGINT, user_name STRING, text STRING, count BIGINT, provname_en STRING"
+    return RD.read_csv(t.spark, path, schema, sep="\t")
 
 
 @query("S10_json_report_sink", REPORT_SQL + """
 SELECT '{"rts":[' || string_agg('{"count":' || CAST(count AS STRING) || ',"id":' || CAST(id AS STRING) || ',"user_name":"' || user_name || '"}', ','
   ORDER BY count DESC, id DESC) || '],"dategen":1706659200000}' AS document FROM rep""")
 def _(t):
-    top = R.order_report(report(t).select("count", "id", "user_name"))
-    return WR.report_json(top, L(1706659200000))
+    top = report(t).select("count", "id", "user_name")
+    return WR.report_json(top, L(1706659200000), 200)
 
 
 @query("S11_count_files_sink", """

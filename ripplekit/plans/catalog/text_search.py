@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from ripplekit.functions.times import with_iso_week
 from ripplekit.operators import search as S
 from ripplekit.plans.catalog.base import joined, query
-from ripplekit.sources.readers import scan_period
+from ripplekit.session import shared_dir
+from ripplekit.sources.readers import read_csv, scan_period
+from ripplekit.sources.writers import write_csv
 
 # The checking SQL's tokens: words, with runs of Han characters as bigrams.
 TOKENS = r"""
@@ -26,43 +28,71 @@ TERMS = "('the', 'que', 'ein')"
 START, END = 1704067200, 1704067200 + 86400 * 2
 
 
-def forum_hits(where="TRUE", k=200):
+def forum_hits(where="TRUE", k=200, offset=0):
+    cut = "" if k is None else f"LIMIT {k} OFFSET {offset}"
     return f"""
 WITH hit AS (SELECT pid, uid, tid, time_secs FROM r_forum WHERE ({where}))
-SELECT pid, uid, tid, time_secs, (SELECT COUNT(*) FROM hit) AS total_hits FROM hit ORDER BY time_secs DESC, pid LIMIT {k}"""
+SELECT pid, uid, tid, time_secs, (SELECT COUNT(*) FROM hit) AS total_hits FROM hit ORDER BY time_secs DESC, pid {cut}"""
 
 
 HAS_TERM = f"len(list_filter({tokens_sql('content')}, lambda x: x IN {TERMS})) > 0"
+FOLDERS = 16
+_stored: dict[tuple[str, str], str] = {}
 
 
-def forum_postings(t):
-    return S.build_postings(t.forum, "pid", "content")
+def forum_index(t):
+    """The forum's stored index: built once for a session and its tables, then searched by each query."""
+    at = (t.spark.sparkContext.applicationId, t.dir)
+    if at not in _stored:
+        path = shared_dir(t.spark, "forum-index")
+        S.write_postings(S.build_postings(t.forum, "pid", "content"), path, FOLDERS)
+        _stored[at] = path
+    return t.spark.read.schema("term STRING, doc_id BIGINT, tf INT, term_bucket INT").parquet(_stored[at])
 
 
 COLS = ["pid", "uid", "tid", "time_secs", "total_hits"]
 
 
+def forum_search(t, q, *args, **options):
+    shown = t.forum.select("pid", "uid", "tid", "time_secs")
+    found = S.search(
+        forum_index(t), shown, q, *args, doc_id="pid", user="uid", ts="time_secs", buckets=FOLDERS, **options
+    )
+    return found.select(COLS)
+
+
 @query("T1_keyword_search", forum_hits(f"{HAS_TERM} AND time_secs BETWEEN {START} AND {END}"))
 def _(t):
-    return S.search(
-        forum_postings(t), t.forum, QUERY, START, END, k=200, doc_id="pid", user="uid", ts="time_secs"
-    ).select(COLS)
+    return forum_search(t, QUERY, START, END, k=200)
+
+
+@query("T1_keyword_search_all", forum_hits(f"{HAS_TERM} AND time_secs >= {START + 7000}", None))
+def _(t):
+    return forum_search(t, QUERY, START + 7000)
+
+
+@query("T1_keyword_search_page", forum_hits(f"{HAS_TERM} AND time_secs <= {END}", 20, 40))
+def _(t):
+    return forum_search(t, QUERY, None, END, k=20, offset=40)
 
 
 @query("T2_search_by_users", forum_hits(
     f"{HAS_TERM} AND time_secs BETWEEN {START} AND {END} AND uid IN (SELECT user_id FROM r_userlist WHERE list_id IN (1, 2))"))
 def _(t):
     people = t.userlist.filter("list_id IN (1, 2)").select("user_id")
-    return S.search(
-        forum_postings(t), t.forum, QUERY, START, END, people, 200, "pid", "uid", "time_secs"
-    ).select(COLS)
+    return forum_search(t, QUERY, START, END, people, k=200)
+
+
+@query("T2_search_no_users", forum_hits(f"{HAS_TERM} AND time_secs BETWEEN {START} AND {END}"))
+def _(t):
+    return forum_search(t, QUERY, START, END, [], k=200)
 
 
 @query("T3_forum_search", forum_hits(
     f"{HAS_TERM} AND time_secs BETWEEN {START} AND {END} AND floor BETWEEN 2 AND 5 AND uid IN (1, 2, 3, 10, 11, 12, 40, 41)"))
 def _(t):
     return S.search_forum(
-        forum_postings(t), t.forum, QUERY, START, END, "2-5", [1, 2, 3, 10, 11, 12, 40, 41], 200
+        forum_index(t), t.forum, QUERY, START, END, "2-5", [1, 2, 3, 10, 11, 12, 40, 41], 200, buckets=FOLDERS
     )
 
 
@@ -92,12 +122,32 @@ SELECT pid, content, time_secs, CASE WHEN pid % 13 = 0 THEN NULL
 SELECT term, doc_id, CAST(COUNT(*) AS INT) AS tf FROM (SELECT pid AS doc_id, unnest({tokens_sql('content')}) AS term
   FROM ({STAMPED}) s WHERE CAST(dbinserted AS DATE) IN (DATE '2024-01-02', DATE '2024-01-03')) x GROUP BY 1, 2""")
 def _(t):
-    docs = t.sql(STAMPED)
-    days = [
-        S.index_increment(docs, "pid", "content", "time_secs", dt.date(2024, 1, d)).drop("time_secs")
-        for d in (2, 3)
-    ]
-    return days[0].union(days[1])
+    # Each day's increment is appended to the stored index.
+    docs, path = t.sql(STAMPED), shared_dir(t.spark, "increments")
+    for day in (2, 3):
+        found = S.index_increment(docs, "pid", "content", "time_secs", dt.date(2024, 1, day))
+        S.write_postings(found.drop("time_secs"), path, FOLDERS)
+    return t.spark.read.parquet(path).select("term", "doc_id", "tf")
+
+
+def postings_of(where):
+    return f"""
+SELECT term, doc_id, CAST(COUNT(*) AS INT) AS tf FROM (SELECT id AS doc_id, unnest({tokens_sql('text')}) AS term
+  FROM r_posts WHERE {where}) x GROUP BY 1, 2"""
+
+
+@query("T7_index_by_ids", postings_of("id IN (SELECT retweeted_status FROM r_posts)"))
+def _(t):
+    wanted = t.posts.filter("retweeted_status IS NOT NULL").select("retweeted_status")
+    return S.index_ids(t.posts, wanted, "id", "text", "created_at").drop("created_at")
+
+
+@query("T7_index_from_csv", postings_of("user_id % 3 = 0"))
+def _(t):
+    path = shared_dir(t.spark, "to-index")
+    write_csv(t.posts.filter("user_id % 3 = 0").select("id", "text", "created_at"), path)
+    listed = read_csv(t.spark, path, "id BIGINT, text STRING, created_at TIMESTAMP_NTZ")
+    return S.index_rows(listed, "id", "text", "created_at").drop("created_at")
 
 
 @query("T7_incremental_index_week", f"""

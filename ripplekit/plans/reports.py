@@ -8,10 +8,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplekit.functions.text import last_components
-from ripplekit.functions.times import bucket, bucket_step, epoch
-from ripplekit.operators.aggregates import rank_reposted, repost_pairs, trend
-from ripplekit.operators.filters import filter_lists, in_period, reposts
-from ripplekit.operators.joins import add_geo, hydrate, lookup, mention_rows, resolve_mentions
+from ripplekit.functions.times import bucket, bucket_grid, epoch
+from ripplekit.operators.aggregates import rank_reposted, repost_pairs, top_links, trend, with_reposters
+from ripplekit.operators.filters import drop_spam, filter_lists, flag_spam, in_period, reposts
+from ripplekit.operators.joins import add_geo, hydrate, lookup, mention_rows, resolve_mentions, resolve_urls
 
 REPORT_ZONE = "Asia/Hong_Kong"
 
@@ -25,28 +25,47 @@ def trace(posts: DataFrame, users: DataFrame, tid: int | None = None) -> DataFra
     """Each repost with its ordered references and the names nobody could place.
 
     A reference resolves to the latest earlier repost by that name, else to the
-    user table.  Lists are per repost, hence bounded by one post's text.
+    user table.  Lists are per repost, hence bounded by one post's text.  The
+    repost's own columns travel with its names, so nothing is joined back.
     """
     rts = reposts(posts)
     if tid is not None:
         rts = rts.filter(F.col("retweeted_status") == tid)
-    resolved = resolve_mentions(mention_rows(rts), rts)
+    resolved = resolve_mentions(mention_rows(rts, ("user_id", "screen_name"), outer=True), rts)
     names = users.groupBy(F.col("screen_name").alias("_name")).agg(F.min("id").alias("_uid"))
     placed = resolved.join(names, resolved["name"] == names["_name"], "left").withColumn(
         "ref_id", F.coalesce("ref_user_id", "_uid")
     )
-    ref = F.struct("pos", "name", F.col("ref_id").alias("id"))
-    refs = placed.groupBy(F.col("id").alias("_id")).agg(
+    ref = F.when(F.col("pos").isNotNull(), F.struct("pos", "name", F.col("ref_id").alias("id")))
+    out = placed.groupBy("retweeted_status", "id", "created_at", "user_id", "screen_name").agg(
         F.array_sort(F.collect_list(ref)).alias("references")
     )
-    out = rts.join(refs, rts["id"] == refs["_id"], "left").withColumn(
-        "references", F.coalesce("references", F.array().cast(refs.schema["references"].dataType))
-    )
     unknown = F.filter("references", lambda r: r["id"].isNull())
-    return out.select(
-        "retweeted_status", "id", "created_at", "user_id", "screen_name", "references",
-        F.transform(unknown, lambda r: r["name"]).alias("missing_users"),
-    )
+    return out.withColumn("missing_users", F.transform(unknown, lambda r: r["name"]))
+
+
+# Profile columns a trace document shows, by the names it gives them.
+TRACE_PROFILE = {
+    "screen_name": "user_screen_name", "province": "user_province", "city": "user_city", "gender": "user_gender",
+    "followers_count": "user_followers_count", "friends_count": "user_friends_count",
+}
+
+
+def trace_document(
+    posts: DataFrame, users: DataFrame, tid: int | None = None, extra: bool = True
+) -> DataFrame:
+    """The trace with each repost's text, ``user_id_ref`` (null: its user is not stored) and, with ``extra``, profile columns."""
+    shown = {c: n for c, n in TRACE_PROFILE.items() if extra and c in users.columns}
+    profile = users.select(F.col("id").alias("user_id_ref"), *[F.col(c).alias(n) for c, n in shown.items()])
+    text = reposts(posts).select(F.col("id").alias("_t"), "text")
+    traced = trace(posts, users, tid)
+    traced = traced.join(text, traced["id"] == text["_t"]).drop("_t")
+    return traced.join(profile, traced["user_id"] == profile["user_id_ref"], "left")
+
+
+def unknown_reposters(traced: DataFrame) -> DataFrame:
+    """Users of a trace document who are not stored yet."""
+    return traced.filter("user_id_ref IS NULL").select("user_id").distinct()
 
 
 def trace_totals(traced: DataFrame) -> DataFrame:
@@ -85,41 +104,51 @@ def trend_series(
     span = counted.groupBy("retweeted_status").agg(
         first.alias("_first"), F.max("time").alias("_last")
     )
-    dense = span.select(
-        "retweeted_status",
-        F.explode(F.sequence("_first", "_last", bucket_step(interval))).alias("time"),
+    grid = bucket_grid(F.col("_first"), F.col("_last"), interval)
+    zeros = span.select(
+        "retweeted_status", F.explode(grid).alias("time"),
+        F.lit(0).cast("bigint").alias("count"), F.lit(0).cast("bigint").alias("users"),
     )
-    return dense.join(counted, ["retweeted_status", "time"], "left").select(
-        "retweeted_status", "time",
-        F.coalesce("count", F.lit(0)).alias("count"),
-        F.coalesce("users", F.lit(0)).alias("users"),
+    # Added up, not joined: a counted bucket is kept whether or not the grid has it.
+    return counted.unionByName(zeros).groupBy("retweeted_status", "time").agg(
+        F.sum("count").alias("count"), F.sum("users").alias("users")
     )
 
 
+# Columns of a report row besides ids, counts and dates.
+REPORT_PROFILE = ["followers_count", "friends_count", "statuses_count", "profile_image_url", "province", "city", "verified"]
+REPORT_POST = [
+    "thumbnail_pic", "bmiddle_pic", "original_pic", "text", "reposts_count", "comments_count", "mlevel",
+]
+
+
+def _present(df: DataFrame, columns: list[str]) -> list[str]:
+    return [c for c in columns if c in df.columns]
+
+
 def report_for(top: DataFrame, posts: DataFrame, users: DataFrame, provinces: DataFrame) -> DataFrame:
-    """Full report rows of an already limited list of originals.
+    """Full report rows of a list of originals.
 
-    ``top`` is the result of ``rank_reposted``, whose groups already carry the
-    counts; only the listed originals and their authors are looked up.
+    ``top`` is the result of ``rank_reposted`` (or ``reports_for_intervals``),
+    whose groups already carry the counts; only the listed originals and their
+    authors are looked up.  Profile and post columns a table lacks are left out.
     """
-    counted = top.select(
-        "retweeted_status", F.col("retweeted_count").alias("count"), "male_count", "female_count",
-        "distinct_users_count", "distinct_male_count", "distinct_female_count",
-    )
-    found = hydrate(counted, posts.select("id", "created_at", "user_id", "text")).filter("id IS NOT NULL")
+    counted = top.drop("distinct_users", "min_user_created_at").withColumnRenamed("retweeted_count", "count")
+    media, profile = _present(posts, REPORT_POST), _present(users, REPORT_PROFILE)
+    found = hydrate(counted, posts.select("id", "created_at", "user_id", *media)).filter("id IS NOT NULL")
     author = users.select(
-        F.col("id").alias("_a"), F.col("screen_name").alias("user_name"), "followers_count",
-        "province", "city", F.col("created_at").alias("user_created_at"),
+        F.col("id").alias("_a"), F.col("screen_name").alias("user_name"), *profile,
+        F.col("created_at").alias("user_created_at"),
     )
     full = add_geo(lookup(found, "user_id", author, "_a"), provinces)
+    rest = [c for c in counted.columns if c not in ("retweeted_status", "count")]
     return full.select(
-        "id", "user_id", "user_name", "followers_count", "province", "city", "text", "count",
+        "id", "user_id", "user_name", *profile, *media, "count",
         epoch(F.col("created_at"), REPORT_ZONE, "ms").alias("created_at_ms"),
         epoch(F.col("user_created_at"), REPORT_ZONE, "ms").alias("user_created_at_ms"),
         "provname", "cityname", "cityname_en",
         F.when(F.col("provname").isNotNull(), last_components(F.col("provname_full_en"), 2)).alias("provname_en"),
-        "male_count", "female_count", "distinct_users_count", "distinct_male_count",
-        "distinct_female_count",
+        *rest,
     )
 
 
@@ -129,10 +158,10 @@ def most_reposted_report(
     provinces: DataFrame,
     start: dt.datetime,
     end: dt.datetime | None = None,
-    limit: int = 200,
+    limit: int | None = None,
     **filters: object,
 ) -> DataFrame:
-    """Top originals of a period with profile, place, gender counts and dates.
+    """Originals of a period, all or the first ``limit``, with profile, place, gender counts and dates.
 
     ``filters`` are those of ``rank_reposted`` (province, lists, audience, age).
     """
@@ -140,18 +169,51 @@ def most_reposted_report(
     return report_for(top, posts, users, provinces)
 
 
+def report_lists(report: DataFrame, posts: DataFrame, users: DataFrame, chunk: int = 10_000) -> DataFrame:
+    """The users and times of each report row's reposts, in aligned arrays of bounded size."""
+    listed = report.select(F.col("id").alias("retweeted_status"), "count")
+    return with_reposters(listed, posts, users, chunk).select(
+        F.col("retweeted_status").alias("id"), "count", "day", "part",
+        F.col("user_ids").alias("users"), F.col("creation_dates").alias("times"), "genders",
+    )
+
+
+def link_report(
+    posts: DataFrame,
+    userlist: DataFrame,
+    urlmap: DataFrame,
+    spam_posts: DataFrame,
+    spam_sites: DataFrame,
+    since: dt.datetime,
+    list_id: int = 1,
+    k: int | None = None,
+) -> DataFrame:
+    """Top links of a list, resolved, without those first seen in spam posts, and marked if their site is spam."""
+    top = top_links(posts, userlist, since, list_id, k)
+    kept = drop_spam(resolve_urls(top, urlmap), spam_posts, "rt_status_id")
+    return flag_spam(kept, spam_sites, "location")
+
+
 def order_report(report: DataFrame, mode: str = "json") -> DataFrame:
     """JSON reports sort by count, CSV reports by user id; both descending."""
     return report.orderBy(F.desc("count" if mode == "json" else "user_id"), "id")
 
 
 def reports_for_intervals(
-    posts: DataFrame, users: DataFrame, as_of: dt.datetime, days: list[int], limit: int = 200
+    posts: DataFrame,
+    users: DataFrame,
+    as_of: dt.datetime,
+    days: list[int],
+    limit: int | None = None,
+    province: int | None = None,
+    userlist: DataFrame | None = None,
+    lists: list[int] | None = None,
 ) -> DataFrame:
-    """Most reposted for several look-back periods from one scan.
+    """Most reposted for several look-back periods from one scan; all of each, or the first ``limit``.
 
     Every (original, reposter) pair gets one count per interval, so rows are
-    not repeated per interval before the big shuffle.
+    not repeated per interval before the big shuffle.  The filters on reposters
+    are those of ``rank_reposted``; ``report_for`` makes full rows of the result.
     """
     starts = {d: as_of - dt.timedelta(days=d) for d in days}
     counts: dict[str, Column] = {
@@ -160,29 +222,38 @@ def reports_for_intervals(
     }
     recent = in_period(posts, "created_at", min(starts.values()), as_of)
     pairs = repost_pairs(recent, counts)
-    known = users.select(F.col("id").alias("_u"))
-    marked = pairs.join(known, pairs["user_id"] == known["_u"], "left")
+    known = users.select(F.col("id").alias("_u"), "province", "gender")
+    if lists is not None:
+        known = filter_lists(known, userlist, lists, user="_u")
+    elif province is not None:
+        known = known.filter(F.col("province") == province)
+    marked = pairs.join(known, pairs["user_id"] == known["_u"], "left" if lists is None and province is None else "inner")
+
+    def of(d: int) -> dict[str, Column]:
+        n, there = F.col(f"n_{d}"), F.col(f"n_{d}") > 0
+        man, woman = F.col("gender") == "m", F.col("gender") == "f"
+        return {
+            "retweeted_count": F.sum(n),
+            "distinct_users": F.count_if(there & F.col("_u").isNotNull()),
+            "male_count": F.sum(F.when(man, n).otherwise(0)),
+            "female_count": F.sum(F.when(woman, n).otherwise(0)),
+            "distinct_users_count": F.count_if(there & F.col("user_id").isNotNull()),
+            "distinct_male_count": F.count_if(there & man),
+            "distinct_female_count": F.count_if(there & woman),
+        }
+
+    columns = {d: of(d) for d in days}
     totals = marked.groupBy("retweeted_status").agg(
-        *[F.sum(f"n_{d}").alias(f"n_{d}") for d in days],
-        *[F.count_if((F.col(f"n_{d}") > 0) & F.col("_u").isNotNull()).alias(f"u_{d}") for d in days],
+        *[c.alias(f"{name}_{d}") for d in days for name, c in columns[d].items()]
     )
     cells = F.array(
         *[
-            F.struct(
-                F.lit(d).alias("days"),
-                F.col(f"n_{d}").alias("retweeted_count"),
-                F.col(f"u_{d}").alias("distinct_users"),
-            )
+            F.struct(F.lit(d).alias("days"), *[F.col(f"{name}_{d}").alias(name) for name in columns[d]])
             for d in days
         ]
     )
-    long = totals.select("retweeted_status", F.explode(cells).alias("c")).select(
-        "c.days", "retweeted_status", "c.retweeted_count", "c.distinct_users"
-    )
+    long = totals.select("retweeted_status", F.explode(cells).alias("c")).select("retweeted_status", "c.*")
     # The rank limit is applied inside each task before rows of one interval meet.
     rank = Window.partitionBy("days").orderBy(F.desc("distinct_users"), "retweeted_status")
-    return (
-        long.filter("retweeted_count > 0")
-        .withColumn("rank", F.row_number().over(rank))
-        .filter(F.col("rank") <= limit)
-    )
+    ranked = long.filter("retweeted_count > 0").withColumn("rank", F.row_number().over(rank))
+    return ranked if limit is None else ranked.filter(F.col("rank") <= limit)

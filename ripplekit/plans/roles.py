@@ -29,10 +29,6 @@ TABLE_SCHEMAS = {
 }
 BASE_TABLES = list(TABLE_SCHEMAS)
 
-# Tables whose rows cost much more to work on than to move, when they are small.
-WIDE_WORK = {"documents", "conversations", "pages"}
-FEW_SPLITS = 8
-
 ROLES = {
     "r_posts": """
 SELECT id, created_at, user_id, screen_name, rt AS retweeted_status,
@@ -86,8 +82,7 @@ SELECT DISTINCT user_id AS source_id, CAST(regexp_extract(props, '([0-9]+)', 1)
 SELECT conv_id * 1000 + turn AS pid, conv_id AS tid, conv_id % 150 AS uid, turn + 1 AS floor, text AS content,
        1704067200 + (conv_id * 60 + turn) * 60 AS time_secs FROM conversations""",
     "r_urlmap": """
-SELECT 't.cn' AS base, 'h' || CAST(n_nationkey AS STRING) AS hash, p.url AS location
-FROM nation LEFT JOIN pages p ON p.page_id = n_nationkey""",
+SELECT 't.cn' AS base, 'h' || CAST(page_id AS STRING) AS hash, url AS location FROM pages""",
     # Posts with the date a crawler stored them; some were never stamped.
     "r_dated": """
 SELECT *, CASE WHEN id % 11 <> 0 THEN created_at + INTERVAL 1 DAY END AS dbinserted FROM r_posts""",
@@ -96,11 +91,23 @@ SELECT *, CASE WHEN id % 11 <> 0 THEN created_at + INTERVAL 1 DAY END AS dbinser
 SELECT id, type, watching, state, name,
        CASE WHEN id % 9 = 0 THEN 'http://fan.com.tw/p' || CAST(id AS STRING)
             WHEN id % 9 = 1 THEN 'http://hongkong.com.tw/' ELSE 'http://example.org/' || name END AS link,
+       CASE WHEN type = 'event' THEN 'a night' || CASE id % 8 WHEN 0 THEN ' in Taipei' WHEN 1 THEN ' of Taiwan and Hong Kong' ELSE '' END
+            END AS description,
+       CASE WHEN type = 'event' AND id % 10 < 3 THEN CASE id % 10 WHEN 0 THEN 'TAIPEI' WHEN 1 THEN 'Hong Kong' ELSE 'Taiwan' END END AS location,
        TIMESTAMP '2023-12-15 00:00:00' + CAST(id % 47 AS INT) * INTERVAL 1 DAY AS retrieved,
        CASE WHEN type = 'event' THEN TIMESTAMP '2024-01-10 00:00:00' + CAST(id % 30 AS INT) * INTERVAL 1 DAY END AS end_time,
        CASE WHEN id % 5 = 0 THEN CASE type WHEN 'group' THEN 'event' WHEN 'event' THEN 'page' ELSE 'group' END
             ELSE type END AS declared_type
 FROM r_entities""",
+    # Users and posts with the further columns a report shows.
+    "r_profiles": """
+SELECT u.*, CAST(id % 500 AS INT) AS friends_count, CAST(id % 97 AS INT) AS statuses_count,
+       'http://img.example/' || CAST(id AS STRING) AS profile_image_url, id % 11 = 0 AS verified FROM r_users u""",
+    "r_media": """
+SELECT p.*, CASE WHEN id % 4 = 0 THEN 'http://pic.example/t/' || CAST(id AS STRING) END AS thumbnail_pic,
+       CASE WHEN id % 4 = 0 THEN 'http://pic.example/m/' || CAST(id AS STRING) END AS bmiddle_pic,
+       CASE WHEN id % 4 = 0 THEN 'http://pic.example/o/' || CAST(id AS STRING) END AS original_pic,
+       CAST(id % 13 AS INT) AS reposts_count, CAST(id % 5 AS INT) AS comments_count, CAST(id % 3 AS INT) AS mlevel FROM r_posts p""",
     # What an earlier crawl had stored: it had not seen the 'error' records.
     "r_known": """
 SELECT event_id AS id FROM events WHERE event_type <> 'error'""",
@@ -170,19 +177,10 @@ class Roles:
 
     def _source(self, name: str) -> str:
         """A base table as a view of this directory; declared schemas save the
-        footer-reading job of schema inference.
-
-        A small file is one task however many cores wait, so the text tables
-        are dealt out to all cores while they have few splits.  More than
-        ``FEW_SPLITS`` splits (about a gigabyte) are read as they are.
-        """
+        footer-reading job of schema inference."""
         view = f"{name}_{zlib.crc32(self.dir.encode()):08x}"
         if name not in self._registered:
             df = self.spark.read.schema(TABLE_SCHEMAS[name]).parquet(f"{self.dir}/{name}.parquet")
-            if name in WIDE_WORK:
-                cores = self.spark.sparkContext.defaultParallelism
-                if df.rdd.getNumPartitions() <= min(FEW_SPLITS, cores):
-                    df = df.repartition(cores)
             df.createOrReplaceTempView(view)
             self._registered.add(name)
         return f"SELECT * FROM {view}"
@@ -209,6 +207,14 @@ class Roles:
     def users(self) -> DataFrame:
         return self.view("r_users")
 
+    @cached_property
+    def profiles(self) -> DataFrame:
+        return self.view("r_profiles")
+
+    @cached_property
+    def media(self) -> DataFrame:
+        return self.view("r_media")
+
     @cached_property
     def userlist(self) -> DataFrame:
         return self.view("r_userlist")

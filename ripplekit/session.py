@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 import uuid
 
@@ -46,16 +47,27 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory under the cluster's shared folder.
 
-    The cluster names the folder in ``spark.checkpoint.dir``.  Only a local
-    master, where driver and executors are one process, may fall back to a
-    temporary folder.
+    The cluster names the folder in ``spark.checkpoint.dir``.  Where it is unset,
+    as in tests, a local master, whose driver and executors are one process, gets
+    a temporary folder.
     """
+    return f"{_application_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def _application_dir(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         root = _local_root()
-    return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/ripplekit-{spark.sparkContext.applicationId}"
+
+
+def forget_intermediates(spark: SparkSession) -> None:
+    """Delete what this application has written to the shared folder; call it when its results are stored."""
+    jvm, path = spark._jvm, _application_dir(spark)
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 @functools.cache

@@ -6,9 +6,11 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ripplekit.functions.times import parse_pubdate
 from ripplekit.operators.filters import by_insert_date
+from ripplekit.sources.writers import CSV_ESCAPES, CSV_NULL
 
 # API error-code prefixes after which a record is given up.
 FATAL_ERROR_CODES = ["40302", "40023", "40031"]
@@ -50,14 +52,51 @@ def split_errors(df: DataFrame, columns: tuple[str, ...] = ("error",)) -> tuple[
     return ok, errors
 
 
-def read_csv(spark: SparkSession, path: str, schema: str, header: bool = True) -> DataFrame:
-    return (
-        spark.read.schema(schema)
-        .option("header", header)
-        .option("quote", '"')
-        .option("escape", "\\")
+def _csv(
+    spark: SparkSession, path: str, schema: str, header: bool, sep: str, multi_line: bool
+) -> tuple[DataFrame, list[T.StructField]]:
+    fields = T._parse_datatype_string(schema).fields
+    # Files of write_csv double a quote and have no line breaks; foreign ones may escape it and may have them.
+    own = {} if multi_line else {"nullValue": CSV_NULL}
+    raw = (
+        spark.read.schema(f"{schema}, _corrupt STRING")
+        .options(header=header, sep=sep, quote='"', escape="\\" if multi_line else '"', multiLine=multi_line)
+        .options(mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", **own)
         .csv(path)
     )
+    return raw, fields
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: str, header: bool = True, sep: str = ",", multi_line: bool = False
+) -> DataFrame:
+    """Records of files that ``write_csv`` made, one a line, so that files split.
+
+    ``multi_line`` reads foreign files, whose quoted fields may hold line breaks
+    and backslash escapes; such a file is one task.  Records that cannot be read
+    are left to ``unreadable_csv``.
+    """
+    raw, fields = _csv(spark, path, schema, header, sep, multi_line)
+
+    def value(f: T.StructField) -> Column:
+        c = F.col(f"`{f.name}`")
+        if multi_line or f.dataType.typeName() != "string":
+            return c
+        for plain, escape in reversed(CSV_ESCAPES.items()):
+            c = F.replace(c, F.lit(escape), F.lit(plain))
+        return c.alias(f.name)
+
+    return raw.filter("_corrupt IS NULL").select([value(f) for f in fields])
+
+
+def unreadable_csv(
+    spark: SparkSession, path: str, schema: str, header: bool = True, sep: str = ",", multi_line: bool = False
+) -> DataFrame:
+    """The records, as text, that ``read_csv`` leaves out."""
+    raw, fields = _csv(spark, path, schema, header, sep, multi_line)
+    # The reader notices a bad field only where the field is asked for: nothing of each is put behind the record.
+    nothing = F.substring(F.concat_ws("", *[F.col(f"`{f.name}`").cast("string") for f in fields]), 1, 0)
+    return raw.filter("_corrupt IS NOT NULL").select(F.concat("_corrupt", nothing).alias("record"))
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
@@ -67,22 +106,31 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.coalesce(whole, first).alias("id")).filter("id IS NOT NULL")
 
 
-def read_rss(df: DataFrame, xml: str) -> DataFrame:
-    """One row per dated ``<item>`` of a feed column; other columns are kept.
-
-    ``pubdate`` is in UTC; an item without a readable date is not stored.
-    """
+def _rss_items(df: DataFrame, xml: str) -> DataFrame:
     items = F.regexp_extract_all(F.col(xml), F.lit(r"(?s)(<item\b.*?</item>)"), F.lit(1))
     keep = [c for c in df.columns if c != xml]
     return (
         df.select(*keep, F.explode(items).alias("item"))
         .select(*keep, F.from_xml("item", RSS_ITEM_SCHEMA).alias("item"))
         .select(*keep, "item.*")
-        .withColumn("pubdate", parse_pubdate(F.col("pubDate")))
-        .filter("pubdate IS NOT NULL")
+        .withColumnRenamed("pubDate", "written")
+        .withColumn("pubdate", parse_pubdate(F.col("written")))
     )
 
 
+def read_rss(df: DataFrame, xml: str) -> DataFrame:
+    """One row per dated ``<item>`` of a feed column; other columns are kept.
+
+    ``pubdate`` is in UTC; items without a readable date are ``undated_items``.
+    """
+    return _rss_items(df, xml).filter("pubdate IS NOT NULL").drop("written")
+
+
+def undated_items(df: DataFrame, xml: str) -> DataFrame:
+    """The items ``read_rss`` leaves out, with their date as ``written``."""
+    return _rss_items(df, xml).filter("pubdate IS NULL").drop("pubdate")
+
+
 def _iso_key(year: Column, week: Column) -> Column:
     return year * 100 + week
 

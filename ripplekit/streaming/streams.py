@@ -102,13 +102,27 @@ def stream_top(src: DataFrame, every: str, late: str = "1 hour", ts: str = "crea
 
 
 def sliding_counts(counts: DataFrame, every: Column, steps: int) -> DataFrame:
-    """Look-back windows of ``steps`` steps, from per-step counts."""
+    """Look-back windows of ``steps`` steps, from per-step counts.
+
+    A step adds its count to the first window that holds it and takes it away
+    after the last, so two rows per step are moved whatever the look-back; the
+    running sum holds from one such change to the next.
+    """
     first = F.col("window_start") - every * (steps - 1)
-    spread = counts.select(
-        F.explode(F.sequence(first, "window_start", every)).alias("window_start"),
-        "retweeted_status", "count",
+    changes = F.array(
+        F.struct(first.alias("at"), F.col("count").alias("d")),
+        F.struct((F.col("window_start") + every).alias("at"), (-F.col("count")).alias("d")),
+    )
+    summed = (
+        counts.select("retweeted_status", F.explode(changes).alias("c"))
+        .groupBy("retweeted_status", F.col("c.at").alias("at"))
+        .agg(F.sum("c.d").alias("d"))
+    )
+    one = Window.partitionBy("retweeted_status").orderBy("at")
+    running = summed.withColumns({"count": F.sum("d").over(one), "until": F.lead("at").over(one)})
+    return running.filter("count > 0").select(
+        F.explode(F.sequence("at", F.col("until") - every, every)).alias("window_start"), "retweeted_status", "count"
     )
-    return spread.groupBy("window_start", "retweeted_status").agg(F.sum("count").alias("count"))
 
 
 def top_per_window(counts: DataFrame, k: int) -> DataFrame:
@@ -117,24 +131,55 @@ def top_per_window(counts: DataFrame, k: int) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
 
 
+PAIR_STATE = "eid BIGINT, old_retrieved {0}, old_cnt BIGINT, new_retrieved {0}, new_cnt BIGINT"
+
+
+def merge_pairs(pairs: DataFrame) -> DataFrame:
+    """Newest snapshot before and since, per entity, of several such pairs."""
+    return pairs.groupBy("eid").agg(
+        F.max("old_retrieved").alias("old_retrieved"), F.max_by("old_cnt", "old_retrieved").alias("old_cnt"),
+        F.max("new_retrieved").alias("new_retrieved"), F.max_by("new_cnt", "new_retrieved").alias("new_cnt"),
+    )
+
+
+def pair_state(spark: SparkSession, pairs: str, batch_id: int, every: int) -> DataFrame:
+    """The pairs known before a micro-batch: the last full state and the changes since."""
+    full = batch_id // every * every - 1
+    base = spark.read.parquet(f"{pairs}/full/upto={full}")
+    log = read_log(spark, f"{pairs}/log").filter((F.col("batch") > full) & (F.col("batch") < batch_id))
+    return base.unionByName(log.select(base.columns))
+
+
 def stream_watch(
     src: DataFrame, states: DataFrame, before: Column, since: Column,
-    snapshots: str, decisions: str, checkpoint: str,
+    snapshots: str, decisions: str, checkpoint: str, compact_every: int = 20,
 ) -> None:
-    """Log snapshots, then decide the entities the micro-batch touched."""
+    """Log snapshots, then decide the entities the micro-batch touched.
+
+    Per entity the newest snapshot before and the newest since are kept, so a
+    micro-batch reads one row per entity and not the history.  Every
+    ``compact_every`` batches the state is written in full; a replayed batch
+    reads what was known before it and writes the same.  The two dates are those
+    of the state: with other dates, begin a new one.
+    """
+    spark, pairs = src.sparkSession, f"{snapshots}-pairs"
 
     def decide(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
         write_batch(batch, snapshots, batch_id)
-        touched = read_log(spark, f"{snapshots}/batch={batch_id}").select("eid").distinct()
-        # Only batches up to this one, so that a replay decides the same.
-        history = read_log(spark, snapshots).filter(F.col("batch") <= batch_id)
-        mine = history.join(touched, "eid", "left_semi")
-        decided = watch_decision(snapshot_pair(mine, before, since), states)
-        write_batch(decided.select("id", "decision"), decisions, batch_id)
-
-    nothing = src.sparkSession.createDataFrame([], "id BIGINT, decision BOOLEAN")
-    write_batch(nothing, decisions, -1)
+        seen = snapshot_pair(read_log(spark, f"{snapshots}/batch={batch_id}"), before, since)
+        known = pair_state(spark, pairs, batch_id, compact_every)
+        mine = known.join(seen.select("eid"), "eid", "left_semi")
+        write_batch(merge_pairs(seen.unionByName(mine)), f"{pairs}/log", batch_id)
+        touched = read_log(spark, f"{pairs}/log/batch={batch_id}")
+        write_batch(watch_decision(touched, states).select("id", "decision"), decisions, batch_id)
+        if (batch_id + 1) % compact_every == 0:
+            full = merge_pairs(known.unionByName(touched))
+            full.write.mode("overwrite").parquet(f"{pairs}/full/upto={batch_id}")
+
+    write_batch(spark.createDataFrame([], "id BIGINT, decision BOOLEAN"), decisions, -1)
+    empty = spark.createDataFrame([], PAIR_STATE.format(src.schema["retrieved"].dataType.simpleString()))
+    write_batch(empty, f"{pairs}/log", -1)
+    empty.write.mode("ignore").parquet(f"{pairs}/full/upto=-1")
     run_to_log(src, snapshots, checkpoint, each=decide)
 
 

@@ -1,11 +1,13 @@
 """Filters with SQL null rules, sources, sinks and their plans."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan, rows
+from ripplekit.functions.times import parse_pubdate
 from ripplekit.operators import aggregates as A
 from ripplekit.operators import filters as fl
 from ripplekit.operators import search as S
@@ -86,12 +88,55 @@ def test_whole_file_payloads_and_broken_ones(spark):
     assert rows(got.filter("id IS NOT NULL")) == [(1,), (2,), (3,)]
 
 
-def test_report_files_round_trip_text(spark):
-    df = spark.createDataFrame([(1, 'say "hi", \\ there', [1, 2])], "id bigint, t string, xs array<int>")
+AWKWARD = ['say "hi", \\ there', "a\nb", "a\r\nb\r", "\\n", "\\b\\", "", None, " x\t ", '"', "\\N", "é,;", "#"]
+
+
+@pytest.mark.parametrize("sep", [",", "\t"])
+def test_report_files_round_trip_text(spark, sep):
+    df = spark.createDataFrame([(i, t, [1, 2]) for i, t in enumerate(AWKWARD)], "id bigint, t string, xs array<int>")
+    path = shared_dir(spark, "csv")
+    WR.write_csv(df, path, sep)
+    back = RD.read_csv(spark, path, "id bigint, t string, xs string", sep=sep)
+    assert [(r.id, r.t, r.xs) for r in back.orderBy("id").collect()] == [(i, t, "[1,2]") for i, t in enumerate(AWKWARD)]
+    only = shared_dir(spark, "csv")
+    WR.write_csv(df.select("t"), only, sep)
+    assert rows(RD.read_csv(spark, only, "t string", sep=sep)) == rows(df, "t")
+
+
+def test_foreign_files_and_unreadable_records(spark):
     path = shared_dir(spark, "csv")
-    WR.write_csv(df, path, "\t")
-    back = spark.read.csv(path, sep="\t", header=True, escape="\\")
-    assert rows(back) == [("1", 'say "hi", \\ there', "[1,2]")]
+    spark.createDataFrame([('1,"a\nb \\" c"\n2,d\nx,e\n',)], "value string").coalesce(1).write.text(path)
+    got = RD.read_csv(spark, path, "id bigint, t string", header=False, multi_line=True)
+    assert rows(got) == [(1, 'a\nb " c'), (2, "d")]
+    bad = RD.unreadable_csv(spark, path, "id bigint, t string", header=False, multi_line=True)
+    assert [r.record.strip() for r in bad.collect()] == ["x,e"]
+
+
+def test_a_late_row_joins_its_week(spark):
+    posts = spark.range(400).select(
+        "id", F.expr("timestamp_ntz '2023-12-20' + make_dt_interval(0, int(id) * 4)").alias("created_at")
+    )
+    path = shared_dir(spark, "weekly")
+    WR.write_weekly(posts, path)
+    late = spark.createDataFrame([(1000,)], "id bigint").select("id", F.expr("timestamp_ntz '2024-01-01'").alias("created_at"))
+    for _ in range(2):
+        WR.write_weekly(late, path)
+    assert rows(spark.read.parquet(path), "id", "created_at") == rows(posts.union(late))
+    WR.replace_weeks(late, path)
+    week = spark.read.parquet(path).filter("iso_year = 2024 AND iso_week = 1")
+    assert rows(week, "id") == [(1000,)]
+
+
+def test_feed_dates_of_any_form(spark):
+    dates = {
+        "01 Jan 11 10:11 GMT": "2011-01-01 10:11:00", "Sat, 01 Jan 11 10:11:12 EST": "2011-01-01 15:11:12",
+        "01 Jan 99 00:00 +0100": "1998-12-31 23:00:00", "1 Jul 2011 12:00 JST": "2011-07-01 03:00:00",
+        "1 Jul 2011 12:00 Europe/Paris": "2011-07-01 10:00:00", "1 Jul 2011 12:00 NOWHERE": None, "soon": None,
+        "2011/01/02": "2011-01-01 16:00:00",
+    }
+    df = spark.createDataFrame([(d,) for d in dates], "d string")
+    got = df.select("d", parse_pubdate(F.col("d")).cast("string").alias("t"))
+    assert {r.d: r.t for r in got.collect()} == dates
 
 
 def test_search_equals_a_plain_token_filter(spark, sf):
@@ -117,6 +162,42 @@ def test_postings_table_is_found_by_term_bucket(spark, sf):
     assert "PartitionFilters: [isnotnull(term_bucket" in plan(one)
 
 
+def test_search_reads_only_the_terms_folders(spark, sf):
+    t = Roles(spark, sf)
+    path = shared_dir(spark, "postings")
+    S.write_postings(S.build_postings(t.forum, "pid", "content"), path, 16)
+    found = S.match_any(spark.read.parquet(path), "the que", 16)
+    scan = plan(found)
+    assert "PartitionFilters: [term_bucket" in scan and "In(term, [" in scan, scan
+
+
+def test_search_bounds_and_lists_that_are_not_given(spark, sf):
+    t = Roles(spark, sf)
+    posts = t.forum.select("pid", "uid", "tid", "time_secs", "floor")
+    middle = posts.agg(F.expr("percentile_approx(time_secs, 0.5)")).first()[0]
+    late = S.search_forum(None, posts, "", start=middle)
+    early = S.search_forum(None, posts, "", end=middle, uids=[])
+    assert late.count() == posts.filter(F.col("time_secs") >= middle).count()
+    assert early.count() == posts.filter(F.col("time_secs") <= middle).count()
+    page = S.search_forum(None, posts, "", k=5, offset=5).collect()
+    assert [r.pid for r in page] == [r.pid for r in S.search_forum(None, posts, "", k=10).collect()][5:]
+
+
+def test_boxes_of_any_size_and_place(spark):
+    rng = random.Random(4)
+    points = [(i, rng.uniform(-180, 180), rng.uniform(-90, 90)) for i in range(300)]
+    points += [(i, 114 + rng.random() / 50, 22 + rng.random() / 50) for i in range(300, 600)]
+    boxes = [(f"w{i}", x := rng.uniform(-180, 100), y := rng.uniform(-90, 20), x + rng.uniform(0, 80), y + rng.uniform(0, 70)) for i in range(20)]
+    boxes += [(f"c{i}", x := 114 + rng.random() / 60, y := 22 + rng.random() / 60, x + 0.003, y + 0.001) for i in range(20)]
+    boxes += [("dot", points[400][1], points[400][2], points[400][1], points[400][2])]
+    got = fl.in_bbox(
+        spark.createDataFrame(points, "id int, lon double, lat double"),
+        spark.createDataFrame(boxes, "name string, lon0 double, lat0 double, lon1 double, lat1 double"),
+    )
+    want = [(i, n) for i, lon, lat in points for n, a, b, c, d in boxes if a <= lon <= c and b <= lat <= d]
+    assert rows(got, "id", "name") == sorted(want, key=repr)
+
+
 def test_top_k_is_one_pass_and_small_lists_do_not_shuffle_the_posts(spark, sf):
     t = Roles(spark, sf)
     ranked = A.rank_reposted(t.posts, t.users, dt.datetime(2024, 1, 5), limit=10)
@@ -143,6 +224,10 @@ def test_aligned_chunks_hold_every_repost_once(spark, sf):
 
 def test_trend_has_no_gaps(spark, sf):
     t = Roles(spark, sf)
+    total = t.posts.filter("retweeted_status IS NOT NULL").count()
+    for minutes in (4, 7, 25, 45, 90):  # buckets start anew each hour
+        series = R.trend_series(t.posts.filter("id < 3000"), t.users, f"{minutes}m")
+        assert series.agg(F.sum("count")).first()[0] == t.posts.filter("retweeted_status IS NOT NULL AND id < 3000").count()
     for interval, seconds in (("h", 3600), ("d", 86400), ("30m", 1800)):
         by_post = {}
         for r in R.trend_series(t.posts, t.users, interval).collect():
@@ -150,4 +235,4 @@ def test_trend_has_no_gaps(spark, sf):
         for series in by_post.values():
             series.sort()
             assert all((b[0] - a[0]).total_seconds() == seconds for a, b in zip(series, series[1:]))
-        assert sum(c for s in by_post.values() for _, c in s) == t.posts.filter("retweeted_status IS NOT NULL").count()
+        assert sum(c for s in by_post.values() for _, c in s) == total

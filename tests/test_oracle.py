@@ -3,9 +3,10 @@
 import pytest
 
 import __spark_entry__ as entry
+from ripplekit.plans import catalog
 from tools.check import compare, duck
 
-KEYS = list(entry.queries())
+KEYS = list(catalog.queries())
 
 
 @pytest.fixture(scope="module")
@@ -26,4 +27,5 @@ def test_entry_has_rows(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry.oracle_sql()) == set(KEYS)
+    assert set(catalog.oracle_sql()) == set(KEYS)
+    assert set(KEYS) <= set(entry.queries())

@@ -67,13 +67,17 @@ def test_most_reposted_counts_every_repost(spark, hot, tiny_partitions):
     assert rows(got, "retweeted_status", "retweeted_count", "distinct_users") == rows(plain)
 
 
-def test_hot_names_resolve_the_same_in_both_ways(spark, hot):
+def test_null_names_are_no_hot_key_and_match_nothing(spark, hot):
+    """More than half of the rows have no name; each still gets its own answer."""
     posts, _ = hot
-    probes = J.mention_rows(posts)
-    split = J.resolve_mentions(probes, posts, hot_rows=100)
-    whole = J.resolve_mentions(probes, posts)
-    assert rows(split) == rows(whole, *split.columns)
-    assert split.count() == posts.filter("retweeted_status IS NOT NULL").count()
+    half = posts.withColumn("screen_name", F.expr("CASE WHEN id % 5 < 2 THEN screen_name END"))
+    probes = J.mention_rows(half)
+    got = J.resolve_mentions(probes, half)
+    assert got.count() == probes.count()
+    named = half.filter("screen_name IS NOT NULL AND retweeted_status IS NOT NULL")
+    assert rows(got) == rows(J.resolve_mentions(probes, named), *got.columns)
+    odd = probes.withColumn("name", F.lit(None).cast("string"))
+    assert J.resolve_mentions(odd, half).filter("ref_user_id IS NOT NULL").isEmpty()
 
 
 def test_trace_totals_are_whole(spark, hot):
@@ -89,5 +93,14 @@ def test_chunks_of_a_viral_post_are_bounded(spark, hot):
     posts, users = hot
     chunks = A.collect_reposts(posts, users, chunk=500)
     sizes = chunks.select("retweeted_status", F.size("ids").alias("n"))
-    assert sizes.agg(F.max("n")).first()[0] <= 1000
+    assert sizes.agg(F.max("n")).first()[0] <= 500
     assert sizes.agg(F.sum("n")).first()[0] == posts.filter("retweeted_status IS NOT NULL").count()
+
+
+@pytest.mark.parametrize("step", range(2, 10))
+def test_chunks_are_bounded_whatever_the_ids(spark, hot, step):
+    posts, users = hot
+    spaced = posts.withColumn("id", F.col("id") * step).withColumn("created_at", F.expr("timestamp_ntz '2024-01-01'"))
+    chunks = A.collect_reposts(spaced, users, chunk=1000)
+    sizes = chunks.agg(F.max(F.size("ids")).alias("most"), F.sum(F.size("ids")).alias("all")).first()
+    assert sizes.most <= 1000 and sizes.all == posts.filter("retweeted_status IS NOT NULL").count()
