@@ -141,14 +141,13 @@ def learn(
     counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()
     if not counts:
         return None
-    rates = labelled.sparkSession.createDataFrame([(c.lang, per_language / c["count"]) for c in counts], "lang string, rate double")
+    rate = F.coalesce(*[F.when(F.col("lang") == c.lang, F.lit(per_language / c["count"])) for c in counts])
     unit = F.pmod(F.xxhash64("key", F.length("text")), F.lit(1 << 20)) / F.lit(float(1 << 20))
     size = F.char_length("text")
     starts = F.array(F.lit(1), F.greatest(F.lit(1), size.cast("bigint") / 2).cast("int"), F.greatest(F.lit(1), size - WINDOW + 1))
     windows = (
         rows.withColumn("unit", unit)
-        .join(rates, "lang")
-        .where("unit < rate")
+        .where(F.col("unit") < rate)
         .select("unit", "lang", F.explode(F.array_distinct(F.transform(starts, lambda s: F.substr("text", s, F.lit(WINDOW))))).alias("window"))
         .orderBy("unit", "lang", "window")
         .limit(2 * per_language * len(counts) * 3)
