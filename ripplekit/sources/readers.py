@@ -67,6 +67,11 @@ def _csv(
     return raw, fields
 
 
+def _all_asked(fields: list[T.StructField]) -> Column:
+    """Always true, of all columns: the reader notices a bad field only where the field is asked for."""
+    return F.greatest(F.lit(0), *[F.isnull(f"`{f.name}`").cast("int") for f in fields]) >= 0
+
+
 def read_csv(
     spark: SparkSession, path: str, schema: str, header: bool = True, sep: str = ",", multi_line: bool = False
 ) -> DataFrame:
@@ -86,7 +91,7 @@ def read_csv(
             c = F.replace(c, F.lit(escape), F.lit(plain))
         return c.alias(f.name)
 
-    return raw.filter("_corrupt IS NULL").select([value(f) for f in fields])
+    return raw.filter(F.col("_corrupt").isNull() & _all_asked(fields)).select([value(f) for f in fields])
 
 
 def unreadable_csv(
@@ -94,9 +99,7 @@ def unreadable_csv(
 ) -> DataFrame:
     """The records, as text, that ``read_csv`` leaves out."""
     raw, fields = _csv(spark, path, schema, header, sep, multi_line)
-    # The reader notices a bad field only where the field is asked for: nothing of each is put behind the record.
-    nothing = F.substring(F.concat_ws("", *[F.col(f"`{f.name}`").cast("string") for f in fields]), 1, 0)
-    return raw.filter("_corrupt IS NOT NULL").select(F.concat("_corrupt", nothing).alias("record"))
+    return raw.filter(F.col("_corrupt").isNotNull() & _all_asked(fields)).select(F.col("_corrupt").alias("record"))
 
 
 def read_ids(spark: SparkSession, path: str) -> DataFrame:
