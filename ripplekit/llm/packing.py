@@ -19,7 +19,9 @@ from __future__ import annotations
 
 import random
 import zlib
+from bisect import bisect_right
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -90,10 +92,29 @@ def best_fit(order: list[int], lengths: list[int], capacity: int, bins: Bins = (
     return bins
 
 
+def least_bins(lengths: list[int], capacity: int) -> int:
+    """No packing has fewer bins (Martello and Toth's second bound).
+
+    For any k, documents over capacity - k take a bin in which no document of k
+    or more fits; what the other large ones leave must hold those of k or more.
+    """
+    sizes = np.sort(np.array(lengths))
+    total = np.concatenate([[0], np.cumsum(sizes)])
+    half = int(np.searchsorted(sizes, capacity / 2, "right"))  # from here on: more than half
+    at = np.concatenate([[0], np.flatnonzero(np.diff(sizes[:half])) + 1]) if half else np.array([0])
+    k = np.concatenate([[0], sizes[at[at < half]]])
+    begin = np.concatenate([[0], at[at < half]])
+    alone = np.searchsorted(sizes, capacity - k, "right")  # from here on: over capacity - k
+    alone = np.maximum(alone, half)
+    room = capacity * (alone - half) - (total[alone] - total[half])
+    more = np.ceil((total[half] - total[begin] - room) / capacity)
+    return int((len(sizes) - half + np.maximum(0, more)).max())
+
+
 class Island:
     def __init__(self, lengths: list[int], capacity: int, seed: int) -> None:
         self.lengths, self.capacity, self.luck = lengths, capacity, random.Random(seed)
-        self.bound = -(-sum(lengths) // capacity)
+        self.bound = least_bins(lengths, capacity)
 
     def fills(self, bins: Bins) -> list[int]:
         return [sum([self.lengths[i] for i in b]) for b in bins]
@@ -117,15 +138,39 @@ class Island:
         whole = [b for b in taker if inside.isdisjoint(b)]
         there = inside.union(*whole) if whole else inside
         displaced = [i for b in taker for i in b if i not in there]
-        return best_fit(self.by_length(displaced), self.lengths, self.capacity, injected + whole)
+        return self.refill(injected + whole, displaced)
+
+    def refill(self, bins: Bins, loose: list[int]) -> Bins:
+        """Swap bins' documents for loose ones that fill them better, then best-fit what is loose."""
+        bins, loose = [list(b) for b in bins], sorted(loose, key=self.lengths.__getitem__)
+        sizes = [self.lengths[i] for i in loose]
+        for members in bins:
+            room = self.capacity - sum([self.lengths[i] for i in members])
+            if not room:
+                continue
+            best = gain = 0
+            for place, i in enumerate(members):
+                size = self.lengths[i]
+                k = bisect_right(sizes, size + room) - 1
+                if k >= 0 and sizes[k] - size > gain:
+                    best, gain = (place, k), sizes[k] - size
+            if gain:
+                place, k = best
+                out, into = members[place], loose.pop(k)
+                sizes.pop(k)
+                members[place] = into
+                k = bisect_right(sizes, self.lengths[out])
+                loose.insert(k, out)
+                sizes.insert(k, self.lengths[out])
+        return best_fit(loose[::-1], self.lengths, self.capacity, bins)
 
     def mutate(self, bins: Bins) -> Bins:
         """Empty the least filled bins and a few others, and best-fit what was in them."""
         fills = self.fills(bins)
         order = sorted(range(len(bins)), key=fills.__getitem__)
-        emptied = {*order[:3], *self.luck.sample(range(len(bins)), min(len(bins), 4))}
-        loose = self.by_length(i for k in emptied for i in bins[k])
-        return best_fit(loose, self.lengths, self.capacity, [b for k, b in enumerate(bins) if k not in emptied])
+        emptied = {*order[: max(3, len(bins) // 20)], *self.luck.sample(range(len(bins)), min(len(bins), 4))}
+        loose = [i for k in emptied for i in bins[k]]
+        return self.refill([b for k, b in enumerate(bins) if k not in emptied], loose)
 
     def evolve(self, elites: list[Bins], population: int = POPULATION, generations: int = GENERATIONS) -> Bins:
         """The best packing after some generations, from migrated ones or from best-fit ones."""
