@@ -27,7 +27,9 @@ from pyspark.sql import functions as F
 PROJECTIONS = 32
 COLLISIONS = 17
 WIDTH = 2.2
-GROWTH = 1.25
+GROWTH = 1.4
+#: Share of a block's values in the first windows: nearest vectors in many dimensions lie far out on each line.
+FIRST = 8
 ROWS, QUERIES = 8192, 1024
 
 
@@ -73,8 +75,8 @@ class CollisionIndex:
         return [(int(self.ids[i]), float(distances[i])) for i in best]
 
     def _first_radius(self, centre: np.ndarray, k: int) -> float:
-        """Where the windows hold a few times k values each, or the smallest step above zero."""
-        nth = min(len(self.ids) - 1, 4 * k)
+        """Where the windows hold a few times k values each, or a share of all, or the smallest step above zero."""
+        nth = min(len(self.ids) - 1, max(4 * k, len(self.ids) // FIRST))
         gaps = [np.partition(np.abs(s - c), nth)[nth] for s, c in zip(self.sorted, centre)]
         widest = max(max(abs(s[0] - c), abs(s[-1] - c)) for s, c in zip(self.sorted, centre))
         return max(float(np.median(gaps)) / WIDTH, 1e-9 * float(widest), 1e-300)
