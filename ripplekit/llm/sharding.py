@@ -94,7 +94,8 @@ def shard_documents(
     total = rows.count()
     quotas = [total // shards + (s < total % shards) for s in range(shards)]
     first = F.pmod(F.xxhash64("row"), F.lit(shards)).cast("int")
-    groups = rows.groupBy("group").agg(F.count("*").alias("members")).where("members > 1")
+    # Written first: with a table on the other side Spark can split the rows of a hot group.
+    groups = settle(rows.groupBy("group").agg(F.count("*").alias("members")).where("members > 1"), "groups")
     linked = settle(rows.join(groups, "group").select("row", "group", "members", first.alias("shard")), "linked")
     linked = propagate(linked, shards, -(-total // shards), rounds)
 
