@@ -32,7 +32,7 @@ from ripplekit.session import settle
 
 CAPACITY = 2048
 END = 0
-ITEMS = 2000
+ITEMS = 4000
 ISLANDS, EPOCHS = 2, 2
 POPULATION, GENERATIONS = 4, 6
 FILLED = 0.97
