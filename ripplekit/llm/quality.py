@@ -142,11 +142,13 @@ def large_pools(rows: DataFrame, by: tuple[str, ...], least: int = LEAST) -> Dat
 
 def with_pool(rows: DataFrame, large: DataFrame, by: tuple[str, ...]) -> DataFrame:
     """The rows with ``pool``: the finest of theirs that is large; else null."""
-    for i, name in enumerate(_pool_names(by)):
-        known = large.select(F.col("pool").alias(f"pool{i}"))
-        rows = rows.withColumn("name", name).join(known, F.col("name") == F.col(f"pool{i}"), "left")
-    levels = [f"pool{i}" for i in range(len(by) + 1)]
-    return rows.withColumn("pool", F.coalesce(*reversed(levels))).drop("name", *levels)
+    everything, *finer = _pool_names(by)
+    levels = [f"fit_pool_{i}" for i in range(len(finer))]
+    for level, name in zip(levels, finer):
+        known = large.select(F.col("pool").alias(level))
+        rows = rows.withColumn("fit_name", name).join(known, F.col("fit_name") == F.col(level), "left")
+    last = large.where(F.col("pool") == everything).agg(F.max("pool")).scalar()
+    return rows.withColumn("pool", F.coalesce(*reversed(levels), last)).drop("fit_name", *levels)
 
 
 def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
