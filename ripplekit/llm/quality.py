@@ -164,7 +164,8 @@ def estimates(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     for _ in range(steps):
         measured = fit.join(at, "pool").withColumn("distance", _distance())
         cut = measured.groupBy("pool").agg(F.percentile_approx("distance", PART, 1000).alias("cut"))
-        near = fit.join(at.join(cut, "pool"), "pool").where(_distance() <= F.col("cut"))
+        bounds = settle(at.join(cut, "pool"), "bounds")  # a small table: no row moves to meet it
+        near = fit.join(bounds, "pool").where(_distance() <= F.col("cut"))
         off = [F.col(n) - F.col("centre")[i] for i, n in enumerate(NAMES)]
         sums = [F.avg(o).alias(f"m{i}") for i, o in enumerate(off)]
         sums += [F.avg(off[i] * off[j]).alias(f"m{i}_{j}") for i in range(P) for j in range(i, P)]
