@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ripplekit.llm.common import map_rows
 from ripplekit.llm.words import library_spaced
+from ripplekit.session import settle
 
 STORED = "digest binary, n_tokens bigint, tokenizer string"
 
@@ -59,4 +60,6 @@ def count_tokens(docs: DataFrame, path: str, cache: str, key: str = "doc_id", te
     counted = map_rows(missing, start, "digest binary, n_tokens bigint")
     counted.withColumn("tokenizer", F.lit(tokenizer)).write.mode("append").partitionBy("tokenizer").parquet(cache)
     keyed = docs.select(F.col(key), digest, F.octet_length(body).cast("bigint").alias("n_bytes"))
-    return keyed.join(stored_counts(spark, cache, tokenizer), "digest", "left").select(key, "n_bytes", "n_tokens")
+    # Written first: with a table on the other side Spark can split the rows of a hot text.
+    known = settle(stored_counts(spark, cache, tokenizer), "counts")
+    return keyed.join(known, "digest", "left").select(key, "n_bytes", "n_tokens")
