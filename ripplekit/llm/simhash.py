@@ -192,5 +192,7 @@ def near_duplicates(
     rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
         "fp", "least", F.coalesce("root", "fp").alias("root")
     )
-    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("fp", "component_id")
+    # Written first: with a table on the other side Spark can split the rows of a large component.
+    least = settle(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "components")
+    named = rooted.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select(key, "fp", "component_id")
