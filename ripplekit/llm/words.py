@@ -17,7 +17,7 @@ from collections.abc import Callable
 from tokenizers import Tokenizer
 
 # Entries a Python worker keeps; older ones go first, and come back when they are met again.
-KEPT = 400_000
+KEPT = 300_000
 
 
 class Kept(dict):
