@@ -18,16 +18,20 @@ from tokenizers import Tokenizer
 
 # Entries a Python worker keeps; older ones go first, and come back when they are met again.
 KEPT = 300_000
+# Longer pieces (texts without spaces, encoded data) are made each time: what is kept is then bounded in bytes as well.
+LONGEST = 64
 
 
 class Kept(dict):
-    """A bounded dict that makes missing values; two halves, of which the older is dropped."""
+    """A bounded dict that makes missing values; two halves, of which the older is dropped. Long keys are not kept."""
 
     def __init__(self, make: Callable[[str], bytes], most: int = KEPT) -> None:
         super().__init__()
         self.make, self.most, self.older = make, most // 2, {}
 
     def __missing__(self, key: str) -> bytes:
+        if len(key) > LONGEST:
+            return self.make(key)
         value = self.older.get(key)
         if value is None:
             value = self.make(key)

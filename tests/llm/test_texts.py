@@ -137,6 +137,8 @@ def test_kept_values_are_bounded_and_right():
     assert all(kept[str(i % 7)] == str(i % 7).encode() for i in range(100))
     assert all(kept[str(i)] == str(i).encode() for i in range(100))
     assert len(kept) + len(kept.older) <= 10
+    long = "x" * (words.LONGEST + 1)
+    assert kept[long] == long.encode() and long not in kept and long not in kept.older
 
 
 def test_codec_round_trip_on_odd_rows(spark, odd, clashing, none, library):
