@@ -154,6 +154,8 @@ def components(links: DataFrame) -> DataFrame:
     def stars(edges: DataFrame, larger: bool) -> DataFrame:
         both = edges.union(edges.select("b", "a")) if larger else edges
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        if larger:  # the smallest node of a large component has all its links; beside a table Spark can split them
+            least = settle(least, "least")
         joined = both.join(least, "a")
         if larger:
             return joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
