@@ -24,6 +24,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ripplekit.session import settle
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -99,9 +101,11 @@ def words(host: Column, path: Column) -> Column:
 
 
 def rule_table(spark, sites, patterns) -> DataFrame:
-    rows = [(s.name, s.pattern, s.verdict, len(s.name), list(s.tokens)) for s in sites]
-    rows += [(p.name, p.pattern, p.verdict, 0, list(p.tokens)) for p in patterns]
-    return spark.createDataFrame(rows, "name string, pattern string, verdict string, site int, tokens array<string>")
+    rows = [(s.name, s.pattern, s.verdict, len(s.name), s.tokens) for s in sites]
+    rows += [(p.name, p.pattern, p.verdict, 0, p.tokens) for p in patterns]
+    written = [F.struct(*map(F.lit, r[:-1]), F.array(*map(F.lit, r[-1])).cast("array<string>")) for r in rows]
+    kind = "array<struct<name:string,pattern:string,verdict:string,site:int,tokens:array<string>>>"
+    return spark.range(1).select(F.inline(F.array(*written).cast(kind)))
 
 
 def indexed(rules: DataFrame, tokens: DataFrame) -> DataFrame:
@@ -136,6 +140,8 @@ def judge_urls(
         F.max(F.when(F.col("site") > 0, F.struct("site", "name", "verdict"))).alias("rule"),
         F.min(F.when(F.col("site") == 0, F.struct("verdict", "name"))).alias("pattern"),  # allow sorts before block
     )
+    # Written first: with a table on the other side Spark can split the rows of a hot URL.
+    best = settle(best, "judged")
     return split.join(best, ["host", "path"], "left").select(
         F.col("key").alias(key),
         "host",
