@@ -12,9 +12,9 @@ best of each block are ranked for the query.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows without an id; vectors of different lengths
-are not compared. Ties go to the smaller id, repeated rows are candidates each,
-fewer than k candidates are all returned, other columns are ignored, and an empty
-table gives an empty one.
+are not compared. Ties go to the smaller id, repeated rows are candidates each but
+ask once, fewer than k candidates are all returned, other columns are ignored, and
+an empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -100,10 +100,11 @@ def nearest(
     )
     sizes = known.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
     row_blocks, query_blocks = max(1, -(-sizes.n // ROWS)), max(1, -(-sizes.q // QUERIES))
-    row_block = F.pmod(F.xxhash64("id", "vector"), F.lit(row_blocks))
+    row_block = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(row_blocks))  # repeated rows part as well
     query_block = F.pmod(F.xxhash64("id", "vector", F.lit(1)), F.lit(query_blocks))
     every = lambda n, name: F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n - 1))).alias(name)
-    asked = known.where("asks").select("id", "vector", "dim", query_block.alias("q"), every(row_blocks, "r"))
+    asking = known.where("asks").select("id", "vector", "dim").distinct()
+    asked = asking.select("*", query_block.alias("q"), every(row_blocks, "r"))
     dealt = known.select("id", "vector", "dim", every(query_blocks, "q"), row_block.alias("r"))
 
     def search(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:

@@ -54,6 +54,11 @@ def test_urls_one_by_one(spark):
     assert url_filter.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_no_rules_allow_every_url(spark):
+    pages = spark.createDataFrame([(1, "http://x.com/de/")], "page_id bigint, url string")
+    assert [r.verdict for r in url_filter.judge_urls(pages, (), ()).collect()] == ["allow"]
+
+
 def test_rules_are_stored_under_their_rarest_token(spark):
     tokens = spark.createDataFrame([(t,) for t in ["org"] * 5 + ["example"] * 3 + ["es"] * 9 + ["en"]], "token string")
     rules = url_filter.rule_table(spark, url_filter.SITES, url_filter.PATTERNS)
@@ -196,6 +201,14 @@ def test_neighbours_odd_rows(spark):
     assert neighbours.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+def test_repeated_queries_ask_once_and_repeated_rows_part(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "ROWS", 50)
+    rows = [(i, [float(i), 1.0]) for i in range(60)]
+    frame = spark.createDataFrame(rows + rows[:1] * 200 + rows[5:6] * 4, "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest(frame, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [1, 2, 3, 4, 5, 5, 5, 5, 5, 6]
+
+
 # ---- near copies
 
 
