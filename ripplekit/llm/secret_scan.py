@@ -15,6 +15,8 @@ document's key and text are ignored by ``scan_secrets`` and passed on by
 from __future__ import annotations
 
 import functools
+from array import array
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
@@ -71,22 +73,24 @@ class Scanner:
         self.heads = [anchored(r.head, r.fold) if r.head else None for r in rules]
         self.tails = [anchored(r.tail) for r in rules]
 
-    def marks(self, data: bytes) -> list[tuple[int, int]]:
-        """(byte, rules) where matches begin, last byte first; rules are bits."""
+    def marks(self, data: bytes) -> Iterator[tuple[int, int]]:
+        """(byte, rules) where matches begin, first byte first; rules are bits."""
         moves, state, edge = self.starts.moves, self.starts.start, self.starts.edge
-        found = []
+        places, states = array("q"), array("q")
         for i, byte in enumerate(data[::-1], 1):
             state = moves[state + byte]
             if state >= edge:
-                found.append((i, state))
-        return [(len(data) - i, self.starts.accepts[state >> 8]) for i, state in found]
+                places.append(i)
+                states.append(state)
+        for i, state in zip(reversed(places), reversed(states)):
+            yield len(data) - i, self.starts.accepts[state >> 8]
 
     def spans(self, text: str) -> list[tuple[str, int, int]]:
         """(kind, start, end) in code points, by start, then by the order of the rules."""
         data = text.encode()
         free = [0] * len(self.rules)
         spans = []
-        for at, bits in reversed(self.marks(data)):
+        for at, bits in self.marks(data):
             for k, rule in enumerate(self.rules):
                 if bits >> k & 1 and at >= free[k]:
                     begin = self.heads[k].longest(data, at) if rule.head else at
