@@ -1,17 +1,19 @@
 """Even shards that keep equal texts together, by balanced label propagation.
 
 Documents with equal texts are linked. Each document starts in a shard chosen by
-hash; in each round a group's members move towards the shard that holds most of
-their neighbours, as far as that shard has room, so links are cut less and less
-while no shard takes more than its quota. A group is counted by shard before
-anything is joined, so no link is ever spelled out and a group of any size moves
-as a few counts; small groups move whole, large ones in hashed parts. Documents
-without links give way at the end, when every shard is brought to its exact quota:
-row counts of any two shards differ by one at most (the law ``rows``).
+hash; a group's members take the shard that holds most of their neighbours. All
+move at once, so what leaves a shard makes room in it. Large groups go first:
+they fill whole shards, in hashed parts. Where the small ones ask for more than a
+shard's places, some of them, chosen by hash, go whole to shards with places left,
+in rounds until the rows without a place are no longer fewer. A group is counted by
+shard before anything is joined, so no link is ever spelled out. Documents without
+links give way at the end, when every shard is brought to its exact quota: row
+counts of any two shards differ by one at most (the law ``rows``).
 
 Only DataFrame functions are used, and after the first step only narrow rows.
 Rows are numbered within a shard from counts of small cells, so no window spans a
-shard. The driver sees a row per shard.
+shard. The driver sees a row per shard and, of at most ``LARGE`` times as many large
+groups as there are shards, a row per shard.
 
 Defined results: a null text has no bytes and equals the empty text; repeated rows
 are placed one by one; ids may be null or repeat; other columns are ignored; an
@@ -20,6 +22,7 @@ empty table gives an empty one.
 
 from __future__ import annotations
 
+import itertools
 from itertools import accumulate
 
 from pyspark.sql import Column, DataFrame, Window
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from ripplekit.session import settle
 
 GROUP_CELLS, ROW_CELLS = 64, 16
+LARGE = 64  # a group of more than this part of a shard is large
 
 
 def _unit(*parts: Column) -> Column:
@@ -44,40 +48,92 @@ def _sums(counted: DataFrame, shards: int, n: str) -> list[int]:
     return [found.get(s, 0) for s in range(shards)]
 
 
-def propagate(linked: DataFrame, shards: int, quota: int, rounds: int) -> DataFrame:
-    """(row, group, members, shard) after some rounds of moves towards neighbours."""
-    for turn in range(rounds):
-        cells = linked.groupBy("group", "shard").agg(F.count("*").alias("held"), F.max("members").alias("members"))
-        cells = settle(cells.withColumn("tie", F.xxhash64("group", "shard")), "cells")
-        room = [max(0, quota - n) for n in _sums(cells, shards, "held")]
-        best = (
-            cells.where(_by_shard(room, F.col("shard")) > 0)
-            .groupBy("group")
-            .agg(F.max(F.struct("held", "tie", "shard")).alias("best"))
-        )
-        moves = settle(
-            cells.join(best, "group")
-            .where("best.shard != shard AND (held < best.held OR held = best.held AND tie < best.tie)")
-            .select("group", "shard", "held", F.col("best.shard").alias("to")),
-            "moves",
-        )
-        asked = _sums(moves.select(F.col("to").alias("shard"), "held"), shards, "held")
-        share = [min(1.0, r / a) if a else 0.0 for r, a in zip(room, asked)]
-        if not any(asked):
-            break
-        luck = F.when(F.col("members") * 64 <= quota, _unit("group", F.lit(turn))).otherwise(_unit("row", F.lit(turn)))
-        goes = F.col("to").isNotNull() & (luck < _by_shard(share, F.coalesce("to", F.lit(0))))
-        linked = settle(
-            linked.join(moves.drop("held"), ["group", "shard"], "left").select(
-                "row", "group", "members", F.when(goes, F.col("to")).otherwise(F.col("shard")).alias("shard")
-            ),
-            "placed",
-        )
-    return linked
+def allot(cells: list, places: list[int]) -> dict[int, list[tuple[int, int]]]:
+    """group: its (shard, rows), for (group, shard, held) of large groups; takes them out of the free places.
+
+    Largest first, a group goes whole to the shard that holds most of it of those with places enough,
+    or fills the emptiest shards one after the other.
+    """
+    held: dict[int, dict[int, int]] = {}
+    for group, shard, n in cells:
+        held.setdefault(group, {})[shard] = n
+    out = {}
+    for group, by in sorted(held.items(), key=lambda x: (-sum(x[1].values()), x[0])):
+        left, parts = sum(by.values()), []
+        while left:
+            fits = [s for s, n in enumerate(places) if n >= left]
+            if fits:
+                shard = max(fits, key=lambda s: (by.get(s, 0), -s))
+            else:
+                shard = max(range(len(places)), key=lambda s: (places[s], by.get(s, 0), -s))
+            n = min(left, places[shard])
+            places[shard] -= n
+            left -= n
+            parts.append((shard, n))
+        out[group] = parts
+    return out
+
+
+def balance(targets: DataFrame, places: list[int], rounds: int | None) -> DataFrame:
+    """(group, members, target) with targets changed until no shard is asked for more than its places.
+
+    As many groups as are too many, chosen by hash, go whole to shards with places left; this is
+    repeated until the number of rows without a place stops falling.
+    """
+    before = None
+    for turn in itertools.count():
+        asked = _sums(targets.select(F.col("target").alias("shard"), "members"), len(places), "members")
+        over = sum(max(0, a - n) for a, n in zip(asked, places))
+        if not over or turn == rounds or before is not None and over >= before[0]:
+            return targets if before is None or over < before[0] else before[1]
+        before = over, targets
+        goes = _unit("group", F.lit(2 * turn)) < _by_shard([max(0, a - n) / a if a else 0.0 for a, n in zip(asked, places)], F.col("target"))
+        room = [max(0, n - a) for a, n in zip(asked, places)]
+        ends = [n / sum(room) for n in accumulate(room)]
+        other = _in_parts(_unit("group", F.lit(2 * turn + 1)), [(s, e) for s, (e, n) in enumerate(zip(ends, room)) if n])
+        targets = settle(targets.withColumn("target", F.when(goes, other).otherwise(F.col("target"))), "targets")
+
+
+def _in_parts(unit: Column, ends: list[tuple[int, float]]) -> Column:
+    """The first shard whose end lies beyond the unit."""
+    to = F.lit(ends[-1][0])
+    for shard, end in reversed(ends[:-1]):
+        to = F.when(unit < end, F.lit(shard)).otherwise(to)
+    return to
+
+
+def propagate(linked: DataFrame, quotas: list[int], rounds: int | None) -> DataFrame:
+    """(row, shard): each group's members where most of their neighbours are, as far as the quotas allow."""
+    shards, quota = len(quotas), max(quotas)
+    cells = linked.groupBy("group", "shard").agg(F.count("*").alias("held"), F.max("members").alias("members"))
+    cells = settle(cells.withColumn("large", F.col("members") * LARGE > quota), "cells")
+    places = list(quotas)
+    found = cells.where("large").select("group", "shard", "held").collect()
+    allotted = allot([tuple(r) for r in found], places)
+
+    best = F.max(F.struct(F.when(_by_shard(places, F.col("shard")) > 0, F.col("held")).otherwise(0).alias("held"),
+                          F.xxhash64("group", "shard").alias("tie"), "shard"))
+    small = cells.where("NOT large").groupBy("group").agg(F.max("members").alias("members"), best.alias("best"))
+    targets = balance(settle(small.select("group", "members", F.col("best.shard").alias("target")), "targets"), places, rounds)
+
+    spread = []  # (group, shard, from, to): parts of the unit interval
+    for group, parts in allotted.items():
+        whole, at = sum(n for _, n in parts), 0
+        for shard, n in parts:
+            spread.append((group, shard, at / whole, (at + n) / whole))
+            at += n
+    written = [f"named_struct('g', {g}L, 's', {s}, 'low', {low!r}D, 'high', {high!r}D)" for g, s, low, high in spread]
+    kind = "array<struct<g:bigint,s:int,low:double,high:double>>"
+    parts = linked.sparkSession.range(1).select(F.inline(F.expr(f"CAST(array({', '.join(written)}) AS {kind})")))
+    parts = settle(parts.groupBy("g").agg(F.collect_list(F.struct("s", "low", "high")).alias("parts")), "parts")
+    unit = _unit("row", F.lit(2))
+    part = F.filter("parts", lambda p: (p["low"] <= unit) & (unit < p["high"]))[0]["s"]
+    large = linked.join(parts, F.col("group") == F.col("g")).select("row", part.alias("shard"))
+    return settle(linked.join(targets, "group").select("row", F.col("target").alias("shard")).unionByName(large), "placed")
 
 
 def shard_documents(
-    docs: DataFrame, shards: int = 16, rounds: int = 4, key: str = "doc_id", text: str = "text"
+    docs: DataFrame, shards: int = 16, rounds: int | None = None, key: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """(key, size, text_crc32, group, shard, slot): size is UTF-8 bytes plus one; slots count from 0 in each shard."""
     body = F.coalesce(F.col(text), F.lit(""))
@@ -97,7 +153,7 @@ def shard_documents(
     # Written first: with a table on the other side Spark can split the rows of a hot group.
     groups = settle(rows.groupBy("group").agg(F.count("*").alias("members")).where("members > 1"), "groups")
     linked = settle(rows.join(groups, "group").select("row", "group", "members", first.alias("shard")), "linked")
-    linked = propagate(linked, shards, -(-total // shards), rounds)
+    linked = propagate(linked, quotas, rounds)
 
     held = linked.select("row", "shard", F.lit(0).alias("free"))
     placed = rows.join(held, "row", "left").select(

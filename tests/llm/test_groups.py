@@ -331,6 +331,29 @@ def test_a_hot_group_fills_whole_shards(spark):
     assert sum(len(c) == 1 for c in pairs) >= 0.8 * len(pairs)
 
 
+def kept_links(groups):
+    """The share of pairs of equal texts that lie in one shard."""
+    pairs = lambda n: n * (n - 1) // 2
+    return sum(pairs(n) for c in groups for n in c.values()) / sum(pairs(sum(c.values())) for c in groups)
+
+
+def test_a_third_of_all_rows_fills_whole_shards_by_default(spark):
+    rows = [(i, "hot" if i % 3 == 0 else f"triple {i // 9}" if i % 10 == 1 else f"single {i}") for i in range(96_000)]
+    placed = sharding.shard_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    check_shards(placed, 16)
+    hot = max(cut_groups(placed).values(), key=lambda c: sum(c.values()))
+    assert sum(hot.values()) == 32_000 and sum(sorted(hot.values())[-6:]) >= 0.97 * 32_000
+    assert kept_links([hot]) >= 0.16  # 5 whole shards and a third: 0.177
+
+
+@pytest.mark.parametrize("hot", [0, 16_000])
+def test_pairs_stay_together_where_every_row_has_a_copy(spark, hot):
+    rows = [(i, "hot" if i < hot else f"pair {i // 2}") for i in range(48_000)]
+    placed = sharding.shard_documents(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    check_shards(placed, 16)
+    assert kept_links([c for c in cut_groups(placed).values() if sum(c.values()) == 2]) >= 0.97
+
+
 def test_shards_odd_rows(spark, odd, clashing, none):
     rows = sharding.shard_documents(clashing).collect()
     check_shards(rows, 16)
