@@ -35,8 +35,8 @@ SPACES = " \t\n\x0b\x0c\r"
 LEAST = 200
 PART = 0.75
 STEPS = 4
-#: Squared distance beyond which a text is an outlier: a chi-square of five dimensions passes it once in 100 million.
-CUTOFF = 46.0
+#: Squared distance beyond which a text is an outlier: the 0.999 quantile of a chi-square of five dimensions.
+CUTOFF = 20.515
 #: chi-square of five dimensions: its median.
 MEDIAN = 4.3515
 #: Statistics and the deviation added to each, in their units.

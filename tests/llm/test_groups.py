@@ -432,3 +432,13 @@ def test_outliers_equal_numpy_and_far_ones_go(spark):
     want = mahalanobis(np.array([r[1:] for r in measured]))
     have = np.array([got[r.doc_id].distance for r in measured])
     assert np.allclose(have, want, rtol=0.05), np.abs(have / want - 1).max()
+
+
+def test_labelled_poor_texts_go(spark):
+    sf = "/root/testdata/sf0.1"
+    labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
+    judged = queries()["op10_quality"](spark, sf).where("NOT base_failed").join(labels, "doc_id")
+    found = Counter((r.quality, r.kept) for r in judged.select("quality", "kept").collect())
+    print(found)
+    assert found[0, False] >= 0.95 * (found[0, False] + found[0, True])
+    assert found[1, False] <= 0.02 * (found[1, False] + found[1, True])
