@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from helpers import plan, rows
 from ripplekit.functions.times import parse_pubdate
 from ripplekit.operators import aggregates as A
 from ripplekit.operators import filters as fl

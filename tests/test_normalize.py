@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows
+from helpers import rows
 from ripplekit.operators import nested as N
 from ripplekit.operators import normalize as P
 

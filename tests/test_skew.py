@@ -5,7 +5,7 @@ import datetime as dt
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from helpers import plan, rows
 from ripplekit.operators import aggregates as A
 from ripplekit.operators import joins as J
 from ripplekit.plans import reports as R

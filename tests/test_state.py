@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan, rows
+from helpers import plan, rows
 from ripplekit.operators import joins as J
 from ripplekit.operators import keyed as K
 from ripplekit.operators import watch as W

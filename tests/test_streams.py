@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from ripplekit.operators import joins as J
 from ripplekit.operators import watch as W
 from ripplekit.plans.roles import Roles
