@@ -33,8 +33,7 @@ def none(odd):
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(spark):
     from ripplekit.llm.common import session
-    from ripplekit.session import local_session
 
-    yield session(local_session(8, 4))
+    return session(spark)
