@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -48,3 +49,26 @@ def map_rows(df: DataFrame, start: Callable[[], Callable[..., Iterable[tuple]]],
             )
 
     return df.mapInArrow(run, ddl)
+
+
+def map_stream(df: DataFrame, work: Callable[[Iterator[tuple]], Iterable[tuple]], ddl: str, size: int = 8 << 20) -> DataFrame:
+    """Rows made from a task's rows as they come: ``work`` is called once per task with an iterator of them.
+
+    What it yields goes out in batches of about ``size`` bytes of text, a row at least.
+    """
+    fields = to_arrow_schema(T._parse_datatype_string(ddl))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = work(row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        while True:
+            rows, room = [], size
+            for row in itertools.islice(found, 1000):
+                rows.append(row)
+                room -= sum(len(v) for v in row if isinstance(v, str | bytes | list))
+                if room < 0:
+                    break
+            if not rows:
+                return
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(zip(*rows), fields)], schema=fields)
+
+    return df.mapInArrow(run, ddl)

@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from ripplekit.llm import (
     bpe_automaton,
+    conversations,
     language_id,
+    main_text,
     neighbours,
     packing,
+    phrases,
     quality,
     secret_scan,
     sharding,
@@ -21,6 +24,7 @@ from ripplekit.llm import (
     url_filter,
 )
 from ripplekit.llm.common import table
+from ripplekit.llm.sql import conversations_sql, phrases_sql
 from ripplekit.session import shared_dir
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -97,6 +101,18 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge_quality(table(spark, sf_dir, "documents")).drop("lang", "source")
 
 
+def op11_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract_text(table(spark, sf_dir, "pages"))
+
+
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.repair_damaged(table(spark, sf_dir, "conversations"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -106,7 +122,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_secret_scan, op2_url_filter, op3_language_id, op4_bpe_codec, op5_packing, op6_neighbours, op7_simhash,
-        op8_sharding, op9_token_counts, op10_quality, pipeline,
+        op8_sharding, op9_token_counts, op10_quality, op11_main_text, op12_phrases, op13_conversations, pipeline,
     )
     return {f.__name__: f for f in named}
 
@@ -140,4 +156,4 @@ def _url_sql() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_url_filter": _url_sql()}
+    return {"op2_url_filter": _url_sql(), "op12_phrases": phrases_sql(), "op13_conversations": conversations_sql()}
