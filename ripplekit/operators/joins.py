@@ -172,6 +172,20 @@ def locate_partitions(ids: DataFrame, minmax: DataFrame, per_id: int = 2) -> Dat
     )
 
 
+def fetch_by_ids(ids: DataFrame, minmax: DataFrame, weekly: DataFrame, per_id: int = 2) -> DataFrame:
+    """Rows of a table in weekly partitions by id, each once; only weeks that may hold a wanted id are opened.
+
+    The weeks found are at most the calendar's, so they reach the scan as a partition filter when the
+    query runs, however many ids are asked for. Ids outside every week's range are not looked for.
+    """
+    located = settle(locate_partitions(ids, minmax, per_id), "located")
+    weeks = settle(located.select("iso_year", "iso_week").distinct(), "weeks").where("iso_week >= 0")
+    opened = weekly.join(weeks, ["iso_year", "iso_week"], "left_semi")
+    wanted = located.select(F.col("iso_year").alias("_y"), F.col("iso_week").alias("_w"), F.col("id").alias("_id"))
+    same = (F.col("iso_year") == F.col("_y")) & (F.col("iso_week") == F.col("_w")) & (opened["id"] == F.col("_id"))
+    return opened.join(wanted, same, "left_semi")
+
+
 def post_links(posts: DataFrame) -> DataFrame:
     """First short link of each post that has one."""
     linked = posts.filter(F.col("text").contains("http://")).select(

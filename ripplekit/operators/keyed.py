@@ -1,4 +1,8 @@
-"""Keyed table maintenance: each function returns the table's next state."""
+"""Keyed table maintenance: each function returns the table's next state.
+
+Batch rows with a null in a key column are left out: they match nothing, so that each
+run would insert them again. ``sources.parts.KeyedTable`` writes next states back.
+"""
 
 from __future__ import annotations
 
@@ -17,7 +21,7 @@ def _on(keys: list[str], left: DataFrame, right: DataFrame, prefix: str) -> Colu
 
 def new_rows(store: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """First batch row of each key the store does not hold."""
-    return dedupe_first(batch, keys, order).join(store.select(*keys), keys, "left_anti")
+    return dedupe_first(batch.dropna(subset=keys), keys, order).join(store.select(*keys), keys, "left_anti")
 
 
 def insert_ignore(store: DataFrame, batch: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -45,7 +49,7 @@ def upsert(
 
     # A small batch is broadcast to the store, whose rows then stay where they are;
     # only the store's keys are moved, to find the batch's new ones.
-    changes = batch.groupBy(*keys).agg(*[last_value(c) for c in carried], F.lit(True).alias("_in"))
+    changes = batch.dropna(subset=keys).groupBy(*keys).agg(*[last_value(c) for c in carried], F.lit(True).alias("_in"))
     named = changes.withColumnsRenamed({k: f"_c_{k}" for k in keys})
 
     def updated(c: str) -> Column:

@@ -9,7 +9,7 @@ from ripplekit.operators import watch as WT
 from ripplekit.plans import reports as R
 from ripplekit.plans.catalog.base import AS_OF, END, START, joined, ntz, query
 from ripplekit.plans.catalog.joining import MENTIONS_SQL
-from ripplekit.session import settle
+from ripplekit.session import settle, shared_dir
 
 MOST_REPOSTED = """
 SELECT f.retweeted_status, f.retweeted_count, f.distinct_users, f.min_user_created_at, p.id, p.created_at FROM (
@@ -452,6 +452,21 @@ def _(t):
     return R.reports_for_intervals(t.posts, t.users, AS_OF, [*INTERVALS], 50).select(RANK_COLUMNS)
 
 
+def _whole_days_sql(days: int) -> str:
+    return _interval_sql(days, "AND s.created_at < TIMESTAMP '2024-01-31'")
+
+
+@query("T11_from_partials", "\nUNION ALL\n".join(f"SELECT * FROM ({_whole_days_sql(d)}) r WHERE rank <= 50" for d in INTERVALS))
+def _(t):
+    """Posts counted once as they come, in three batches of which one comes again; intervals from the stored counts."""
+    table = R.partials_table(t.spark, shared_dir(t.spark, "partials"))
+    for batch, mine in enumerate(("id % 3 = 0", "id % 3 = 1", "id % 3 = 2")):
+        R.add_partials(table, t.posts.filter(mine), batch)
+    R.add_partials(table, t.posts.filter("id % 3 = 2"), 2)
+    R.merge_partials(table, [202403, 202404], 3)
+    return R.reports_from_partials(table, t.users, AS_OF.date(), [*INTERVALS], 50)
+
+
 @query("T11_interval_reports_full", "WITH top AS (" + "\nUNION ALL\n".join(
     f"SELECT * FROM ({_interval_sql(d, 'AND u.province IN (7)')}) r WHERE rank <= 40" for d in INTERVALS) + """)
 SELECT p.id, p.user_id, a.screen_name AS user_name, a.followers_count, a.friends_count, a.statuses_count,

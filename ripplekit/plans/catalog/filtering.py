@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ripplekit.operators import aggregates as A
 from ripplekit.operators import filters as fl
 from ripplekit.operators import joins as J
+from ripplekit.operators.areas import in_areas
 from ripplekit.plans.catalog.base import AS_OF, END, START, query
 
 
@@ -170,6 +171,33 @@ def _(t):
     return fl.in_bbox(t.places.select("id", "lon", "lat"), boxes).select("id", "provid")
 
 
+# Areas of several shapes: slanted boxes with a square hole, and thin slivers across the map; vertices are dyadic.
+_RINGS = """
+SELECT n_nationkey AS area, 0 AS ring, 114 + n_nationkey / CAST(64 AS DOUBLE) AS x, 22 + n_nationkey / CAST(128 AS DOUBLE) AS y,
+       1 / CAST(32 AS DOUBLE) AS w, 1 / CAST(64 AS DOUBLE) AS h, 1 / CAST(128 AS DOUBLE) AS skew FROM nation
+UNION ALL SELECT n_nationkey, 1, 114 + n_nationkey / CAST(64 AS DOUBLE) + 1 / CAST(128 AS DOUBLE), 22 + n_nationkey / CAST(128 AS DOUBLE) + 1 / CAST(256 AS DOUBLE),
+       1 / CAST(128 AS DOUBLE), 1 / CAST(256 AS DOUBLE), 0 / CAST(1 AS DOUBLE) FROM nation
+UNION ALL SELECT 100 + n_nationkey, 0, 113.5, 21.75 + n_nationkey / CAST(64 AS DOUBLE), 1 / CAST(1024 AS DOUBLE), 0.5, 1.25 FROM nation"""
+_SPOTS = """
+SELECT event_id AS id, 113.75 + (event_id * 37 % 1024) / CAST(1024 AS DOUBLE) AS lon, 21.75 + (event_id * 91 % 512) / CAST(1024 AS DOUBLE) AS lat FROM events"""
+_EDGES = f"""
+SELECT area, x AS xa, y AS ya, x + w AS xb, y AS yb FROM ({_RINGS}) a UNION ALL SELECT area, x + w, y, x + w + skew, y + h FROM ({_RINGS}) b
+UNION ALL SELECT area, x + w + skew, y + h, x + skew, y + h FROM ({_RINGS}) c UNION ALL SELECT area, x + skew, y + h, x, y FROM ({_RINGS}) d"""
+
+
+@query("F15_point_in_polygon", f"""
+WITH e AS (SELECT area, CASE WHEN ya <= yb THEN xa ELSE xb END AS x1, least(ya, yb) AS y1, CASE WHEN ya <= yb THEN xb ELSE xa END AS x2, greatest(ya, yb) AS y2
+           FROM ({_EDGES}) v WHERE ya <> yb)
+SELECT s.id, e.area FROM ({_SPOTS}) s JOIN e ON e.y1 <= s.lat AND s.lat < e.y2 AND s.lon < (e.x2 - e.x1) * (s.lat - e.y1) / (e.y2 - e.y1) + e.x1
+GROUP BY s.id, e.area HAVING count(*) % 2 = 1""")
+def _(t):
+    corner = lambda dx, dy: F.struct(F.expr(dx).cast("double").alias("x"), F.expr(dy).cast("double").alias("y"))
+    ring = F.array(corner("x", "y"), corner("x + w", "y"), corner("x + w + skew", "y + h"), corner("x + skew", "y + h"))
+    rings = t.sql(_RINGS).select("area", "ring", ring.alias("vertices"))
+    spots = t.sql(_SPOTS).withColumns({c: F.col(c).cast("double") for c in ("lon", "lat")})
+    return in_areas(spots, rings).select("id", "area")
+
+
 @query("F15_within_radius", """
 SELECT id, round(d, 6) AS distance_km FROM (
   SELECT id, 2 * 6371.0 * asin(sqrt(pow(sin(radians(22.1 - lat) / 2), 2)

@@ -9,6 +9,8 @@ from ripplekit.operators import windows as W
 from ripplekit.operators.filters import by_watch_state
 from ripplekit.operators.watch import worklist
 from ripplekit.plans.catalog.base import AS_OF, BEFORE, END, START, ntz, query
+from ripplekit.session import shared_dir
+from ripplekit.sources.writers import replace_weeks
 
 
 @query("J1_repost_author_original", """
@@ -88,6 +90,17 @@ def _(t):
     return J.locate_partitions(t.posts.select("id"), minmax)
 
 
+@query("J6_fetch_by_ids", """
+SELECT id, user_id, created_at FROM r_posts WHERE id IN (SELECT retweeted_status FROM r_posts WHERE user_id % 10 = 3)""")
+def _(t):
+    """Originals fetched from the weekly table, whose other weeks are not opened."""
+    path, posts = shared_dir(t.spark, "weekly"), t.posts.select("id", "user_id", "created_at")
+    replace_weeks(posts, path)
+    wanted = t.posts.filter("user_id % 10 = 3 AND retweeted_status IS NOT NULL").select(F.col("retweeted_status").alias("id"))
+    weekly = t.spark.read.parquet(path)
+    return J.fetch_by_ids(wanted, A.partition_minmax(posts), weekly).select("id", "user_id", "created_at")
+
+
 @query("J7_short_url_lookup", r"""
 SELECT l.id, l.full, l.base, l.hash, m.location FROM (
   SELECT id, regexp_extract(text, '(http://(sinaurl\.cn|t\.cn)/(\w+))', 1) AS "full",

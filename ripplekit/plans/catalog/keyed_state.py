@@ -1,5 +1,7 @@
 """Keyed writes and watch state (K)."""
 
+from functools import partial
+
 from pyspark.sql import functions as F
 
 from ripplekit.operators import keyed as K
@@ -8,6 +10,8 @@ from ripplekit.plans.catalog.aggregation import REPORT_SQL, report
 from ripplekit.plans.catalog.base import AS_OF, ntz, query
 from ripplekit.plans.catalog.filtering import elsewhere_sql
 from ripplekit.plans.catalog.joining import GROWTH_SQL, snapshot_pairs
+from ripplekit.session import shared_dir
+from ripplekit.sources.parts import KeyedTable
 
 
 def stored_posts(t):
@@ -30,6 +34,24 @@ def _(t):
     return K.insert_ignore(stored_posts(t), t.sql(RECRAWL), ["id"], ["seq"])
 
 
+def kept_table(t, purpose, rows, keys=("id",), buckets=16):
+    """A stored table of these rows, in buckets by key."""
+    table = KeyedTable(t.spark, shared_dir(t.spark, purpose), rows.schema, list(keys), buckets)
+    table.load(rows, 0)
+    return table
+
+
+@query("K1_write_back", """
+SELECT id, user_id, text FROM r_posts WHERE id IN (SELECT id FROM r_known)
+UNION ALL SELECT id, user_id, 'again ' || text FROM r_posts WHERE id NOT IN (SELECT id FROM r_known)""")
+def _(t):
+    """Three batches written back, one of them twice; what is stored stays."""
+    table, batch = kept_table(t, "posts", stored_posts(t)), t.sql(RECRAWL)
+    for number, mine in ((1, "id % 3 = 0"), (2, "id % 3 = 1"), (2, "id % 3 = 1"), (3, "id % 3 > 0")):
+        table.write_back(batch.filter(mine), number, partial(K.insert_ignore, keys=["id"], order=["seq"]))
+    return table.read().select("id", "user_id", "text")
+
+
 # Profiles seen in posts: several per user, half of the ids not stored yet.
 PROFILES = """
 SELECT user_id * 20 AS id, id AS seq, 'n' || CAST(id AS STRING) AS screen_name,
@@ -49,6 +71,18 @@ def _(t):
     return K.upsert(t.users.select(STORE_COLUMNS), t.sql(PROFILES), ["id"], ["seq"])
 
 
+@query("K2_write_back", UPSERT_SQL)
+def _(t):
+    """The profiles in three batches, oldest first; a batch rewrites the buckets of its keys, then outdated files go."""
+    table, batch = kept_table(t, "users", t.users.select(STORE_COLUMNS)), t.sql(PROFILES)
+    last = batch.agg(F.max("seq")).scalar()
+    for number in range(3):
+        mine = batch.filter(F.col("seq") > last * number / 3).filter(F.col("seq") <= last * (number + 1) / 3)
+        table.write_back(mine, number + 1, partial(K.upsert, keys=["id"], order=["seq"]))
+    table.tidy()
+    return table.read().select(STORE_COLUMNS)
+
+
 @query("K2_insert_or_update_partial", f"""
 WITH b AS ({PROFILES}),
 l AS (SELECT * FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY id ORDER BY seq DESC) AS rn FROM b) x WHERE rn = 1),
@@ -94,6 +128,19 @@ def _(t):
     return K.tombstone(stored, t.sql(GONE), ntz(AS_OF)).select("id", "deleted", "permission_denied")
 
 
+@query("K5_write_back", f"""
+WITH d AS (SELECT id, bool_or(permission_denied) AS denied FROM ({GONE}) x GROUP BY id)
+SELECT p.id, CASE WHEN p.deleted IS NULL AND d.id IS NOT NULL THEN TIMESTAMP '2024-01-31' ELSE p.deleted END AS deleted,
+       CASE WHEN p.deleted IS NULL AND d.denied THEN TRUE ELSE p.permission_denied END AS permission_denied
+FROM ({MARKED}) p LEFT JOIN d ON p.id = d.id""")
+def _(t):
+    stored = t.sql(MARKED).withColumn("deleted", F.col("deleted").cast("timestamp_ntz")).select("id", "deleted", "permission_denied")
+    table, gone = kept_table(t, "marked", stored), t.sql(GONE)
+    for number in range(2):
+        table.write_back(gone.filter(F.col("id") % 2 == number), number + 1, partial(K.tombstone, as_of=ntz(AS_OF)))
+    return table.read().select("id", "deleted", "permission_denied")
+
+
 @query("K6_suspended_flag", """
 SELECT id, CASE WHEN id IN (SELECT user_id FROM r_comments) THEN TIMESTAMP '2024-01-31'
                 WHEN province = 3 THEN TIMESTAMP '2023-06-01' END AS suspended FROM r_users""")

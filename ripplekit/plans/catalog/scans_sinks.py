@@ -11,6 +11,7 @@ from ripplekit.plans.catalog.aggregation import REPORT_SQL, report
 from ripplekit.plans.catalog.base import END, START, query
 from ripplekit.plans.catalog.payloads import C, L, status_json, text_of
 from ripplekit.session import shared_dir
+from ripplekit.sources import parts as PT
 from ripplekit.sources import readers as RD
 from ripplekit.sources import writers as WR
 
@@ -175,6 +176,27 @@ def _(t):
     return t.spark.read.parquet(path).select(WEEKLY)
 
 
+@query("S8_empty_first_batch", WEEKLY_SQL)
+def _(t):
+    """A first batch without rows leaves a table that later ones join."""
+    path, posts = shared_dir(t.spark, "weekly"), t.posts.select("id", "created_at")
+    WR.write_weekly(posts.filter("id IS NULL"), path)
+    WR.write_weekly(posts, path)
+    return t.spark.read.parquet(path).select(WEEKLY)
+
+
+@query("S8_staged_batches", WEEKLY_SQL)
+def _(t):
+    """Batches committed one by one; one stops after writing, one comes again, one has only rows that are known."""
+    posts = t.posts.select("id", "created_at")
+    table = PT.PartTable(t.spark, shared_dir(t.spark, "weeks"), "id BIGINT, created_at TIMESTAMP_NTZ, iso_year INT, iso_week INT")
+    PT.insert_weeks(table, posts.filter("id % 5 <> 0"), 0)
+    table.stage(posts.filter("id % 5 = 0").selectExpr("*", "0 AS iso_year", "0 AS iso_week", "0 AS part"), 1)  # never committed
+    for batch, rows in ((1, posts.filter("id % 5 < 2")), (1, posts), (2, posts.filter("id % 5 = 3"))):
+        PT.insert_weeks(table, rows, batch)
+    return table.read().select(WEEKLY)
+
+
 @query("S8_replace_weeks", WEEKLY_SQL + """
 WHERE created_at < TIMESTAMP '2024-01-22' OR user_id % 2 = 0""")
 def _(t):

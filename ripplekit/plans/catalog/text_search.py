@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from ripplekit.functions.times import with_iso_week
 from ripplekit.operators import search as S
+from ripplekit.operators import search_index as SI
 from ripplekit.plans.catalog.base import joined, query
-from ripplekit.session import shared_dir
+from ripplekit.session import settle, shared_dir
 from ripplekit.sources.readers import read_csv, scan_period
 from ripplekit.sources.writers import write_csv
 
@@ -88,6 +89,42 @@ def _(t):
     return forum_search(t, QUERY, START, END, [], k=200)
 
 
+def time_index(t):
+    """The forum's index by time, built by the query that searches it."""
+    table = SI.index_table(t.spark, shared_dir(t.spark, "time-index"))
+    table.add(SI.postings(t.forum, "pid", "content", "time_secs", "uid", span=SPAN), 0)
+    return table
+
+
+SPAN = 3600
+
+
+def newest(t, q, k, *args, **options):
+    """The newest hits by the index alone, then their threads; and the number of all hits."""
+    table = time_index(t)
+    top = settle(SI.newest_hits(table, q, k, *args, span=SPAN, **options), "top")
+    options.pop("offset", None)
+    total = SI.all_hits(table, q, *args, span=SPAN, **options).agg(F.count("*").alias("n")).scalar()
+    return SI.with_documents(top, t.forum, "pid").select("pid", "uid", "tid", "time_secs").withColumn("total_hits", total)
+
+
+@query("T1_newest_by_index", forum_hits(f"{HAS_TERM} AND time_secs BETWEEN {START} AND {END}"))
+def _(t):
+    return newest(t, QUERY, 200, START, END)
+
+
+@query("T1_newest_by_index_page", forum_hits(f"{HAS_TERM} AND time_secs <= {END}", 20, 40))
+def _(t):
+    return newest(t, QUERY, 20, None, END, offset=40)
+
+
+@query("T2_newest_by_index", forum_hits(
+    f"{HAS_TERM} AND time_secs BETWEEN {START} AND {END} AND uid IN (SELECT user_id FROM r_userlist WHERE list_id IN (1, 2))"))
+def _(t):
+    people = t.userlist.filter("list_id IN (1, 2)").select("user_id")
+    return newest(t, QUERY, 200, START, END, people)
+
+
 @query("T3_forum_search", forum_hits(
     f"{HAS_TERM} AND time_secs BETWEEN {START} AND {END} AND floor BETWEEN 2 AND 5 AND uid IN (1, 2, 3, 10, 11, 12, 40, 41)"))
 def _(t):
@@ -130,6 +167,20 @@ def _(t):
     return t.spark.read.parquet(path).select("term", "doc_id", "tf")
 
 
+@query("T7_day_again", f"""
+SELECT term, doc_id, CAST(COUNT(*) AS INT) AS tf FROM (SELECT pid AS doc_id, unnest({tokens_sql('content')}) AS term
+  FROM ({STAMPED}) s WHERE dbinserted IS NULL OR CAST(dbinserted AS DATE) IN (DATE '2024-01-02', DATE '2024-01-03')) x GROUP BY 1, 2""")
+def _(t):
+    """Days indexed again, one of them with other rows at first: the index holds what came last."""
+    docs, table = t.sql(STAMPED), SI.index_table(t.spark, shared_dir(t.spark, "days"))
+    found = SI.postings(docs.withColumn("user", F.lit(None)), "pid", "content", "time_secs", "user", "dbinserted", SPAN)
+    wrong = SI.postings(docs.withColumns({"user": F.lit(1), "content": F.lit("wrong")}), "pid", "content", "time_secs", "user", "dbinserted", SPAN)
+    second, third = dt.date(2024, 1, 2), dt.date(2024, 1, 3)
+    for batch, (rows, day) in enumerate([(wrong, second), (found, third), (found, None), (found, second), (found, third)]):
+        SI.index_day(table, rows, day, batch)
+    return table.read().select("term", "doc_id", "tf")
+
+
 def postings_of(where):
     return f"""
 SELECT term, doc_id, CAST(COUNT(*) AS INT) AS tf FROM (SELECT id AS doc_id, unnest({tokens_sql('text')}) AS term

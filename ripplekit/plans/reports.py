@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ripplekit.functions.text import last_components
@@ -12,6 +12,7 @@ from ripplekit.functions.times import bucket, bucket_grid, epoch
 from ripplekit.operators.aggregates import rank_reposted, repost_pairs, top_links, trend, with_reposters
 from ripplekit.operators.filters import drop_spam, filter_lists, flag_spam, in_period, reposts
 from ripplekit.operators.joins import add_geo, hydrate, lookup, mention_rows, resolve_mentions, resolve_urls
+from ripplekit.sources.parts import PartTable
 
 REPORT_ZONE = "Asia/Hong_Kong"
 
@@ -221,7 +222,82 @@ def reports_for_intervals(
         for d, s in starts.items()
     }
     recent = in_period(posts, "created_at", min(starts.values()), as_of)
-    pairs = repost_pairs(recent, counts)
+    return _rank_intervals(repost_pairs(recent, counts), users, days, limit, province, userlist, lists)
+
+
+PARTIALS = "day DATE, retweeted_status BIGINT, user_id BIGINT, n BIGINT"
+
+
+def partials_table(spark: SparkSession, path: str) -> PartTable:
+    """Where counts of reposts per day, original and reposter are kept, by ISO week."""
+    return PartTable(spark, path, PARTIALS, sort=("day",))
+
+
+def repost_partials(posts: DataFrame) -> DataFrame:
+    """Reposts per day, original and reposter, with their week as ``part``."""
+    dated = reposts(posts).withColumn("day", F.to_date("created_at"))
+    counted = dated.groupBy("day", "retweeted_status", "user_id").agg(F.count("*").alias("n"))
+    year = F.extract(F.lit("YEAROFWEEK"), "day").cast("bigint")
+    return counted.withColumn("part", year * 100 + F.weekofyear("day"))
+
+
+def add_partials(table: PartTable, new_posts: DataFrame, batch: int) -> None:
+    """Count a batch of posts not counted before; late ones join their weeks, and a repeated batch changes nothing."""
+    table.add(repost_partials(new_posts), batch)
+
+
+def merge_partials(table: PartTable, weeks: list[int], batch: int) -> None:
+    """Write the weeks' partials as one row for each day, original and reposter again."""
+    if table.is_new(batch):
+        merged = table.read(weeks).groupBy("part", "day", "retweeted_status", "user_id").agg(F.sum("n").alias("n"))
+        table.replace(merged, batch, weeks)
+
+
+def reports_from_partials(
+    table: PartTable,
+    users: DataFrame,
+    as_of: dt.date,
+    days: list[int],
+    limit: int | None = None,
+    province: int | None = None,
+    userlist: DataFrame | None = None,
+    lists: list[int] | None = None,
+) -> DataFrame:
+    """As ``reports_for_intervals``, for the whole days before ``as_of``, from the weeks' partials alone.
+
+    Posts are not read again for a new interval: only the folders of its weeks are.
+    """
+    starts = {d: as_of - dt.timedelta(days=d) for d in days}
+    low, high = (d.isocalendar()[0] * 100 + d.isocalendar()[1] for d in (min(starts.values()), as_of))
+    weeks = [p for p in {p for p, _ in table.folders()} if low <= p <= high]
+    inside = table.read(weeks).where((F.col("day") >= min(starts.values())) & (F.col("day") < as_of))
+    counts = [F.sum(F.when(F.col("day") >= s, F.col("n")).otherwise(0)).alias(f"n_{d}") for d, s in starts.items()]
+    pairs = inside.groupBy("retweeted_status", "user_id").agg(*counts)
+    return _rank_intervals(pairs, users, days, limit, province, userlist, lists)
+
+
+def repost_sketches(posts: DataFrame) -> DataFrame:
+    """Reposts and a sketch of reposters per day and original; sketches of any days unite (``about_reposters``).
+
+    For streams, where an exact distinct count cannot be kept: a row stays a few kilobytes, however many reposters it has.
+    """
+    dated = reposts(posts).withColumn("day", F.to_date("created_at"))
+    return dated.groupBy("day", "retweeted_status").agg(F.count("*").alias("n"), F.hll_sketch_agg("user_id").alias("sketch"))
+
+
+def about_reposters(sketches: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
+    """(original, reposts, about how many reposters) of the days from ``start`` up to, not with, ``end``."""
+    inside = sketches.where((F.col("day") >= start) & (F.col("day") < end))
+    return inside.groupBy("retweeted_status").agg(
+        F.sum("n").alias("retweeted_count"), F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("about_users")
+    )
+
+
+def _rank_intervals(
+    pairs: DataFrame, users: DataFrame, days: list[int], limit: int | None,
+    province: int | None, userlist: DataFrame | None, lists: list[int] | None,
+) -> DataFrame:
+    """Ranks per interval from (original, reposter) pairs with a count ``n_d`` for each interval of d days."""
     known = users.select(F.col("id").alias("_u"), "province", "gender")
     if lists is not None:
         known = filter_lists(known, userlist, lists, user="_u")

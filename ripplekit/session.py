@@ -65,9 +65,14 @@ def _application_dir(spark: SparkSession) -> str:
 
 def forget_intermediates(spark: SparkSession) -> None:
     """Delete what this application has written to the shared folder; call it when its results are stored."""
-    jvm, path = spark._jvm, _application_dir(spark)
-    where = jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    delete_paths(spark, [_application_dir(spark)])
+
+
+def delete_paths(spark: SparkSession, paths: list[str]) -> None:
+    """Delete folders of any file system Spark can reach, in the order given; missing ones are no error."""
+    for path in paths:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
 @functools.cache

@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from ripplekit.functions.times import with_iso_week
 from ripplekit.operators.windows import dedupe_first
+from ripplekit.session import settle
 
 
 def _by_week(df: DataFrame, ts: str) -> DataFrame:
@@ -21,11 +22,13 @@ def write_weekly(df: DataFrame, path: str, key: str = "id", ts: str = "created_a
     """Insert rows under their creation ISO week; rows whose key the week holds already are ignored.
 
     Only the batch's weeks are read, and only new rows are appended, so a late row
-    joins its week and a repeated batch changes nothing.
+    joins its week and a repeated batch changes nothing. A folder without files, as an empty
+    first batch leaves it, is a table without rows. ``sources.parts.insert_weeks`` does the same
+    with a commit for each batch, so that a half-written one is not seen.
     """
-    batch = with_iso_week(dedupe_first(df, [key], [ts]), ts)
+    batch = settle(with_iso_week(dedupe_first(df, [key], [ts]), ts), "weekly-batch")
     try:
-        stored = df.sparkSession.read.parquet(path)
+        stored = df.sparkSession.read.schema(batch.schema).parquet(path)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise

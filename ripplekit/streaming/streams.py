@@ -7,27 +7,38 @@ current state.  A batch costs its own changes, never a rewrite of the store.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from ripplekit.operators.joins import snapshot_pair
 from ripplekit.operators.keyed import upsert
 from ripplekit.operators.watch import apply_watch, watch_decision
+from ripplekit.session import settle
+from ripplekit.sources.parts import KeyedTable, PartTable, fold_log
 
 
-def run_available(stream: DataFrame, out: str, checkpoint: str) -> None:
-    """Drain what is available into an append-only Parquet table."""
-    (
-        stream.writeStream.format("parquet")
-        .option("path", out)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+#: How streams run if nothing else is asked for: drain what is there, then stop.
+DRAIN = {"availableNow": True}
+
+
+def begin(writer: DataStreamWriter, trigger: dict | None = None) -> StreamingQuery:
+    """Start a stream with the arguments of ``DataStreamWriter.trigger``; one that drains is waited for."""
+    query = writer.trigger(**(trigger or DRAIN)).start()
+    if not trigger or trigger.get("availableNow") or trigger.get("once"):
+        query.awaitTermination()
+    return query
+
+
+def run_available(stream: DataFrame, out: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Write a stream to an append-only Parquet table; drains what is available unless given a trigger."""
+    writer = stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+    return begin(writer.outputMode("append"), trigger)
 
 
 def write_batch(df: DataFrame, log: str, batch_id: int) -> None:
@@ -40,19 +51,36 @@ def run_to_log(
     checkpoint: str,
     mode: str = "append",
     each: Callable[[DataFrame, int], None] | None = None,
-) -> None:
-    """Drain what is available into a change log (or a custom batch writer)."""
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Write a stream to a change log (or a custom batch writer); drains what is available unless given a trigger."""
     # An empty first entry, so that a stream without data leaves a readable log.
     write_batch(stream.sparkSession.createDataFrame([], stream.schema), log, -1)
     writer = each or (lambda df, batch_id: write_batch(df, log, batch_id))
-    (
-        stream.writeStream.foreachBatch(writer)
-        .option("checkpointLocation", checkpoint)
-        .outputMode(mode)
-        .trigger(availableNow=True)
-        .start()
-        .awaitTermination()
-    )
+    return begin(stream.writeStream.foreachBatch(writer).option("checkpointLocation", checkpoint).outputMode(mode), trigger)
+
+
+def run_folded(
+    stream: DataFrame, log: str, checkpoint: str, table: KeyedTable,
+    change: Callable[[DataFrame, DataFrame], DataFrame], every: int = 20, trigger: dict | None = None,
+) -> StreamingQuery:
+    """Log a stream's changes, and every so many micro-batches write them back to the table and delete their entries.
+
+    A micro-batch costs its own changes; the log never holds more than ``every`` of them.
+    The table's batch numbers are the stream's, so a replayed micro-batch writes nothing twice.
+    """
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, log, batch_id)
+        if (batch_id + 1) % every == 0:
+            fold_log(table, log, batch_id, change)
+
+    return run_to_log(stream, log, checkpoint, each=each, trigger=trigger)
+
+
+def last_change(keys: list[str], order: list[str], present: str | None = None) -> Callable[[DataFrame, DataFrame], DataFrame]:
+    """For ``run_folded`` and ``fold_log``: what ``current_rows`` makes of a log."""
+    return lambda store, log: current_rows(store, log, keys, order, present)
 
 
 def read_log(spark: SparkSession, log: str) -> DataFrame:
@@ -131,6 +159,47 @@ def top_per_window(counts: DataFrame, k: int) -> DataFrame:
     return counts.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
 
 
+RANKED = "window_start TIMESTAMP, retweeted_status BIGINT, count BIGINT, rank INT"
+
+
+def ranked_table(spark: SparkSession, path: str) -> PartTable:
+    """Where ``stream_ranked`` keeps the best of each window, by the day the window begins."""
+    return PartTable(spark, path, RANKED)
+
+
+def stream_ranked(
+    src: DataFrame, table: PartTable, look_back: str, step: str, k: int, checkpoint: str,
+    late: str = "1 hour", ts: str = "created_at", trigger: dict | None = None,
+) -> StreamingQuery:
+    """The ``k`` most reposted of each sliding window, kept up to date while the stream runs.
+
+    Spark counts originals in windows of ``look_back`` every ``step`` and forgets windows that the
+    watermark has passed. A micro-batch brings the counts that changed; as counts only grow, a
+    window's new best are among its old best and these, so only windows that the micro-batch touched are
+    ranked again, and only their days are written.
+    """
+    counts = (
+        src.filter("retweeted_status IS NOT NULL")
+        .withWatermark(ts, late)
+        .groupBy(F.window(ts, look_back, step).alias("w"), "retweeted_status")
+        .agg(F.count("*").alias("count"))
+        .select(F.col("w.start").alias("window_start"), "retweeted_status", "count")
+    )
+
+    def rank(batch: DataFrame, batch_id: int) -> None:
+        if not table.is_new(batch_id):
+            return
+        changed = settle(batch.withColumn("part", F.unix_date(F.to_date("window_start")).cast("bigint")), "counts")
+        days = sorted(r[0] for r in changed.select("part").distinct().collect())  # bounded by the calendar
+        known = table.read(days).select(*changed.columns)
+        best = known.unionByName(changed).groupBy("part", "window_start", "retweeted_status").agg(F.max("count").alias("count"))
+        table.stage(top_per_window(best, k), batch_id)
+        table.commit(batch_id, days)
+
+    writer = counts.writeStream.foreachBatch(rank).option("checkpointLocation", checkpoint).outputMode("update")
+    return begin(writer, trigger)
+
+
 PAIR_STATE = "eid BIGINT, old_retrieved {0}, old_cnt BIGINT, new_retrieved {0}, new_cnt BIGINT"
 
 
@@ -207,3 +276,36 @@ def current_tombstones(store: DataFrame, log: DataFrame) -> DataFrame:
             ),
         }
     ).drop("_d", "_at", "_denied")
+
+
+def stream_until_known(
+    src: DataFrame, store: DataFrame, n: int, page: str = "user_id", key: str = "id", ts: str = "created_at"
+) -> DataFrame:
+    """``incremental_cutoff`` with ``reset``, as a stream of pages fetched newest first.
+
+    For each page (user) a counter of the known rows since the last new one is kept between
+    micro-batches; the row that brings it to ``n`` is the last to pass, and what arrives later is
+    ignored. A micro-batch may split a page anywhere, as long as older rows do not come before newer ones. Null
+    pages are a page. A page's rows of one micro-batch are in one task, as the source's limit bounds them.
+    """
+    have = store.select(F.col(key).alias("_k")).distinct()
+    rows = src.join(have, src[key] == have["_k"], "left").withColumn("known", F.col("_k").isNotNull()).drop("_k")
+
+    def work(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        run, done = state.get if state.exists else (0, False)
+        if done:
+            return
+        frame = pd.concat(list(frames)).sort_values([ts, key], ascending=False)
+        passed = 0
+        for known in frame["known"]:
+            passed += 1
+            run = run + 1 if known else 0
+            if run == n:
+                done = True
+                break
+        state.update((run, done))
+        yield frame.iloc[:passed]
+
+    return rows.groupBy(page).applyInPandasWithState(
+        work, rows.schema, "run int, done boolean", "append", GroupStateTimeout.NoTimeout
+    )
