@@ -6,7 +6,7 @@ number of words; the shard's phrases of that length are counted, sorted, built i
 automaton (``count_automaton``) for each range of first words, and only automata are shuffled.
 A range's task merges them in sorted order, adding up their weights. Which phrases
 are worth counting is asked of a filter of ``2 ** FILTER`` bits over the frequent phrases one
-word shorter: it may pass some that are not, whose counts then show it, and never holds one
+word shorter (the longest two lengths share a pass, and its filter): it may pass some that are not, whose counts then show it, and never holds one
 back, so its size bounds what is broadcast and not what is found.
 
 Parts of a candidate are frequent as well. They are looked up range by range: the parts asked for
@@ -25,12 +25,13 @@ from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ripplekit.llm.common import map_stream
-from ripplekit.llm.count_automaton import Automaton, Builder, build, compose, summed, union
+from ripplekit.llm.count_automaton import Automaton, build, compose, of_table, ranked, summed, union
 from ripplekit.session import settle
 
 LONGEST = 5
@@ -38,7 +39,8 @@ LEAST = 100
 TOP = 2000
 SHARD = 2_000_000  # words
 CHUNK = 1 << 20  # bytes of text split at once
-STRIDE = 500  # frequent words in a range
+KEPT = 1_000_000  # words a task keeps numbers for
+STRIDE = 200  # frequent words in a range
 ARCS = 2_000_000  # a range's automata are merged before they have more
 FILTER = 26
 SEED = 42
@@ -57,17 +59,19 @@ class Numbers(dict):
         return number
 
 
-class Shard:
-    """Words of texts as numbers, with a break between pieces, and the languages of their places."""
+class Reader:
+    """Turns texts into shards; words keep their numbers and hashes from shard to shard until they are too many."""
 
     def __init__(self) -> None:
+        self._forget()
+
+    def _forget(self) -> None:
         self.numbers, self.langs = Numbers({b"\n": BREAK, b"": NOTHING}), Numbers()
-        self.parts: list[np.ndarray] = []
-        self.of: list[tuple[int, int]] = []
-        self.size = 0
+        self.words: list[bytes] = []
+        self.hashes = np.empty(0, np.uint64)
 
-    def add(self, lang: str, text: str) -> None:
-        data, at, total = text.encode().lower().translate(SIGNS), 0, 0
+    def ids(self, text: str) -> Iterator[np.ndarray]:
+        data, at = text.encode().lower().translate(SIGNS), 0
         while at < len(data):
             end = at + CHUNK
             if end < len(data):
@@ -75,13 +79,46 @@ class Shard:
                 end = min(ends, default=len(data))
             words = data[at:end].replace(b"\n", b" \n ").split(b" ")
             ids = np.fromiter(map(self.numbers.__getitem__, words), np.uint32, len(words))
-            ids = ids[ids != NOTHING]
-            self.parts.append(ids)
-            total += len(ids)
+            yield ids[ids != NOTHING]
             at = end
-        self.parts.append(np.zeros(1, np.uint32))
-        self.of.append((self.langs[lang.encode()], total + 1))
-        self.size += total + 1
+        yield np.zeros(1, np.uint32)
+
+    def shards(self, rows: Iterator[tuple[str, str]]) -> Iterator[Shard]:
+        shard = Shard(self)
+        for lang, text in rows:
+            shard.add(self.langs[lang.encode()], self.ids(text))
+            if shard.size >= SHARD:
+                yield shard
+                if len(self.numbers) > KEPT:
+                    self._forget()
+                shard = Shard(self)
+        if shard.size:
+            yield shard
+
+    def known(self) -> tuple[list[bytes], np.ndarray, list[bytes], np.ndarray]:
+        """Words and their hashes, languages and theirs, by number."""
+        more = list(itertools.islice(self.numbers, len(self.words), None))
+        self.words += more
+        self.hashes = np.concatenate([self.hashes, hashes(more)])
+        langs = list(self.langs)
+        return self.words, self.hashes, langs, hashes(langs)
+
+
+class Shard:
+    """Words of texts as numbers, with a break between pieces, and the languages of their places."""
+
+    def __init__(self, reader: Reader) -> None:
+        self.reader = reader
+        self.parts: list[np.ndarray] = []
+        self.of: list[tuple[int, int]] = []
+        self.size = 0
+
+    def add(self, lang: int, found: Iterator[np.ndarray]) -> None:
+        parts = list(found)
+        size = sum(map(len, parts))
+        self.parts += parts
+        self.of.append((lang, size))
+        self.size += size
 
     def blocks(self, length: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, languages) of bounded parts, which overlap by what a phrase of that length needs."""
@@ -91,17 +128,6 @@ class Shard:
             yield ids[at : at + SHARD + length - 1], langs[at : at + SHARD]
 
 
-def shards(rows: Iterator[tuple[str, str]]) -> Iterator[Shard]:
-    shard = Shard()
-    for lang, text in rows:
-        shard.add(lang, text)
-        if shard.size >= SHARD:
-            yield shard
-            shard = Shard()
-    if shard.size:
-        yield shard
-
-
 # The filter: a phrase's hash is made from its words' one after the other.
 
 
@@ -150,22 +176,31 @@ def filter_bits(frequent: DataFrame) -> np.ndarray:
 def count_words(texts: DataFrame) -> DataFrame:
     """(lang, phrase, f) of single words, all of them."""
 
-    def work(rows):
-        for shard in shards(rows):
-            words, langs = list(shard.numbers), list(shard.langs)
+    def run(batches):
+        rows = (row for batch in batches for row in zip(*(c.to_pylist() for c in batch.columns)))
+        for shard in Reader().shards(rows):
+            words, _, langs, _ = shard.reader.known()
             for ids, of in shard.blocks(1):
-                keys = (of.astype(np.int64) << 32 | ids)[ids != BREAK]
-                for key, n in zip(*map(np.ndarray.tolist, np.unique(keys, return_counts=True))):
-                    yield langs[key >> 32].decode(), words[key & 0xFFFFFFFF].decode(), n
-
-    return map_stream(texts, work, "lang string, phrase string, f bigint").groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-
-
-def counted(ids: np.ndarray, of: np.ndarray, shard: Shard, length: int, bits: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """A block's phrases of that length that the filter lets through, sorted: rows of places in the sorted
-    words (the language first), their counts, and the words."""
-    words, langs = list(shard.numbers), list(shard.langs)
-    word_hashes, lang_hashes = hashes(words), hashes(langs)
+                keys, counts = np.unique((of.astype(np.int64) << 32 | ids)[ids != BREAK], return_counts=True)
+                for at in range(0, len(keys), 100_000):
+                    some = keys[at : at + 100_000]
+                    columns = [
+                        pa.array([langs[i].decode() for i in (some >> 32).tolist()], pa.string()),
+                        pa.array([words[i].decode() for i in (some & 0xFFFFFFFF).tolist()], pa.string()),
+                        pa.array(counts[at : at + 100_000], pa.int64()),
+                    ]
+                    yield pa.RecordBatch.from_arrays(columns, names=["lang", "phrase", "f"])
+
+    found = texts.mapInArrow(run, "lang string, phrase string, f bigint")
+    return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+
+
+def counted(
+    ids: np.ndarray, of: np.ndarray, shard: Shard, length: int, bits: np.ndarray, shorter: int
+) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """A block's phrases of that length of which the filter lets every part of ``shorter`` words through, sorted:
+    rows of places in the sorted words (the language first), their counts, and the words."""
+    words, word_hashes, langs, lang_hashes = shard.reader.known()
     starts = len(ids) - length + 1
     if starts <= 0:
         return np.empty((0, length + 1), np.int64), np.empty(0, np.int64), []
@@ -174,74 +209,62 @@ def counted(ids: np.ndarray, of: np.ndarray, shard: Shard, length: int, bits: np
     for i in range(1, length):
         begin &= solid[i : i + starts]
     at = np.flatnonzero(begin)
-    for shift in (1, 0):  # its last and its first words but one
+    for shift in range(length - shorter, -1, -1):
         state = lang_hashes[of[at]]
-        for i in range(length - 1):
+        for i in range(shorter):
             state = _mixed(state, word_hashes[ids[at + shift + i]])
         at = at[passes(bits, state)]
+    if not len(at):
+        return np.empty((0, length + 1), np.int64), np.empty(0, np.int64), []
     columns = [ids[at + i] for i in range(length)]
-    used = np.unique(np.concatenate(columns)) if len(at) else np.empty(0, np.uint32)
+    used = np.unique(np.concatenate(columns))
     known = sorted({*(words[i] for i in used.tolist()), *langs})
     place = {w: i for i, w in enumerate(known)}
     rank = np.zeros(len(words), dtype=np.int64)
     rank[used] = [place[words[i]] for i in used.tolist()]
-    keys = np.array([place[w] for w in langs], dtype=np.int64)[of[at]]
-    heads: list[tuple[np.ndarray, np.ndarray]] = []  # by length: the shorter phrase's number and the last word
-    counts = np.empty(0, np.int64)
-    for column in columns:
-        found, keys, counts = np.unique(keys << 32 | rank[column], return_inverse=True, return_counts=True)
-        heads.append((found >> 32, found & 0xFFFFFFFF))
-    rows, back = np.empty((len(counts), length + 1), np.int64), np.arange(len(counts))
-    for i in range(length - 1, -1, -1):
-        rows[:, i + 1] = heads[i][1][back]
-        back = heads[i][0][back]
-    rows[:, 0] = back
-    return rows, counts, known
-
-
-def count_phrases(texts: DataFrame, length: int, shorter: np.ndarray, cuts: list[tuple[bytes, bytes]], least: int) -> DataFrame:
-    """(lang, phrase, f) of the phrases of that length that occur ``least`` times."""
-    held = texts.sparkSession.sparkContext.broadcast((shorter, cuts))
+    first = np.array([place[w] for w in langs], dtype=np.int64)[of[at]]
+    rows, number = ranked(itertools.chain([first], (rank[column] for column in columns)))
+    return rows, np.bincount(number), known
+
+
+def count_phrases(
+    texts: DataFrame, lengths: tuple[int, ...], bits: np.ndarray, shorter: int, cuts: list[tuple[bytes, bytes]], least: int
+) -> DataFrame:
+    """(lang, phrase, words, f) of the phrases of those lengths that occur ``least`` times, by a filter of phrases of ``shorter`` words."""
+    held = texts.sparkSession.sparkContext.broadcast((bits, cuts))
 
     def work(rows):
         bits, cuts = held.value
-        for shard in shards(rows):
-            for ids, of in shard.blocks(length):
-                found, counts, known = counted(ids, of, shard, length, bits)
-                if not len(found):
-                    continue
-                new = np.flatnonzero(np.r_[True, (found[1:, :2] != found[:-1, :2]).any(axis=1)]).tolist()
-                part = [bisect_right(cuts, (known[a], known[b])) for a, b in found[new, :2].tolist()]
-                bounds = [i for i, p in enumerate(part) if not i or p != part[i - 1]]
-                edges = [new[i] for i in bounds] + [len(found)]
-                for i, begin, end in zip(bounds, edges, edges[1:]):
-                    used = np.unique(found[begin:end])
-                    items = zip(map(tuple, np.searchsorted(used, found[begin:end]).tolist()), counts[begin:end].tolist())
-                    yield part[i], of_labels(items, [known[w] for w in used.tolist()]).to_bytes()
+        for shard in Reader().shards(rows):
+            for length in lengths:
+                for ids, of in shard.blocks(length):
+                    found, counts, known = counted(ids, of, shard, length, bits, shorter)
+                    if not len(found):
+                        continue
+                    new = np.flatnonzero(np.r_[True, (found[1:, :2] != found[:-1, :2]).any(axis=1)])
+                    part = [bisect_right(cuts, (known[a], known[b])) for a, b in found[new, :2].tolist()]
+                    bounds = [i for i, p in enumerate(part) if not i or p != part[i - 1]]
+                    edges = [*new[bounds].tolist(), len(found)]
+                    for i, begin, end in zip(bounds, edges, edges[1:]):
+                        yield length, part[i], of_table(found[begin:end], counts[begin:end], known).to_bytes()
 
     def merge(rows):
-        for _, run in itertools.groupby(rows, lambda r: r[0]):
+        for (length, _), run in itertools.groupby(rows, lambda r: r[:2]):
             held, arcs = [], 0
-            for _, data in run:
+            for _, _, data in run:
                 held.append(Automaton.from_bytes(data))
                 arcs += len(held[-1])
                 if arcs > ARCS and len(held) > 1:
-                    held = [union(held)]
+                    held = [union(held, length + 1)]
                     arcs = len(held[0]) // 2  # what is new must be as much again
-            for (lang, *said), n in summed(held):
-                if n >= least:
-                    yield lang.decode(), b" ".join(said).decode(), n
-
-    parts = map_stream(texts, work, "range int, automaton binary")
-    dealt = parts.repartition("range").sortWithinPartitions("range")
-    return map_stream(dealt, merge, "lang string, phrase string, f bigint")
-
+            found, counts, words = summed(held, length + 1)
+            often = counts >= least
+            for (lang, *said), n in zip(found[often].tolist(), counts[often].tolist()):
+                yield words[lang].decode(), b" ".join([words[i] for i in said]).decode(), length, n
 
-def of_labels(items, words: list[bytes]) -> Automaton:
-    builder = Builder()
-    for labels, count in items:
-        builder.add(labels, count)
-    return builder.finish(words)
+    parts = map_stream(texts, work, "words int, range int, automaton binary")
+    dealt = parts.repartition("words", "range").sortWithinPartitions("words", "range")
+    return map_stream(dealt, merge, "lang string, phrase string, words int, f bigint")
 
 
 def range_cuts(words: DataFrame, stride: int = STRIDE) -> list[tuple[bytes, bytes]]:
@@ -259,13 +282,15 @@ def frequent_phrases(texts: DataFrame, least: int = LEAST, longest: int = LONGES
     """(lang, phrase, words, f) of all phrases that occur ``least`` times, (lang, n), and the ranges' cuts."""
     words = settle(count_words(texts), "words")
     totals = settle(words.groupBy("lang").agg(F.sum("f").alias("n")), "totals")
-    level = settle(words.where(F.col("f") >= least), "phrases")
+    level = settle(words.where(F.col("f") >= least).select("lang", "phrase", F.lit(1).alias("words"), "f"), "phrases")
     cuts = range_cuts(level)
-    found = level.withColumn("words", F.lit(1))
-    for length in range(2, longest + 1):
-        level = settle(count_phrases(texts, length, filter_bits(level), cuts, least), "phrases")
-        found = found.union(level.withColumn("words", F.lit(length)))
-    return found.select("lang", "phrase", "words", "f"), totals, cuts
+    found, length = level, 1
+    while length < longest:
+        # Few texts still hold phrases that the last filter but one lets through, so the last two lengths share a pass.
+        lengths = (length + 1,) if longest - length != 2 else (longest - 1, longest)
+        level = settle(count_phrases(texts, lengths, filter_bits(level), length, cuts, least), "phrases")
+        found, length = found.union(level), lengths[-1]
+    return found, totals, cuts
 
 
 # Parts.

@@ -87,8 +87,15 @@ def test_automata_keep_counts_and_meet():
             Automaton.from_bytes(build(sorted(d.items()), (w for s in d for w in s)).to_bytes()) for d in (one, two)
         )
         assert list(first.items()) == sorted(one.items())
-        both = {k: one.get(k, 0) + two.get(k, 0) for k in one.keys() | two.keys()}
-        assert dict(summed([first, second])) == both == dict(union([first, second]).items())
+        for length in (1, 2, 3):
+            both = {k: one.get(k, 0) + two.get(k, 0) for k in one.keys() | two.keys() if len(k) == length}
+            rows, counts, words = summed([first, second], length)
+            assert [(tuple(words[i] for i in r), n) for r, n in zip(rows.tolist(), counts.tolist())] == sorted(both.items())
+            if length > 1:
+                again = union([first, second], length)
+                assert list(again.items()) == sorted(both.items())
+                plain = build(sorted(both.items()), (w for s in both for w in s))
+                assert len(again) == len(plain) and len(again.last) <= len(plain.last) + 1  # as small as one by one
         assert sorted(compose(first, second)) == sorted((one[k], two[k]) for k in one.keys() & two.keys())
 
 
@@ -155,19 +162,19 @@ def test_small_shards_give_the_same_counts():
     for piece in re.split("[.,]", text):
         said = piece.split()
         want.update(tuple(said[i : i + 3]) for i in range(len(said) - 2))
-    old = phrases.SHARD, phrases.CHUNK
+    old = phrases.SHARD, phrases.CHUNK, phrases.KEPT
     try:
-        phrases.SHARD, phrases.CHUNK = 4, 9
+        phrases.SHARD, phrases.CHUNK, phrases.KEPT = 4, 9, 3
         got = Counter()
-        for shard in phrases.shards(iter([("en", text)])):
+        for shard in phrases.Reader().shards(iter([("en", text), ("en", "x")])):
             for ids, of in shard.blocks(3):
                 full = np.full(1 << (phrases.FILTER - 6), np.iinfo(np.uint64).max)
-                rows, counts, known = phrases.counted(ids, of, shard, 3, full)
+                rows, counts, known = phrases.counted(ids, of, shard, 3, full, 2)
                 for row, n in zip(rows.tolist(), counts.tolist()):
                     got[tuple(known[i].decode() for i in row[1:])] += n
         assert got == want
     finally:
-        phrases.SHARD, phrases.CHUNK = old
+        phrases.SHARD, phrases.CHUNK, phrases.KEPT = old
 
 
 def test_phrases_of_odd_tables(spark, odd, clashing, none):
