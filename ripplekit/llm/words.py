@@ -86,20 +86,23 @@ class SpacedWords:
 
 
 class BareWords:
-    """For the tokenizer that lower-cases and drops white space: any white space is a cut.
+    """For the tokenizer that lower-cases and drops white space: any white space is a cut, and so is each change
+    between letters, single digits and other signs.
 
-    A piece of Latin letters, with one full stop or comma perhaps, goes on to the
-    merges as lower-cased letters and sign; other pieces go through the library whole.
+    Runs of Latin letters, digits and ASCII signs but the apostrophe, which begins endings like 's, go straight to the
+    merges, each different run once. Pieces with other characters go through the library whole.
     """
 
-    LETTERS = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]?)")  # none of these changes under NFC
+    # None of these letters changes under NFC, and each is one letter in lower case.
+    RUN = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[!-&(-/:-@\[-`{-~]+")
+    OTHER = re.compile(r"[^A-Za-zÀ-ÖØ-öø-ÿ0-9 \t-\r!-&(-/:-@\[-`{-~]")
 
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
         self.bytes = {ord(c): mapped for c, mapped in self._byte_letters().items()}
-        self.words = Kept(self._word)
-        self.pieces = Kept(self._piece)
+        self.words = Kept(self._word, 2 * KEPT)
+        self.pieces = Kept(self._piece, KEPT // 10)
 
     def _byte_letters(self) -> dict[str, str]:
         from tokenizers.pre_tokenizers import ByteLevel
@@ -110,13 +113,11 @@ class BareWords:
     def _word(self, word: str) -> bytes:
         return packed([t.id for t in self.tokenizer.model.tokenize(word.translate(self.bytes))])
 
+    def _runs(self, text: str) -> bytes:
+        return b"".join([self.words[run] for run in self.RUN.findall(text.lower())])
+
     def _piece(self, piece: str) -> bytes:
-        if not piece:
-            return b""
-        if letters := self.LETTERS.fullmatch(piece):
-            word, sign = letters.groups()
-            return self.words[word.lower()] + (self.words[sign] if sign else b"")
-        return self.whole(piece)
+        return self.whole(piece) if self.OTHER.search(piece) else self._runs(piece)
 
     def whole(self, text: str) -> bytes:
         return packed(self.tokenizer.encode(text, add_special_tokens=False).ids)
@@ -124,7 +125,9 @@ class BareWords:
     def ids(self, text: str) -> bytes:
         if any(s in text for s in self.special):
             return self.whole(text)
-        return b"".join([self.pieces[p] for p in text.replace("\n", " ").split(" ")])
+        if not self.OTHER.search(text):
+            return self._runs(text)
+        return b"".join([self.pieces[p] for p in text.replace("\n", " ").split(" ") if p])
 
 
 def plain(path: str) -> Tokenizer:
