@@ -187,9 +187,10 @@ def stream_ranked(
     )
 
     def rank(batch: DataFrame, batch_id: int) -> None:
+        # Spark wants a micro-batch's state computed even if it is a replay that changes nothing.
+        changed = settle(batch.withColumn("part", F.unix_date(F.to_date("window_start")).cast("bigint")), "counts")
         if not table.is_new(batch_id):
             return
-        changed = settle(batch.withColumn("part", F.unix_date(F.to_date("window_start")).cast("bigint")), "counts")
         days = sorted(r[0] for r in changed.select("part").distinct().collect())  # bounded by the calendar
         known = table.read(days).select(*changed.columns)
         best = known.unionByName(changed).groupBy("part", "window_start", "retweeted_status").agg(F.max("count").alias("count"))

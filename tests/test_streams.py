@@ -6,8 +6,10 @@ from pyspark.sql import functions as F
 from helpers import rows
 from ripplekit.operators import joins as J
 from ripplekit.operators import watch as W
+from ripplekit.operators import windows as W2
 from ripplekit.plans.roles import Roles
 from ripplekit.session import shared_dir
+from ripplekit.sources.parts import KeyedTable, unfolded
 from ripplekit.streaming import streams as ST
 
 
@@ -98,3 +100,84 @@ def test_stream_without_data_leaves_an_empty_log(spark):
     ST.stream_upsert(spark.readStream.schema(schema).parquet(src), log, state)
     store = spark.createDataFrame([(3, "keep")], "id bigint, name string")
     assert rows(ST.current_rows(store, ST.read_log(spark, log), ["id"], ["seq"])) == [(3, "keep")]
+
+
+def in_turn(spark, frames):
+    """A stream that brings each frame as a micro-batch of its own."""
+    path = shared_dir(spark, "turns")
+    for frame in frames:
+        frame.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(frames[0].schema).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+REPOSTS = "id bigint, d string, retweeted_status bigint"
+
+
+def reposts_at(spark, data):
+    return spark.createDataFrame(data, REPOSTS).selectExpr("id", "cast(d as timestamp) created_at", "retweeted_status")
+
+
+def test_windows_ranked_in_the_stream_with_late_rows(spark):
+    """Late rows within the watermark change past windows; later ones are left out; a replayed micro-batch changes nothing."""
+    hour = "2024-01-01 {:02d}:30:00".format
+    frames = [
+        [(1, hour(3), 1), (2, hour(3), 2), (3, hour(3), 2), (4, hour(4), None)],
+        [(5, hour(6), 1), (6, hour(6), 3)],
+        [(7, hour(4), 1), (8, hour(5), 1), (9, hour(3), 1)],  # late, within four hours
+        [(10, hour(20), 5)],
+        [(11, hour(3), 9), (12, hour(19), 5)],  # the first is too late
+    ]
+    table, state = ST.ranked_table(spark, shared_dir(spark, "ranked")), shared_dir(spark, "state")
+    src = in_turn(spark, [reposts_at(spark, f) for f in frames])
+    ST.stream_ranked(src, table, "2 hours", "1 hour", 2, state, late="4 hours")
+    kept = reposts_at(spark, [r for f in frames for r in f if r[0] != 11 and r[2]])
+    counts = kept.groupBy(F.window("created_at", "2 hours", "1 hour").start.alias("window_start"), "retweeted_status").count()
+    want = rows(ST.top_per_window(counts, 2), "window_start", "retweeted_status", "count", "rank")
+    got = lambda: rows(table.read(), "window_start", "retweeted_status", "count", "rank")
+    assert got() == want and any(r[3] == 2 for r in want)
+    assert table.last_batch() >= 4
+    again = ST.ranked_table(spark, table.path)
+    ST.stream_ranked(src, again, "2 hours", "1 hour", 2, shared_dir(spark, "state"), late="4 hours")  # from the start: all committed
+    assert got() == want
+
+
+@pytest.mark.parametrize("files", [1, 3, 7])
+def test_pages_stop_where_the_batch_stops(spark, files):
+    data = [(i, f"2024-01-{1 + i // 24:02d} {i % 24:02d}:00:00", None if i % 5 == 0 else i % 3) for i in range(120)]
+    pages = spark.createDataFrame(data, REPOSTS).selectExpr("id", "cast(d as timestamp) created_at", "retweeted_status as user_id")
+    known = spark.createDataFrame([(i,) for i in range(120) if i % 7 and i < 100], "id bigint")
+    size = -(-120 // files)
+    src = in_turn(spark, [pages.filter(f"119 - id >= {n * size} AND 119 - id < {(n + 1) * size}") for n in range(files)])
+    log, state = shared_dir(spark, "log"), shared_dir(spark, "state")
+    ST.run_to_log(ST.stream_until_known(src, known, 3), log, state)
+    want = W2.incremental_cutoff(pages, known, 3, reset=True)
+    assert rows(ST.read_log(spark, log), "id", "user_id", "known") == rows(want, "id", "user_id", "known")
+    assert 0 < want.count() < 120
+
+
+def test_a_folded_log_stays_short(spark):
+    schema = "id bigint, name string, seq int"
+    frames = [spark.createDataFrame([(n % 3, f"v{n}", n), (10 + n, "x", n)], schema) for n in range(7)]
+    store = spark.createDataFrame([(0, "old"), (1, "old")], "id bigint, name string")
+    table = KeyedTable(spark, shared_dir(spark, "users"), store.schema, ["id"], 4)
+    table.load(store, -1)
+    log, state = shared_dir(spark, "log"), shared_dir(spark, "state")
+    ST.run_folded(in_turn(spark, frames), log, state, table, ST.last_change(["id"], ["seq"]), every=3)
+    assert rows(ST.read_log(spark, log).select("batch").distinct()) == [(6,)]
+    want = [(0, "v6"), (1, "v4"), (2, "v5"), *((10 + n, "x") for n in range(7))]
+    assert rows(ST.current_rows(table.read().drop("part"), unfolded(table, log), ["id"], ["seq"])) == sorted(want, key=repr)
+
+
+def test_a_stream_with_a_trigger_goes_on(spark):
+    src, out, state = (shared_dir(spark, p) for p in ("in", "out", "state"))
+    frame = reposts_at(spark, [(1, "2024-01-01 00:00:00", 1)])
+    frame.write.parquet(src)
+    query = ST.run_available(spark.readStream.schema(frame.schema).parquet(src), out, state, {"processingTime": "100 milliseconds"})
+    try:
+        assert query.isActive
+        query.processAllAvailable()
+        reposts_at(spark, [(2, "2024-01-01 00:00:00", 1)]).write.mode("append").parquet(src)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows(spark.read.parquet(out), "id") == [(1,), (2,)]
