@@ -12,7 +12,7 @@ best of each block are ranked for the query.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite
 components take no part, nor do rows without an id; vectors of different lengths
-are not compared. Ties go to the smaller id, repeated rows are candidates each but
+are not compared. Distances of finite vectors beyond the largest double are infinite and rank last. Ties go to the smaller id, repeated rows are candidates each but
 ask once, fewer than k candidates are all returned, other columns are ignored, and
 an empty table gives an empty one.
 """
@@ -31,27 +31,31 @@ GROWTH = 1.4
 #: Share of a block's values in the first windows: nearest vectors in many dimensions lie far out on each line.
 FIRST = 8
 ROWS, QUERIES = 8192, 1024
+#: Tables with larger components are projected on a smaller scale, so that no projection overflows.
+LARGE = 1e100
+#: Squares of such distances are too small for a double.
+SMALL = 1e-140
 
 
 class CollisionIndex:
     """One block of vectors with a sorted array for each projection."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, seed: int = 11) -> None:
-        self.ids, self.vectors = ids, vectors
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, scale: float = 1.0, seed: int = 11) -> None:
+        self.ids, self.vectors, self.scale = ids, vectors, scale
         self.lines = np.random.default_rng(seed).normal(size=(vectors.shape[1], PROJECTIONS))
-        values = vectors @ self.lines
+        values = (vectors / scale) @ self.lines
         self.order = [np.argsort(values[:, j], kind="stable") for j in range(PROJECTIONS)]
         self.sorted = [values[o, j] for j, o in enumerate(self.order)]
 
     def search(self, query_id: int, query: np.ndarray, k: int) -> list[tuple[int, float]]:
         """The k nearest verified (id, distance), nearest first."""
         size = len(self.ids)
-        centre = query @ self.lines
+        centre = (query / self.scale) @ self.lines
         low = [int(np.searchsorted(s, c)) for s, c in zip(self.sorted, centre)]
         high = list(low)
         own = self.ids == query_id
         counts, seen = np.zeros(size, dtype=np.int16), own.copy()
-        distances = np.full(size, np.inf)
+        distances, scaled = np.full(size, np.inf), np.full(size, np.inf)
         radius = self._first_radius(centre, k)
         while True:
             half = WIDTH * radius / 2
@@ -65,12 +69,13 @@ class CollisionIndex:
             new = np.flatnonzero((counts >= (0 if everything else COLLISIONS)) & ~seen)
             if len(new):
                 seen[new] = True
-                distances[new] = np.sqrt(np.square(self.vectors[new] - query).sum(axis=1))
-            found = int(np.count_nonzero(distances <= radius))
+                distances[new] = exact(self.vectors[new], query)
+                scaled[new] = distances[new] if self.scale == 1.0 else exact(self.vectors[new] / self.scale, query / self.scale)
+            found = int(np.count_nonzero(scaled <= radius))
             if found >= k or everything:
                 break
             radius *= GROWTH
-        reached = np.flatnonzero(np.isfinite(distances))
+        reached = np.flatnonzero(seen & ~own)
         best = reached[np.lexsort((self.ids[reached], distances[reached]))[:k]]
         return [(int(self.ids[i]), float(distances[i])) for i in best]
 
@@ -82,6 +87,23 @@ class CollisionIndex:
         return max(float(np.median(gaps)) / WIDTH, 1e-9 * float(widest), 1e-300)
 
 
+def exact(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Distances; where squares would leave the doubles, from scaled differences. What is too large for a double is infinite."""
+    with np.errstate(over="ignore", invalid="ignore"):
+        found = np.sqrt(np.square(vectors - query).sum(axis=1))
+        wide = ~np.isfinite(found)
+        if wide.any():
+            largest = np.maximum(np.abs(vectors[wide]).max(axis=1), np.abs(query).max())
+            apart = vectors[wide] / largest[:, None] - query / largest[:, None]
+            found[wide] = largest * np.sqrt(np.square(apart).sum(axis=1))
+        close = found < SMALL
+        if close.any():
+            apart = vectors[close] - query
+            largest = np.maximum(np.abs(apart).max(axis=1), 5e-324)
+            found[close] = largest * np.sqrt(np.square(apart / largest[:, None]).sum(axis=1))
+    return found
+
+
 def usable(vector: str) -> Column:
     x = F.col(vector)
     finite = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
@@ -98,7 +120,9 @@ def nearest(
         F.size(vector).alias("dim"),
         F.coalesce(is_query, F.lit(False)).alias("asks"),
     )
-    sizes = known.agg(F.count("*").alias("n"), F.count_if("asks").alias("q")).first()
+    largest = F.max(F.array_max(F.transform("vector", F.abs)))
+    sizes = known.agg(F.count("*").alias("n"), F.count_if("asks").alias("q"), largest.alias("largest")).first()
+    scale = sizes.largest if sizes.n and sizes.largest > LARGE else 1.0
     row_blocks, query_blocks = max(1, -(-sizes.n // ROWS)), max(1, -(-sizes.q // QUERIES))
     row_block = F.pmod(F.xxhash64("id", F.monotonically_increasing_id()), F.lit(row_blocks))  # repeated rows part as well
     query_block = F.pmod(F.xxhash64("id", "vector", F.lit(1)), F.lit(query_blocks))
@@ -110,7 +134,7 @@ def nearest(
     def search(queries: pd.DataFrame, block: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(queries) and len(block):
-            index = CollisionIndex(block["id"].to_numpy(), np.stack(block["vector"].to_numpy()))
+            index = CollisionIndex(block["id"].to_numpy(), np.stack(block["vector"].to_numpy()), scale)
             for query_id, query in zip(queries["id"], queries["vector"]):
                 out += [(query_id, *hit) for hit in index.search(query_id, np.asarray(query), k)]
         return pd.DataFrame(out, columns=["query_id", "id", "score"]).astype(
