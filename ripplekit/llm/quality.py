@@ -6,8 +6,8 @@ from medians and quartile ranges, the three quarters of the rows that are neares
 by Mahalanobis distance give the next centre and covariance, whose determinant is
 never larger. A step is two aggregations over all rows (a quantile and moments),
 so a group of any size is summed where its rows lie. Groups of fewer than
-``LEAST`` rows use the estimate of their language, or else that of all rows, and
-with fewer rows altogether nothing is an outlier.
+``LEAST`` rows use the estimate of their language, or else that of all rows. An estimate of
+five dimensions needs ``FEWEST`` rows: with fewer altogether nothing is an outlier.
 
 A floor is added to each variance: statistics that are zero in nearly all texts
 would otherwise reject any other value.
@@ -32,7 +32,8 @@ from ripplekit.session import settle
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
-LEAST = 200
+#: Rows a language, or a language and source, needs for an estimate of its own; and the table, for any.
+LEAST, FEWEST = 200, 25
 PART = 0.75
 STEPS = 4
 #: Squared distance beyond which a text is an outlier: the 0.999 quantile of a chi-square of five dimensions.
@@ -137,7 +138,8 @@ def large_pools(rows: DataFrame, by: tuple[str, ...], least: int = LEAST) -> Dat
     """(pool): those with enough rows that passed the base rules."""
     finest = rows.where("NOT failed").groupBy(*by).agg(F.count("*").alias("n"))
     named = finest.select("n", F.explode(F.array(*_pool_names(by))).alias("pool"))
-    return settle(named.groupBy("pool").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("pool"), "pools")
+    enough = F.when(F.col("pool") == _pool_names(by)[0], min(least, FEWEST)).otherwise(least)
+    return settle(named.groupBy("pool").agg(F.sum("n").alias("n")).where(F.col("n") >= enough).select("pool"), "pools")
 
 
 def with_pool(rows: DataFrame, large: DataFrame, by: tuple[str, ...]) -> DataFrame:

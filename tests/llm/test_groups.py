@@ -201,6 +201,27 @@ def test_neighbours_odd_rows(spark):
     assert neighbours.nearest(frame.limit(0), F.col("vec_id") % 20 == 0).count() == 0
 
 
+@pytest.mark.parametrize("size", [1e200, 1e307, 1e-200])
+def test_neighbours_of_very_large_and_small_components(spark, size):
+    rng = np.random.default_rng(4)
+    rows = [(i, (rng.normal(size=6) * size / 10).tolist()) for i in range(60)] + [(60 + i, rng.normal(size=6).tolist()) for i in range(30)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in neighbours.nearest(frame, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    for q in (0, 20, 40, 60, 80):
+        query = np.array(rows[q][1], dtype=np.longdouble)
+        far = sorted((float(np.sqrt(np.square(np.array(v, dtype=np.longdouble) - query).sum())), i) for i, v in rows if i != q)
+        assert [i for i, _ in got[q]] == [i for _, i in far[:10]]
+        assert np.allclose([s for _, s in got[q]], [d for d, _ in far[:10]], rtol=1e-12, atol=0)
+
+
+def test_neighbours_too_far_for_a_double_rank_last(spark):
+    rows = [(0, [1.7e308, 0.0]), (1, [-1.7e308, 0.0]), (2, [-1.7e308, 1.0]), (3, [1.7e308, 1e300])]
+    got = neighbours.nearest(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>"), F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [(r.vec_id, r.score) for r in got] == [(3, 1e300), (1, float("inf")), (2, float("inf"))]
+
+
 def test_repeated_queries_ask_once_and_repeated_rows_part(spark, monkeypatch):
     monkeypatch.setattr(neighbours, "ROWS", 50)
     rows = [(i, [float(i), 1.0]) for i in range(60)]
@@ -434,6 +455,20 @@ def test_outliers_equal_numpy_and_far_ones_go(spark):
     assert np.allclose(have, want, rtol=0.05), np.abs(have / want - 1).max()
 
 
+@pytest.mark.parametrize("size", [30, 100, 300])
+def test_an_outlier_goes_from_tables_of_any_size(spark, size):
+    rng = random.Random(size)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 8))) for _ in range(3000)]
+    rows = [(i, " ".join(rng.choices(vocabulary, k=rng.randint(60, 400))), "en", f"s{i % 7}") for i in range(size)]
+    rows.append((size, " ".join(rng.choice(vocabulary) * 12 + "#$%&|<>" for _ in range(100)), "en", "s"))
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality.judge_quality(frame).collect()}
+    measured = quality.measure(frame, "text").where("NOT failed").select("doc_id", *quality.NAMES).collect()
+    want = mahalanobis(np.array([r[1:] for r in measured]))
+    assert np.allclose([got[r.doc_id].distance for r in measured], want, rtol=0.05)
+    assert [i for i, r in got.items() if not r.kept] == [size]
+
+
 def test_labelled_poor_texts_go(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality")
