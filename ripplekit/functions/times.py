@@ -97,15 +97,22 @@ def bucket(ts: Column, interval: str = "h") -> Column:
     return hour_floor(ts)
 
 
-def bucket_grid(first: Column, last: Column, interval: str) -> Column:
-    """Every bucket from ``first`` to ``last``, as an array.
+def day_grid(first: Column, last: Column) -> Column:
+    """Every day from ``first`` to ``last``, as an array; each may then have its own ``bucket_grid``."""
+    return F.sequence(F.date_trunc("day", first).cast("timestamp_ntz"), last, F.make_dt_interval(F.lit(1)))
+
+
+def bucket_grid(first: Column, last: Column, interval: str, day: Column) -> Column:
+    """Every bucket from ``first`` to ``last`` that begins with an hour of ``day``, as an array: 1,500 at most.
 
     Buckets of ``N`` minutes start anew each hour, as ``bucket`` makes them.
     """
     spec = interval.lower()
     if spec == "d":
-        return F.sequence(first, last, F.make_dt_interval(F.lit(1)))
-    hours = F.sequence(hour_floor(first), hour_floor(last), F.make_dt_interval(F.lit(0), F.lit(1)))
+        return F.array(day)
+    begin = F.greatest(hour_floor(first), day)
+    end = F.least(hour_floor(last), day + F.make_dt_interval(F.lit(0), F.lit(23)))
+    hours = F.sequence(begin, end, F.make_dt_interval(F.lit(0), F.lit(1)))
     if not spec.endswith("m"):
         return hours
     n = int(spec[:-1])

@@ -20,9 +20,13 @@ def with_tokens(df: DataFrame, column: str, name: str = "token_set") -> DataFram
     return df.withColumn(name, F.array_sort(F.array_distinct(tokens(F.col(column)))))
 
 
-def build_postings(docs: DataFrame, doc_id: str, text: str, keep: tuple[str, ...] = ()) -> DataFrame:
+def build_postings(docs: DataFrame, doc_id: str, text: str, keep: tuple[str, ...] = (), spread: int | None = None) -> DataFrame:
     """One row per (term, document) with its count; counted inside each row, so
-    the build is a single narrow stage over the documents."""
+    the build is a single narrow stage over the documents.
+
+    ``spread`` deals the documents to so many tasks first, for tables of fewer row groups than cores."""
+    if spread:
+        docs = docs.select(doc_id, *keep, text).repartition(spread)
     counted = term_counts(tokens(F.col(text)))
     return docs.select(F.col(doc_id).alias("doc_id"), *keep, F.explode(counted).alias("p")).select(
         F.col("p.term").alias("term"), "doc_id", *keep, F.col("p.tf").alias("tf")

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ripplekit.functions.text import last_components
-from ripplekit.functions.times import bucket, bucket_grid, epoch
+from ripplekit.functions.times import bucket, bucket_grid, day_grid, epoch
 from ripplekit.operators.aggregates import rank_reposted, repost_pairs, top_links, trend, with_reposters
 from ripplekit.operators.filters import drop_spam, filter_lists, flag_spam, in_period, reposts
 from ripplekit.operators.joins import add_geo, hydrate, lookup, mention_rows, resolve_mentions, resolve_urls
@@ -90,7 +90,7 @@ def trend_series(
     """Trend with every empty bucket between first and last filled with zeros.
 
     Starts at ``since`` when given, else at the first repost.  The filler rows
-    are bounded by period over interval, for each original.
+    are bounded by period over interval, for each original; they come day by day, so no array is longer than a day.
     """
     rts = reposts(posts)
     if since is not None:
@@ -105,8 +105,9 @@ def trend_series(
     span = counted.groupBy("retweeted_status").agg(
         first.alias("_first"), F.max("time").alias("_last")
     )
-    grid = bucket_grid(F.col("_first"), F.col("_last"), interval)
-    zeros = span.select(
+    days = span.select("*", F.explode(day_grid(F.col("_first"), F.col("_last"))).alias("_day"))
+    grid = bucket_grid(F.col("_first"), F.col("_last"), interval, F.col("_day"))
+    zeros = days.select(
         "retweeted_status", F.explode(grid).alias("time"),
         F.lit(0).cast("bigint").alias("count"), F.lit(0).cast("bigint").alias("users"),
     )
