@@ -125,7 +125,7 @@ class Shard:
         ids = np.concatenate(self.parts)
         langs = np.repeat(*np.array(self.of, dtype=np.uint32).T)
         for at in range(0, len(ids), SHARD):
-            yield ids[at : at + SHARD + length - 1], langs[at : at + SHARD]
+            yield ids[at : at + SHARD + length - 1], langs[at : at + SHARD + length - 1]
 
 
 # The filter: a phrase's hash is made from its words' one after the other.
@@ -195,25 +195,31 @@ def count_words(texts: DataFrame) -> DataFrame:
     return found.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
 
 
+def passing(ids: np.ndarray, of: np.ndarray, shard: Shard, length: int, bits: np.ndarray) -> np.ndarray:
+    """For each place of a block, whether the filter lets the phrase of that length through that begins there."""
+    _, word_hashes, _, lang_hashes = shard.reader.known()
+    starts = max(0, len(ids) - length + 1)
+    found, state = word_hashes[ids], lang_hashes[of[:starts]]
+    solid = np.ones(starts, dtype=bool)
+    for i in range(length):
+        state = _mixed(state, found[i : i + starts])
+        solid &= ids[i : i + starts] != BREAK
+    solid[solid] = passes(bits, state[solid])
+    return solid
+
+
 def counted(
-    ids: np.ndarray, of: np.ndarray, shard: Shard, length: int, bits: np.ndarray, shorter: int
+    ids: np.ndarray, of: np.ndarray, shard: Shard, length: int, parts: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """A block's phrases of that length of which the filter lets every part of ``shorter`` words through, sorted:
+    """A block's phrases of that length all of whose shorter phrases pass (``parts``, by ``passing``), sorted:
     rows of places in the sorted words (the language first), their counts, and the words."""
-    words, word_hashes, langs, lang_hashes = shard.reader.known()
+    words, _, langs, _ = shard.reader.known()
     starts = len(ids) - length + 1
-    if starts <= 0:
-        return np.empty((0, length + 1), np.int64), np.empty(0, np.int64), []
-    of, solid = of[:starts], ids != BREAK
-    begin = solid[:starts].copy()
-    for i in range(1, length):
-        begin &= solid[i : i + starts]
+    shifts = len(parts) - starts + 1  # shorter phrases in one of that length
+    begin = parts[:starts].copy() if starts > 0 else np.empty(0, bool)
+    for i in range(1, shifts if starts > 0 else 0):
+        begin &= parts[i : i + starts]
     at = np.flatnonzero(begin)
-    for shift in range(length - shorter, -1, -1):
-        state = lang_hashes[of[at]]
-        for i in range(shorter):
-            state = _mixed(state, word_hashes[ids[at + shift + i]])
-        at = at[passes(bits, state)]
     if not len(at):
         return np.empty((0, length + 1), np.int64), np.empty(0, np.int64), []
     columns = [ids[at + i] for i in range(length)]
@@ -227,6 +233,17 @@ def counted(
     return rows, np.bincount(number), known
 
 
+def block_tables(
+    shard: Shard, lengths: tuple[int, ...], shorter: int, bits: np.ndarray
+) -> Iterator[tuple[int, tuple[np.ndarray, np.ndarray, list[bytes]]]]:
+    """(length, what ``counted`` makes) of each of a shard's blocks."""
+    for ids, of in shard.blocks(lengths[-1]):
+        parts = passing(ids, of, shard, shorter, bits)
+        for length in lengths:
+            room = min(len(ids), SHARD + length - 1)  # what begins later is the next block's
+            yield length, counted(ids[:room], of[:room], shard, length, parts[: max(0, room - shorter + 1)])
+
+
 def count_phrases(
     texts: DataFrame, lengths: tuple[int, ...], bits: np.ndarray, shorter: int, cuts: list[tuple[bytes, bytes]], least: int
 ) -> DataFrame:
@@ -236,11 +253,8 @@ def count_phrases(
     def work(rows):
         bits, cuts = held.value
         for shard in Reader().shards(rows):
-            for length in lengths:
-                for ids, of in shard.blocks(length):
-                    found, counts, known = counted(ids, of, shard, length, bits, shorter)
-                    if not len(found):
-                        continue
+            for length, (found, counts, known) in block_tables(shard, lengths, shorter, bits):
+                if len(found):
                     new = np.flatnonzero(np.r_[True, (found[1:, :2] != found[:-1, :2]).any(axis=1)])
                     part = [bisect_right(cuts, (known[a], known[b])) for a, b in found[new, :2].tolist()]
                     bounds = [i for i, p in enumerate(part) if not i or p != part[i - 1]]

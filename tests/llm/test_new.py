@@ -138,6 +138,26 @@ def collocated(frame, least, top=2000):
     return sorted(tuple(r) for r in phrases.collocations(frame, least, top).collect())
 
 
+def test_blocks_of_any_size_give_each_phrase_once():
+    """Several lengths in one pass, whatever the blocks' borders."""
+    rng = random.Random(3)
+    said = [rng.choice(["a", "b", "c", ","]) for _ in range(60)]
+    pieces = [p.split() for p in " ".join(said).split(",")]
+    old = phrases.SHARD
+    try:
+        for phrases.SHARD in range(1, 70):
+            got = Counter()
+            for shard in phrases.Reader().shards(iter([("en", " ".join(said))])):
+                full = np.full(1 << (phrases.FILTER - 6), np.iinfo(np.uint64).max)
+                for n, row in phrases.block_tables(shard, (4, 5), 3, full):
+                    for labels, count in zip(*row[:2]):
+                        got[tuple(row[2][i].decode() for i in labels[1:])] += int(count)
+            want = Counter(tuple(p[i : i + n]) for p in pieces for n in (4, 5) for i in range(len(p) - n + 1))
+            assert got == want, phrases.SHARD
+    finally:
+        phrases.SHARD = old
+
+
 @pytest.mark.parametrize("shard", [7, 2_000_000])
 def test_phrases_equal_brute_force(spark, shard, monkeypatch):
     monkeypatch.setattr(phrases, "STRIDE", 3)
@@ -169,7 +189,8 @@ def test_small_shards_give_the_same_counts():
         for shard in phrases.Reader().shards(iter([("en", text), ("en", "x")])):
             for ids, of in shard.blocks(3):
                 full = np.full(1 << (phrases.FILTER - 6), np.iinfo(np.uint64).max)
-                rows, counts, known = phrases.counted(ids, of, shard, 3, full, 2)
+                parts = phrases.passing(ids, of, shard, 2, full)
+                rows, counts, known = phrases.counted(ids, of, shard, 3, parts)
                 for row, n in zip(rows.tolist(), counts.tolist()):
                     got[tuple(known[i].decode() for i in row[1:])] += n
         assert got == want
