@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -41,6 +42,12 @@ URLS = {
     "http://É.com/fr/": ("É.com", "/fr/", "com/fr/", "allow"),
     "a://b://c/d": ("b:", "//c/d", None, "allow"),
     "http://x.net/en/7/": ("x.net", "/en/7/", None, "block"),
+    "http://x.net/en/7/\n": ("x.net", "/en/7/\n", None, "allow"),
+    "http://écasino.net/": ("écasino.net", "/", None, "block"),
+    "http://a_casino.net/": ("a_casino.net", "/", None, "allow"),
+    "http://casino": ("casino", "", None, "allow"),
+    "http://cheap.x.info/": ("cheap.x.info", "/", None, "block"), "http://cheap.x.de/": ("cheap.x.de", "/", None, "allow"),
+    "http://docs.x.net/en/7/": ("docs.x.net", "/en/7/", None, "allow"),
     "no scheme": ("", "", None, "allow"), "": ("", "", None, "allow"), None: ("", "", None, "allow"),
 }
 
@@ -54,16 +61,46 @@ def test_urls_one_by_one(spark):
     assert url_filter.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_urls_one_by_one_by_sql(spark):
+    pages = pa.table({"page_id": list(range(len(URLS))), "url": list(URLS)})
+    con = duckdb.connect()
+    con.register("pages", pages)
+    got = con.sql(f"SELECT page_id, host, path, rule, verdict FROM ({oracle_sql()['op2_url_filter']}) ORDER BY page_id").fetchall()
+    assert got == [(i, *v) for i, v in enumerate(URLS.values())]
+
+
 def test_no_rules_allow_every_url(spark):
     pages = spark.createDataFrame([(1, "http://x.com/de/")], "page_id bigint, url string")
-    assert [r.verdict for r in url_filter.judge_urls(pages, (), ()).collect()] == ["allow"]
+    none = spark.createDataFrame([], url_filter.RULE)
+    assert [r.verdict for r in url_filter.judge_urls(pages, none).collect()] == ["allow"]
 
 
-def test_rules_are_stored_under_their_rarest_token(spark):
+def test_rules_are_stored_under_their_rarest_choice(spark):
     tokens = spark.createDataFrame([(t,) for t in ["org"] * 5 + ["example"] * 3 + ["es"] * 9 + ["en"]], "token string")
-    rules = url_filter.rule_table(spark, url_filter.SITES, url_filter.PATTERNS)
-    got = {r["name"]: r.token for r in url_filter.indexed(rules, tokens).collect()}
-    assert got["example.org/es/"] == "example" and got["example.org/en/1"] == "en" and got["short-pages"] == ""
+    loose = url_filter.PatternRule("loose", "a|b", "block", ())
+    rules = url_filter.rule_table(spark, patterns=(*url_filter.PATTERNS, loose))
+    got = {}
+    for r in url_filter.indexed(rules, tokens).collect():
+        got.setdefault(r["name"], set()).add(r.token)
+    assert got["example.org/es/"] == {"example"} and got["example.org/en/1"] == {"en"} and got["loose"] == {""}
+    assert got["short-pages"] == {"en", "fr", "de", "es"} and got["help-pages"] == {"docs", "help"}
+
+
+def test_thousands_of_site_rules_equal_brute_force(spark):
+    rng = random.Random(5)
+    word = lambda: rng.choice(["a", "bc", "shop", "x1", "news", "é", "a-b", "Zed", "c++", "$"])
+    hosts = [".".join(word().lower() for _ in range(rng.randint(1, 3))) for _ in range(3000)]
+    sites = {(h, "/" + "/".join(word() for _ in range(rng.randint(0, 3)))): rng.choice(["allow", "block"]) for h in hosts}
+    rows = [(h, p, v) for (h, p), v in sites.items()]
+    rules = url_filter.site_rules(spark.createDataFrame(rows + rows[:50] + [(None, "/", "block"), ("a", "/", None)], "host string, path string, verdict string"))
+    urls = [f"http://{'.'.join(word().lower() for _ in range(rng.randint(1, 4)))}/{'/'.join(word() for _ in range(rng.randint(0, 4)))}" for _ in range(1500)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id bigint, url string")
+    got = {r.page_id: (r.rule, r.verdict) for r in url_filter.judge_urls(pages, rules).collect()}
+    for i, url in enumerate(urls):
+        host, _, path = url[7:].partition("/")
+        fits = [(len(h + p), h + p, v) for h, p, v in rows if (host == h or host.endswith("." + h)) and ("/" + path).startswith(p)]
+        assert got[i] == (max(fits)[1:] if fits else (None, "allow")), url
+    assert sum(r is not None for r, _ in got.values()) > 500
 
 
 # ---- packing
@@ -305,6 +342,29 @@ def test_links_over_chains_and_shards(spark, radius):
         assert {roots.get(m, m) for m in members} == {min(members)}
 
 
+LINKS = {
+    "none": [],
+    "stars already": [(9, 1), (8, 1), (7, 2)],
+    "one node under two": [(9, 1), (9, 2)],
+    "a root that is a leaf": [(9, 5), (5, 1)],
+    "a path": [(i, i + 1) for i in range(40)],
+    "a mixed path, either way and repeated": [(i * 7 % 31, (i + 1) * 7 % 31) for i in range(30)] * 2 + [(3, 3)],
+}
+
+
+@pytest.mark.parametrize("links", LINKS.values(), ids=LINKS)
+def test_components_of_links(spark, links):
+    got = {r.node: r.root for r in simhash.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()}
+    pairs = {frozenset(x) for x in links}
+    want = {}
+    for node in {n for x in links for n in x}:
+        reached, grown = {node}, None
+        while reached != grown:
+            grown, reached = reached, reached | {n for p in pairs if p & reached for n in p}
+        want[node] = min(reached)
+    assert got == {n: r for n, r in want.items() if n != r}
+
+
 # ---- shards
 
 
