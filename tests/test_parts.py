@@ -227,6 +227,29 @@ def test_a_day_indexed_twice_counts_once(spark, posts):
     assert rows(table.read().select(found.columns)) == rows(found.where(F.col("inserted") != days[0]))
 
 
+def test_many_blocks_lie_on_few_shelves(spark):
+    """Folders do not grow with the length of time; shelves of several batches overlap and searches still find the newest."""
+    rng = random.Random(8)
+    data = [(i, " ".join(rng.choices(WORDS, k=3)), i % 4, rng.randrange(50_000), dt.date(2024, 1, 1 + i % 3)) for i in range(3000)]
+    df = spark.createDataFrame(data, "id bigint, text string, user_id bigint, secs bigint, stored date")
+    found = SI.postings(df, "id", "text", "secs", "user_id", "stored", span=10)
+    assert found.select("part").distinct().count() > 1000
+    table = SI.IndexTable(spark, shared_dir(spark, "index"), shelves=8)
+    for batch, day in enumerate([dt.date(2024, 1, d) for d in (1, 2, 3, 2)]):
+        SI.index_day(table, found, day, batch)
+    assert len(table.folders()) <= 4 * 8
+    assert rows(table.read().select(found.columns)) == rows(found)
+    for case in ({}, {"start": 20_000, "end": 30_000, "users": [2]}, {"end": 777}):
+        want = brute_hits(data, "cat mat", **case)
+        for k, offset in ((5, 0), (30, 40)):
+            got = [tuple(r) for r in SI.newest_hits(table, "cat mat", k, offset=offset, span=10, **case).collect()]
+            assert got == want[offset : offset + k]
+        assert SI.all_hits(table, "cat mat", span=10, **case).count() == len(want)
+    whole = SI.index_table(spark, shared_dir(spark, "index"))
+    whole.add(found, 0)
+    assert len(whole.folders()) <= SI.SHELVES and rows(whole.read().select(found.columns)) == rows(found)
+
+
 def test_times_as_seconds(spark):
     df = spark.sql("SELECT 1 id, 'a' text, 1 user_id, TIMESTAMP_NTZ '1970-01-02 00:00:01.9' ntz, TIMESTAMP '1970-01-02 00:00:01' ts")
     assert {SI.postings(df, "id", "text", c, "user_id").first()["at"] for c in ("ntz", "ts")} == {86401}
