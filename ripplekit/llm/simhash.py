@@ -87,8 +87,11 @@ class BkTree:
         return [node[0] for node in found]
 
 
-def linked(values: list[int], radius: int) -> list[tuple[int, int]]:
-    """(member, smallest) of every component of two or more among distinct fingerprints."""
+def linked(values: list[int], radius: int, direct: bool = False) -> list[tuple[int, int]]:
+    """(member, smallest) of every component of two or more among distinct fingerprints.
+
+    ``direct`` gives (member, the one it was reached from), which are within the radius of each other.
+    """
     if len(values) == 2:
         a, b = sorted(values)
         return [(b, a)] if (a ^ b).bit_count() <= radius else []
@@ -98,16 +101,21 @@ def linked(values: list[int], radius: int) -> list[tuple[int, int]]:
         if seed in reached:
             continue
         group = tree.take(seed, radius)
+        links += [(value, seed) for value in group if value != seed]
         for value in group:  # grows while it is walked
             if value != seed:
-                links.append((value, seed))
-                group += tree.take(value, radius)
+                more = tree.take(value, radius)
+                links += [(other, value if direct else seed) for other in more]
+                group += more
         reached.update(group)
     return links
 
 
-def shard_links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
-    """(a, b): links that join up, shard by shard, the fingerprints (column ``fp``) of each component; b is smaller."""
+def shard_links(fingerprints: DataFrame, radius: int = RADIUS, direct: bool = False) -> DataFrame:
+    """(a, b): links that join up, shard by shard, the fingerprints (column ``fp``) of each component; b is smaller.
+
+    ``direct`` gives links within the radius only, either end the smaller.
+    """
     blocks = radius + 2
     edges = [BITS * i // blocks for i in range(blocks + 1)]
     value = F.col("fp")
@@ -135,7 +143,7 @@ def shard_links(fingerprints: DataFrame, radius: int = RADIUS) -> DataFrame:
             done = len(first) - (batch is not None)  # the last shard may go on in the next batch
             links = []
             for k in np.flatnonzero(size[:done] > 1):
-                links += linked(values[first[k] : first[k] + size[k]].view(np.uint64).tolist(), radius)
+                links += linked(values[first[k] : first[k] + size[k]].view(np.uint64).tolist(), radius, direct)
             keep = first[done] if done < len(first) else len(shards)
             shards, values = shards[keep:], values[keep:]
             pairs = np.array(links, dtype=np.uint64).reshape(-1, 2).view(np.int64)

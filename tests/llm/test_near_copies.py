@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from ripplekit.llm import near_copies
+from ripplekit.llm import near_copies, simhash
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -93,6 +93,43 @@ def test_leaders_meet_their_pairs_in_parts(spark):
         assert sorted(tuple(r) for r in near_copies.checked(pairs, bodies, 0.8, 5, share).collect()) == want
 
 
+def test_similarity_hashes_come_first(spark, monkeypatch):
+    """The trees' own pairs, checked, link lightly edited copies, without minimum hashes."""
+    rng = random.Random(5)
+    base = rng.choices([f"word{i}" for i in range(3000)], k=2000)
+    texts = [" ".join([*base[:i], f"new{i}", *base[i + 1 :]]) for i in range(0, 2000, 200)] + ["other " + " ".join(rng.choices(base, k=90))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    monkeypatch.setattr(near_copies, "keys", lambda found: [])  # no buckets
+    roots = {r.node: r.root for r in near_copies.near_copies(docs).collect()}
+    copies = [r.copy for r in docs.orderBy("doc_id").select(near_copies.copy_id(F.col("text")).alias("copy")).collect()]
+    assert len({roots.get(c, c) for c in copies[:-1]}) == 1 and copies[-1] not in roots
+
+
+def test_direct_links_are_within_the_radius():
+    rng = random.Random(6)
+    values = [rng.getrandbits(64)]
+    for _ in range(300):
+        values.append(rng.choice(values) ^ (1 << rng.randrange(64)) ^ (1 << rng.randrange(64)))
+    values = sorted(set(values))
+    links = simhash.linked(values, 4, direct=True)
+    assert all((a ^ b).bit_count() <= 4 for a, b in links)
+    by = lambda found: components([(v, "") for v in values], found)
+    assert by(links) == by(simhash.linked(values, 4))
+
+
+def test_texts_are_dealt_out_once_to_be_chosen(spark):
+    """The rows' own texts cross one exchange, not one for the join and one for repeats."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(i, f"{i} " + " ".join(f"w{i}x{j}" for j in range(50)), "en", "s", 1) for i in range(20)] * 2
+        docs = spark.createDataFrame(rows, DOCUMENTS)
+        kept = corpus_pipeline.one_of_each(spark, docs, "")
+        tops = kept._jdf.queryExecution().executedPlan().toString().split("LeftSemi")[0]
+        assert "Exchange" not in tops and kept.count() == 20
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_odd_tables(spark, odd, none, clashing):
     """Texts without words are alike; short ones are alike if equal but for case and space; columns do not clash."""
     clash = clashing.withColumns({c: F.lit(1) for c in ("copy", "body", "bucket", "comp", "node", "root")})
