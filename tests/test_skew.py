@@ -9,6 +9,8 @@ from helpers import plan, rows
 from ripplekit.operators import aggregates as A
 from ripplekit.operators import joins as J
 from ripplekit.plans import reports as R
+from ripplekit.plans.roles import Roles
+from ripplekit.session import shared_dir
 
 
 @pytest.fixture(scope="module")
@@ -104,3 +106,27 @@ def test_chunks_are_bounded_whatever_the_ids(spark, hot, step):
     chunks = A.collect_reposts(spaced, users, chunk=1000)
     sizes = chunks.agg(F.max(F.size("ids")).alias("most"), F.sum(F.size("ids")).alias("all")).first()
     assert sizes.most <= 1000 and sizes.all == posts.filter("retweeted_status IS NOT NULL").count()
+
+
+def test_posts_that_repost_nothing_are_dealt_out(spark):
+    """They do not meet in one task when originals are joined, and no id, negative or repeated, makes one up."""
+    events = spark.range(-500, 3500).selectExpr(
+        "id event_id", "timestamp_ntz '2024-01-01' ts", "id % 9 user_id", "CASE WHEN id % 50 = 0 THEN 'view' ELSE 'signup' END event_type",
+        "1d value", "concat('{\"k\": ', abs(id % 40), '}') props")
+    path = shared_dir(spark, "events")
+    events.union(events.where("event_id = 7")).write.parquet(f"{path}/events.parquet")
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        t = Roles(spark, path)
+        found = t.status.select("id", "retweeted_status", "o_user_id", F.spark_partition_id().alias("task")).collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    user = {r.id: r.user_id for r in t.posts.collect()}
+    assert len(found) == 4001 and sum(r.retweeted_status is not None for r in found) > 50
+    assert all(r.o_user_id == (None if r.retweeted_status is None else user.get(r.retweeted_status)) for r in found)
+    tasks = [r.task for r in found]
+    assert max(map(tasks.count, set(tasks))) < 2500
