@@ -44,28 +44,34 @@ def parse_pubdate(text: Column) -> Column:
     name of RFC 822, or a name the JVM knows; with any other the date is null.
     """
     pattern = r"^(?:\w{3},\s*)?(\d{1,2} \w{3}) (\d{4}|\d{2}) ([\d:]{5,8})\s+(\S+)$"
-    day, year, time, zone = (F.regexp_extract(text, pattern, i) for i in range(1, 5))
-    century = F.when(F.length(year) == 4, "").when(year >= "70", "19").otherwise("20")
-    stated = F.concat(day, F.lit(" "), century, year, F.lit(" "), time)
-    wall = parse_first(stated, ["d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm"])
-    digits = F.regexp_extract(zone, r"^[+-](\d{2})(\d{2})$", 1).try_cast("int") * 60 + F.regexp_extract(
-        zone, r"^[+-](\d{2})(\d{2})$", 2
-    ).try_cast("int")
-    names = F.create_map(*[F.lit(x) for pair in RFC822_ZONES.items() for x in pair])
-    offset = F.coalesce(
-        F.when(zone.startswith("-"), -digits).otherwise(digits), F.try_element_at(names, F.upper(zone))
-    )
-    zoned = F.concat(stated, F.lit(" "), zone)
-    formats = [f"d MMM yyyy {clock} {name}" for clock in ("HH:mm:ss", "HH:mm") for name in ("z", "VV")]
-    named = F.coalesce(*[F.try_to_timestamp(zoned, F.lit(f)) for f in formats])
-    instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), named.cast("timestamp_ntz"))
+    found = F.struct(*[F.regexp_extract(text, pattern, i).alias(n) for i, n in enumerate(("day", "year", "time", "zone"), 1)])
+
+    def stated_at(part: Column) -> Column:
+        day, year, time, zone = (part[n] for n in ("day", "year", "time", "zone"))
+        century = F.when(F.length(year) == 4, "").when(year >= "70", "19").otherwise("20")
+        stated = F.concat(day, F.lit(" "), century, year, F.lit(" "), time)
+        wall = parse_first(stated, ["d MMM yyyy HH:mm:ss", "d MMM yyyy HH:mm"])
+        digits = F.regexp_extract(zone, r"^[+-](\d{2})(\d{2})$", 1).try_cast("int") * 60 + F.regexp_extract(
+            zone, r"^[+-](\d{2})(\d{2})$", 2
+        ).try_cast("int")
+        names = F.create_map(*[F.lit(x) for pair in RFC822_ZONES.items() for x in pair])
+        offset = F.coalesce(
+            F.when(zone.startswith("-"), -digits).otherwise(digits), F.try_element_at(names, F.upper(zone))
+        )
+        zoned = F.concat(stated, F.lit(" "), zone)
+        formats = [f"d MMM yyyy {clock} {name}" for clock in ("HH:mm:ss", "HH:mm") for name in ("z", "VV")]
+        named = F.coalesce(*[F.try_to_timestamp(zoned, F.lit(f)) for f in formats])
+        instant = F.convert_timezone(F.current_timezone(), F.lit("UTC"), named.cast("timestamp_ntz"))
+        return F.coalesce(
+            wall - F.make_dt_interval(F.lit(0), F.lit(0), offset), F.when(zone.rlike("^[A-Za-z]"), instant)
+        )
+
     fallback = parse_first(
         F.replace(text, F.lit("/"), F.lit("-")), ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd HH:mm", "yyyy-MM-dd"]
     )
+    # The parts are bound by a one-element ``transform``, so that the pattern is not run again for each use.
     return F.coalesce(
-        wall - F.make_dt_interval(F.lit(0), F.lit(0), offset),
-        F.when(zone.rlike("^[A-Za-z]"), instant),
-        fallback - F.make_dt_interval(F.lit(0), F.lit(8)),
+        F.get(F.transform(F.array(found), stated_at), F.lit(0)), fallback - F.make_dt_interval(F.lit(0), F.lit(8))
     )
 
 

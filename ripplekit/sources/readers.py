@@ -112,12 +112,17 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
 def _rss_items(df: DataFrame, xml: str) -> DataFrame:
     items = F.regexp_extract_all(F.col(xml), F.lit(r"(?s)(<item\b.*?</item>)"), F.lit(1))
     keep = [c for c in df.columns if c != xml]
+
+    def once(value: Column) -> Column:
+        """Out of a generator, so that filters and fields further up do not copy the parsing."""
+        return F.explode(F.array(value))
+
     return (
         df.select(*keep, F.explode(items).alias("item"))
-        .select(*keep, F.from_xml("item", RSS_ITEM_SCHEMA).alias("item"))
+        .select(*keep, once(F.from_xml("item", RSS_ITEM_SCHEMA)).alias("item"))
         .select(*keep, "item.*")
         .withColumnRenamed("pubDate", "written")
-        .withColumn("pubdate", parse_pubdate(F.col("written")))
+        .select("*", once(parse_pubdate(F.col("written"))).alias("pubdate"))
     )
 
 

@@ -236,3 +236,16 @@ def test_trend_has_no_gaps(spark, sf):
             series.sort()
             assert all((b[0] - a[0]).total_seconds() == seconds for a, b in zip(series, series[1:]))
         assert sum(c for s in by_post.values() for _, c in s) == total
+
+
+def test_feeds_are_parsed_once(spark):
+    """Filters on the date and the fields asked for do not copy the parsing of an item."""
+    feed = "<rss><item><title>a</title><pubDate>Sat, 01 Jan 11 10:00:00 +0800</pubDate></item><item><title>b</title></item></rss>"
+    df = spark.createDataFrame([(1, feed), (2, None)], "blog int, feed string")
+    for found, want in (
+        (RD.read_rss(df, "feed").select("blog", "title", "pubdate"), [(1, "a", dt.datetime(2011, 1, 1, 2))]),
+        (RD.undated_items(df, "feed").select("blog", "title", "written"), [(1, "b", None)]),
+    ):
+        text = found._jdf.queryExecution().optimizedPlan().toString()
+        assert text.count("from_xml") == 1 and text.count("regexp_extract(") <= 8
+        assert rows(found) == want
