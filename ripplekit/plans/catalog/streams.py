@@ -6,7 +6,7 @@ from ripplekit.plans.catalog.base import query
 from ripplekit.plans.catalog.joining import CUT_SQL, GROWTH_SQL
 from ripplekit.plans.catalog.keyed_state import DECISION_SQL
 from ripplekit.plans.roles import TABLE_SCHEMAS
-from ripplekit.session import shared_dir
+from ripplekit.session import settle, shared_dir
 from ripplekit.sources.parts import KeyedTable, unfolded
 from ripplekit.streaming import streams as ST
 
@@ -59,6 +59,8 @@ def _(t):
 
 def in_files(t, rows, order, files=4):
     """A stream of rows that come as several files, in order, one micro-batch each."""
+    # Written once by all tasks; the one task that writes a file then reads these columns only.
+    rows = settle(rows, "in-order")
     path, last = shared_dir(t.spark, "files"), rows.agg(F.max(order)).scalar()
     for n in range(files):
         mine = rows.filter(F.col(order) > last * n / files if n else F.lit(True)).filter(F.col(order) <= last * (n + 1) / files)

@@ -1,5 +1,6 @@
 """Streams give the batch result, over several micro-batches and after a replay."""
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -7,6 +8,7 @@ from helpers import rows
 from ripplekit.operators import joins as J
 from ripplekit.operators import watch as W
 from ripplekit.operators import windows as W2
+from ripplekit.plans.catalog import streams as streams_catalog
 from ripplekit.plans.roles import Roles
 from ripplekit.session import shared_dir
 from ripplekit.sources.parts import KeyedTable, unfolded
@@ -155,6 +157,25 @@ def test_pages_stop_where_the_batch_stops(spark, files):
     assert 0 < want.count() < 120
 
 
+def test_newest_first_equals_a_full_sort():
+    times = lambda *hours: pd.to_datetime([h and f"2024-01-01 {h:02d}:00:00" for h in hours])
+    for hours, ids in (((3, 5, 4), (1, 2, 3)), ((5, 5, 4), (1, 2, 3)), ((4, None, 5), (1, 2, 3)), ((None,), (1,)), ((7,), (1,)), ((5, 5), (2, 2))):
+        frame = pd.DataFrame({"at": times(*hours), "id": ids, "n": range(len(ids))})
+        want = frame.sort_values(["at", "id"], ascending=False)
+        for frames in ([frame], [frame.iloc[:1], frame.iloc[1:]]):
+            assert ST.newest_first(frames, "at", "id").equals(want)
+
+
+def test_files_of_a_stream_are_cut_from_one_written_table(spark, sf, monkeypatch):
+    """What the rows are made from is read once, by all tasks, and not again by the one task of each file."""
+    t = Roles(spark, sf)
+    made = t.posts.select("id", "user_id").withColumn("turn", F.col("id") % 100)
+    kept, settle = [], streams_catalog.settle
+    monkeypatch.setattr(streams_catalog, "settle", lambda df, purpose: kept.append(settle(df, purpose)) or kept[-1])
+    files = streams_catalog.in_files(t, made, "turn", 5)
+    assert len(kept) == 1 and rows(kept[0]) == rows(made) and files.isStreaming
+
+
 def test_a_folded_log_stays_short(spark):
     schema = "id bigint, name string, seq int"
     frames = [spark.createDataFrame([(n % 3, f"v{n}", n), (10 + n, "x", n)], schema) for n in range(7)]
