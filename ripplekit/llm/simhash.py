@@ -27,13 +27,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ripplekit.llm.common import map_rows
-from ripplekit.session import settle
+from ripplekit.llm.common import map_rows, map_stream
+from ripplekit.session import Scratch, settle
 
 BITS = 64
 SHINGLE = 4
 RADIUS = 4
 SEED = 42
+NODES = 1 << 18  # linked in a task's memory at a time
 _hash = partial(xxhash.xxh64_intdigest, seed=SEED)
 
 
@@ -152,18 +153,45 @@ def shard_links(fingerprints: DataFrame, radius: int = RADIUS, direct: bool = Fa
     return dealt.select("shard", "fp").mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def components(links: DataFrame) -> DataFrame:
+def contracted(links: DataFrame, most: int = NODES) -> DataFrame:
+    """Links (a, b) that join up what these do: those of a task, ``most`` nodes at a time, as stars around the smallest node."""
+
+    def work(rows):
+        above: dict[int, int] = {}
+
+        def top(node):
+            while (up := above.setdefault(node, node)) != node:
+                above[node], node = above[up], up
+            return node
+
+        def stars():
+            return [(node, least) for node in above if (least := top(node)) != node]
+
+        for a, b in rows:
+            one, two = top(a), top(b)
+            above[max(one, two)] = min(one, two)
+            if len(above) >= most:
+                yield from stars()
+                above.clear()
+        yield from stars()
+
+    return map_stream(links.select("a", "b"), work, "a bigint, b bigint")
+
+
+def components(links: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """(node, root): the smallest node reachable over the links (a, b), by large and small stars.
 
-    Each round joins every node's larger neighbours, then its smaller ones, to the smallest, and is
-    written to the shared folder; it ends when every node has one link, to a node that has none of its own.
+    Each round contracts the links of every task, then joins every node's larger neighbours, then its smaller
+    ones, to the smallest. What it writes to the shared folder, the next round deletes; ``scratch`` holds the last
+    ``links``, which the result reads. It ends when every node has one link, to a node that has none of its own.
     """
+    scratch = scratch or Scratch(links.sparkSession)
 
     def stars(edges: DataFrame, larger: bool) -> DataFrame:
         both = edges.union(edges.select("b", "a")) if larger else edges
         least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
         if larger:  # the smallest node of a large component has all its links; beside a table Spark can split them
-            least = settle(least, "least")
+            least = scratch.keep(least, "least")
         joined = both.join(least, "a")
         if larger:
             return joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -174,11 +202,20 @@ def components(links: DataFrame) -> DataFrame:
         ends = edges.select("a", F.lit(1).alias("up"), F.lit(0).alias("down"))
         ends = ends.union(edges.select("b", F.lit(0), F.lit(1)))
         nodes = ends.groupBy("a").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-        return not nodes.where("up > 1 OR (up = 1 AND down = 1)").isEmpty()
-
-    edges = settle(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct(), "links")
-    while unfinished(edges):
-        edges = settle(stars(stars(edges, True), False), "links")
+        left = scratch.keep(nodes.where("up > 1 OR (up = 1 AND down = 1)").select("a"), "left")  # written, so that its shuffle goes
+        found = not left.isEmpty()
+        scratch.forget("left")
+        return found
+
+    def written(edges: DataFrame) -> DataFrame:
+        edges = scratch.keep(edges, "links")
+        scratch.forget("least")
+        scratch.forget("links", last=1)
+        return edges
+
+    edges = written(links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a != b").distinct())
+    while unfinished(edges := written(contracted(edges))):
+        edges = written(stars(stars(edges, True), False))
     return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
 
 

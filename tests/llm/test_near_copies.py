@@ -2,12 +2,15 @@
 
 import random
 import re
+import time
 from collections import Counter, defaultdict
+from functools import partial
 
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from ripplekit.llm import near_copies, simhash
+from ripplekit.session import Scratch
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -140,3 +143,35 @@ def test_odd_tables(spark, odd, none, clashing):
         assert len({root[t] for t in (None, "", " ", "\n\n")}) == 1
         assert root["one two three four"] == root["ONE two three FOUR"] != root["a"]
     assert near_copies.near_copies(none).count() == 0
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for i in range(found.size()) if (name := found.apply(i).getName()).startswith("shuffle_")}
+
+
+def test_rounds_of_components_leave_no_files(spark, monkeypatch):
+    """Of all rounds one table stays, and none of their shuffle files; tasks may hold few nodes at a time."""
+    rng = random.Random(7)
+    pairs = [(i, i + 1) for i in range(200) if i % 50] + [tuple(rng.sample(range(300, 500), 2)) for _ in range(150)]
+    links = spark.createDataFrame(pairs, "a bigint, b bigint").repartition(3)
+    monkeypatch.setattr(simhash, "contracted", partial(simhash.contracted, most=20))
+    before, scratch = shuffle_files(spark), Scratch(spark)
+    found = simhash.components(links, scratch)
+    late = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < late:
+        time.sleep(0.2)  # they are deleted in the background
+    assert not left
+    assert {name: len(paths) for name, paths in scratch.paths.items() if paths} == {"links": 1}
+    want = components([(i, "") for i in sorted({i for pair in pairs for i in pair})], pairs)
+    assert {r.node: r.root for r in found.collect()} == {i: root for i, root in want.items() if i != root}
+
+
+def test_links_of_a_task_are_contracted_at_once(spark):
+    """A path in one task needs no round of stars, however long."""
+    scratch, names = Scratch(spark), []
+    keep = scratch.keep
+    scratch.keep = lambda df, name: names.append(name) or keep(df, name)
+    found = simhash.components(spark.range(2000).selectExpr("id AS a", "id + 1 AS b").coalesce(1), scratch)
+    assert {tuple(r) for r in found.collect()} == {(i, 0) for i in range(1, 2001)}
+    assert "least" not in names
